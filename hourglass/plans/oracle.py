@@ -150,3 +150,414 @@ SELECT strftime(s.h, '%Y-%m-%d %H:%M:%S.%f') || '-' || CAST(s.loc AS VARCHAR) AS
        s.loc AS pickup_location_id
 FROM spine s LEFT JOIN counts c ON c.fm = s.fm AND c.h = s.h AND c.loc = s.loc
 """)
+
+
+# ---------------------------------------------------------- generators
+
+from hourglass.functions.draws import (  # noqa: E402
+    nearest_rank,
+    sql_combine_keys,
+    sql_draw_index,
+    sql_text_key,
+)
+from hourglass.plans.inputs import HORIZON, LAGS  # noqa: E402
+
+L = max(LAGS)
+
+
+def hourly_cte(prefix: str, where: str = "") -> str:
+    """The hourly demand table of events as CTEs ``{prefix}_*``; ``{prefix}`` is the result."""
+    extra = f" AND {where}" if where else ""
+    return f"""
+{prefix}_trips AS (
+    SELECT ts AS pickup_datetime, CAST(user_id AS INTEGER) AS pickup_location_id
+    FROM events
+    WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'{extra}
+),
+{prefix}_counts AS (
+    SELECT date_trunc('hour', pickup_datetime) AS h, pickup_location_id AS loc, count(pickup_location_id) AS n
+    FROM {prefix}_trips WHERE pickup_location_id IS NOT NULL GROUP BY ALL
+),
+{prefix}_locs AS (SELECT DISTINCT loc FROM {prefix}_counts),
+{prefix}_hours AS (
+    SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR)) AS h
+),
+{prefix} AS (
+    SELECT strftime(hh.h, '%Y-%m-%d %H:%M:%S.%f') || '-' || CAST(l.loc AS VARCHAR) AS key,
+           hh.h AS pickup_datetime_hour,
+           CAST(coalesce(c.n, 0) AS INTEGER) AS num_pickup,
+           l.loc AS pickup_location_id
+    FROM {prefix}_hours hh CROSS JOIN {prefix}_locs l
+    LEFT JOIN {prefix}_counts c ON c.h = hh.h AND c.loc = l.loc
+)"""
+
+
+def lag_list(col: str = "y", lags=LAGS) -> str:
+    return ", ".join(f"lag({col}, {i}) OVER w AS {col}__{i}__lag" for i in lags)
+
+
+def mean_expr(cols: list[str]) -> str:
+    """Row mean skipping nulls, summed left to right like the Spark side."""
+    total = " + ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0)" for c in cols)
+    cnt = " + ".join(f"(CASE WHEN {c} IS NOT NULL THEN 1 ELSE 0 END)" for c in cols)
+    return f"(({total}) / CAST(nullif({cnt}, 0) AS DOUBLE))"
+
+
+def mean_lag_predict_cte(src: str, name: str, lags=LAGS) -> str:
+    """``{name}``: (unique_id, ds, y, y_hat) -- history plus one future row per
+    series, rows after min(ds) + max_lag days (strict)."""
+    cols = [f"y__{i}__lag" for i in lags]
+    return f"""
+{name}_last AS (SELECT unique_id, max(ds) AS last FROM {src} GROUP BY unique_id),
+{name}_ext AS (
+    SELECT unique_id, ds, y FROM {src}
+    UNION ALL SELECT unique_id, last + INTERVAL 1 DAY, CAST(NULL AS BIGINT) FROM {name}_last
+),
+{name}_lags AS (
+    SELECT unique_id, ds, y, {lag_list('y', lags)}, min(ds) OVER (PARTITION BY unique_id) AS first
+    FROM {name}_ext WINDOW w AS (PARTITION BY unique_id ORDER BY ds)
+),
+{name} AS (
+    SELECT unique_id, ds, y, {mean_expr(cols)} AS y_hat
+    FROM {name}_lags WHERE ds > first + INTERVAL {max(lags)} DAY
+)"""
+
+
+def mean_step_sql(h: str, lags=LAGS) -> str:
+    total = " + ".join(f"{h}[-{i}]" for i in lags)
+    return f"(({total}) / {float(len(lags))})"
+
+
+def folds_cte(src: str = "daily") -> str:
+    return f"""
+fb AS (SELECT min(ds) AS lo, max(ds) AS hi FROM {src}),
+fs AS (
+    SELECT lo, hi, unnest(generate_series(TIMESTAMP '2000-01-01', hi, INTERVAL 3 MONTH)) AS test_from FROM fb
+    WHERE TIMESTAMP '2000-01-01' < hi
+),
+folds AS (
+    SELECT CAST(row_number() OVER (ORDER BY test_from) - 1 AS INTEGER) AS fold_id, lo AS train_from, test_from,
+           coalesce(lead(test_from) OVER (ORDER BY test_from), hi) AS test_to
+    FROM fs WHERE test_from < hi
+),
+tagged AS (
+    SELECT d.unique_id, d.ds, d.y, f.fold_id
+    FROM {src} d LEFT JOIN folds f ON d.ds >= f.test_from AND d.ds < f.test_to
+),
+tb AS (SELECT fold_id, min(ds) AS lo, max(ds) AS hi FROM tagged WHERE fold_id IS NOT NULL GROUP BY fold_id),
+cut AS (
+    SELECT fold_id, cutoff FROM (
+        SELECT fold_id, hi, unnest(generate_series(lo + INTERVAL {L} DAY, hi, INTERVAL {HORIZON} DAY)) AS cutoff
+        FROM tb WHERE lo + INTERVAL {L} DAY < hi
+    ) WHERE cutoff < hi
+)"""
+
+
+ROLLING = folds_cte() + f""",
+trows AS (SELECT fold_id, unique_id, ds, y FROM tagged WHERE fold_id IS NOT NULL),
+origin AS (
+    SELECT c.fold_id, r.unique_id, c.cutoff, max(r.ds) AS last, list(CAST(r.y AS DOUBLE) ORDER BY r.ds) AS hist_all
+    FROM cut c JOIN trows r ON r.fold_id = c.fold_id AND r.ds <= c.cutoff
+    GROUP BY c.fold_id, r.unique_id, c.cutoff HAVING count(*) >= {L}
+),
+rec(fold_id, unique_id, cutoff, last, k, h) AS (
+    SELECT fold_id, unique_id, cutoff, last, 0, list_slice(hist_all, len(hist_all) - {L - 1}, len(hist_all)) FROM origin
+    UNION ALL
+    SELECT fold_id, unique_id, cutoff, last, k + 1, list_append(h, {mean_step_sql('h')}) FROM rec WHERE k < {HORIZON}
+),
+fc AS (SELECT fold_id, unique_id, cutoff, last + to_days(CAST(k AS INTEGER)) AS ds, h[-1] AS y_pred FROM rec WHERE k >= 1),
+rof AS (
+    SELECT f.fold_id, f.unique_id, f.ds, f.cutoff, r.y, f.y_pred
+    FROM fc f JOIN trows r ON r.fold_id = f.fold_id AND r.unique_id = f.unique_id AND r.ds = f.ds
+),
+ev1 AS (
+    SELECT fold_id, unique_id, datediff('day', cutoff, ds) AS horizon,
+           avg(y_pred - y) AS bias, avg(abs(y_pred - y)) AS mae
+    FROM rof GROUP BY ALL
+),
+ev AS (
+    SELECT fold_id, CAST(horizon AS INTEGER) AS horizon, avg(bias) AS bias, avg(mae) AS mae,
+           avg(mae + abs(bias)) AS score
+    FROM ev1 GROUP BY ALL
+)"""
+
+MEAN_FORECAST = f"""
+mf_rank AS (
+    SELECT unique_id, ds, y, row_number() OVER (PARTITION BY unique_id ORDER BY ds DESC) AS rd,
+           count(*) OVER (PARTITION BY unique_id) AS n
+    FROM daily
+),
+mf_hist AS (
+    SELECT unique_id, max(ds) AS last, list(CAST(y AS DOUBLE) ORDER BY ds) AS h
+    FROM mf_rank WHERE rd <= {L} AND n >= {L + 1} GROUP BY unique_id
+),
+mf_rec(unique_id, last, k, h) AS (
+    SELECT unique_id, last, 0, h FROM mf_hist
+    UNION ALL
+    SELECT unique_id, last, k + 1, list_append(h, {mean_step_sql('h')}) FROM mf_rec WHERE k < {HORIZON}
+),
+mf AS (
+    SELECT unique_id, last + to_days(CAST(k AS INTEGER)) AS ds, h[-1] AS y_pred, CAST(k AS INTEGER) AS step
+    FROM mf_rec WHERE k >= 1
+)"""
+
+RESIDUALS = mean_lag_predict_cte("daily", "mlp") + """,
+res AS (SELECT unique_id, ds, y - y_hat AS residual FROM mlp WHERE y IS NOT NULL),
+pool AS (SELECT row_number() OVER (ORDER BY unique_id, ds) - 1 AS idx, residual FROM res),
+pooln AS (SELECT count(*) AS n FROM res),
+insample AS (SELECT unique_id, ds, y, y_hat AS y_pred FROM mlp WHERE y IS NOT NULL)"""
+
+
+def r6(expr: str) -> str:
+    return f"round({expr}, 6)"
+
+
+# ------------------------------------------------------------ table ops
+
+_CUR = hourly_cte("cur", "ts < TIMESTAMP '2024-01-20'")
+_NEW = hourly_cte("nw", "ts >= TIMESTAMP '2024-01-15'")
+
+sql("upsert_by_key", with_(_CUR, _NEW) + """,
+u AS (SELECT *, 1 AS prio FROM cur UNION ALL SELECT *, 0 AS prio FROM nw)
+SELECT key, pickup_datetime_hour, num_pickup, pickup_location_id
+FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY prio) AS rn FROM u) WHERE rn = 1
+""")
+
+sql("upsert_update_cols", with_(_CUR, _NEW) + """
+SELECT coalesce(n.key, c.key) AS key,
+       CASE WHEN c.key IS NOT NULL THEN c.pickup_datetime_hour ELSE n.pickup_datetime_hour END AS pickup_datetime_hour,
+       CASE WHEN n.key IS NOT NULL THEN n.num_pickup ELSE c.num_pickup END AS num_pickup,
+       CASE WHEN c.key IS NOT NULL THEN c.pickup_location_id ELSE n.pickup_location_id END AS pickup_location_id
+FROM cur c FULL OUTER JOIN nw n ON c.key = n.key
+""")
+
+sql("fetch_range", with_(hourly_cte("hd")) + """
+SELECT * FROM hd WHERE pickup_datetime_hour >= TIMESTAMP '2024-01-10' AND pickup_datetime_hour < TIMESTAMP '2024-01-20'
+""")
+
+sql("fetch_range_closed", with_(hourly_cte("hd")) + """
+SELECT * FROM hd WHERE pickup_datetime_hour >= TIMESTAMP '2024-01-10' AND pickup_datetime_hour <= TIMESTAMP '2024-01-20'
+""")
+
+sql("fetch_locations", with_(hourly_cte("hd")) + """
+SELECT * FROM hd WHERE pickup_datetime_hour >= TIMESTAMP '2000-01-01' AND pickup_datetime_hour < TIMESTAMP '2099-01-01'
+  AND pickup_location_id IN (3, 7, 42)
+""")
+
+# ---------------------------------------------------------------- series
+
+sql("daily_sum", with_(hourly_cte("hd")) + """
+SELECT pickup_location_id AS unique_id, CAST(date_trunc('day', pickup_datetime_hour) AS TIMESTAMP) AS ds,
+       CAST(sum(num_pickup) AS BIGINT) AS y
+FROM hd GROUP BY ALL
+""")
+
+sql("daily_series", with_(DAILY) + " SELECT unique_id, ds, y FROM daily")
+
+_LAGCOLS = " AND ".join(f"y__{i}__lag IS NOT NULL" for i in LAGS)
+sql("time_lags", with_(DAILY) + f"""
+SELECT * FROM (SELECT ds, unique_id, y, {lag_list()} FROM daily WINDOW w AS (PARTITION BY unique_id ORDER BY ds))
+WHERE y IS NOT NULL AND {_LAGCOLS}
+""")
+
+sql("time_lags_nulls", with_(DAILY) + f"""
+SELECT ds, unique_id, y, {lag_list()} FROM daily WINDOW w AS (PARTITION BY unique_id ORDER BY ds)
+""")
+
+sql("extend_horizon", with_(DAILY) + f""",
+lastd AS (SELECT unique_id, max(ds) AS last FROM daily GROUP BY unique_id)
+SELECT unique_id, ds, y FROM daily
+UNION ALL
+SELECT unique_id, last + to_days(CAST(k AS INTEGER)) AS ds, CAST(NULL AS BIGINT) AS y
+FROM lastd, generate_series(1, {HORIZON}) t(k)
+""")
+
+sql("series_slice", with_(DAILY, mean_lag_predict_cte("daily", "p")) + """,
+s AS (SELECT * FROM p WHERE ds > TIMESTAMP '2001-01-01' AND unique_id IN ('1-URGENT', '5-LOW'))
+SELECT ds, unique_id, 'y_hat' AS variable, round(CAST(y_hat AS DOUBLE), 6) AS value FROM s
+UNION ALL
+SELECT ds, unique_id, 'y' AS variable, round(CAST(y AS DOUBLE), 6) AS value FROM s
+""")
+
+# -------------------------------------------------------------- forecast
+
+sql("mean_lag_predict", with_(DAILY, mean_lag_predict_cte("daily", "p")) + """
+SELECT unique_id, ds, y, round(y_hat, 6) AS y_hat FROM p
+""")
+
+sql("mean_lag_residuals", with_(DAILY, mean_lag_predict_cte("daily", "p")) + """
+SELECT unique_id, ds, round(y - y_hat, 6) AS residual FROM p WHERE y IS NOT NULL
+""")
+
+sql("mean_lag_forecast", "WITH RECURSIVE " + DAILY.strip() + "," + MEAN_FORECAST + """
+SELECT unique_id, ds, round(CAST(y AS DOUBLE), 6) AS y, false AS IsForecasted FROM daily
+UNION ALL
+SELECT unique_id, ds, round(y_pred, 6) AS y, true AS IsForecasted FROM mf
+""")
+
+_NE_NAMES = ["intercept"] + [f"y__{i}__lag" for i in LAGS] + ["y"]
+_NE_SUMS = ", ".join(
+    f"round(sum(CAST({a} AS DOUBLE) * CAST({b} AS DOUBLE)), 6) AS s__{a}__{b}"
+    for i, a in enumerate(_NE_NAMES)
+    for b in _NE_NAMES[i:]
+)
+sql("lag_normal_equations", with_(DAILY) + f""",
+f AS (
+    SELECT *, 1.0 AS intercept FROM (
+        SELECT unique_id, ds, y, {lag_list()} FROM daily WINDOW w AS (PARTITION BY unique_id ORDER BY ds)
+    ) WHERE y IS NOT NULL AND {_LAGCOLS}
+)
+SELECT {_NE_SUMS} FROM f
+""")
+
+sql("time_folds", with_(DAILY, folds_cte()) + " SELECT fold_id, train_from, test_from, test_to FROM folds")
+
+sql("fold_sizes", with_(DAILY, folds_cte()) + """,
+seg AS (
+    SELECT CASE WHEN ds < (SELECT min(test_from) FROM folds) THEN -1 ELSE fold_id END AS seg, y FROM tagged
+),
+segs AS (SELECT seg, count(*) AS n, sum(y) AS ys FROM seg WHERE seg IS NOT NULL GROUP BY seg)
+SELECT f.fold_id,
+       CAST(coalesce((SELECT sum(n) FROM segs WHERE seg < f.fold_id), 0) AS BIGINT) AS train_rows,
+       CAST(coalesce((SELECT sum(ys) FROM segs WHERE seg < f.fold_id), 0) AS BIGINT) AS train_y,
+       CAST(coalesce((SELECT sum(n) FROM segs WHERE seg = f.fold_id), 0) AS BIGINT) AS test_rows,
+       CAST(coalesce((SELECT sum(ys) FROM segs WHERE seg = f.fold_id), 0) AS BIGINT) AS test_y
+FROM folds f
+""")
+
+sql("rolling_cutoffs", with_(DAILY, folds_cte()) + " SELECT fold_id, cutoff FROM cut")
+
+sql("rolling_origin_forecast", "WITH RECURSIVE " + DAILY.strip() + "," + ROLLING + """
+SELECT fold_id, unique_id, ds, cutoff, y, round(y_pred, 6) AS y_pred FROM rof
+""")
+
+sql("evaluate_forecast", "WITH RECURSIVE " + DAILY.strip() + "," + ROLLING + """
+SELECT fold_id, horizon, round(bias, 6) AS bias, round(mae, 6) AS mae, round(score, 6) AS score FROM ev
+""")
+
+sql("backtest", ORACLE_SQL["evaluate_forecast"])
+
+_WIDE = ", ".join(
+    f"round(max(CASE WHEN horizon = {k} THEN {m} END), 6) AS {m}_{k}"
+    for m in ("bias", "mae", "score")
+    for k in range(1, HORIZON + 1)
+)
+sql("metrics_wide", "WITH RECURSIVE " + DAILY.strip() + "," + ROLLING + f"""
+SELECT fold_id, {_WIDE} FROM ev GROUP BY fold_id
+""")
+
+sql("predict_for_date", with_(hourly_cte("hd")) + """,
+f AS (SELECT * FROM hd WHERE pickup_datetime_hour >= TIMESTAMP '2024-01-02' AND pickup_datetime_hour < TIMESTAMP '2024-01-31'),
+d AS (
+    SELECT pickup_location_id AS unique_id, CAST(date_trunc('day', pickup_datetime_hour) AS TIMESTAMP) AS ds,
+           CAST(sum(num_pickup) AS BIGINT) AS y
+    FROM f GROUP BY ALL
+),""" + mean_lag_predict_cte("d", "p") + """
+SELECT unique_id, ds, y, round(y_hat, 6) AS y_hat FROM p WHERE y IS NULL
+""")
+
+# ------------------------------------------------------------- intervals
+
+_B, _SEED = 500, 25
+_ROWKEY = sql_combine_keys(sql_text_key("i.unique_id"), "datediff('day', DATE '1970-01-01', CAST(i.ds AS DATE))")
+_LO, _HI = nearest_rank(_B, 0.025) + 1, nearest_rank(_B, 0.975) + 1
+INTERVALS = RESIDUALS + f""",
+draws AS (
+    SELECT i.unique_id, i.ds, i.y, i.y_pred, b,
+           {sql_draw_index('k', 'b', '(SELECT n FROM pooln)', _SEED)} AS idx
+    FROM (SELECT i.*, {_ROWKEY} AS k FROM insample i) i, generate_series(0, {_B - 1}) t(b)
+),
+vals AS (
+    SELECT d.unique_id, d.ds, d.y, d.y_pred, list_sort(list(d.y_pred + p.residual)) AS s
+    FROM draws d JOIN pool p ON p.idx = d.idx GROUP BY d.unique_id, d.ds, d.y, d.y_pred
+),
+iv AS (
+    SELECT unique_id, ds, y, y_pred, s[{_LO}] AS lower_bound, s[{_HI}] AS upper_bound,
+           s[{_HI}] - s[{_LO}] AS width
+    FROM vals
+)"""
+
+sql("bootstrap_interval", with_(DAILY, INTERVALS) + """
+SELECT unique_id, ds, y, round(y_pred, 6) AS y_pred, round(lower_bound, 6) AS lower_bound,
+       round(upper_bound, 6) AS upper_bound, round(width, 6) AS width
+FROM iv
+""")
+
+sql("interval_coverage", with_(DAILY, INTERVALS) + """
+SELECT y BETWEEN lower_bound AND upper_bound AS in_ci, count(y) AS n FROM iv GROUP BY 1
+""")
+
+_BP = 1000
+_PLO, _PHI = nearest_rank(_BP, 0.025) + 1, nearest_rank(_BP, 0.975) + 1
+_PKEY = sql_combine_keys(sql_text_key("m.unique_id"), "m.step")
+sql("multi_step_bootstrap", "WITH RECURSIVE " + DAILY.strip() + "," + MEAN_FORECAST + "," + RESIDUALS + f""",
+x AS (
+    SELECT m.unique_id, m.ds, m.step, b,
+           m.y_pred + p.residual AS x
+    FROM mf m, generate_series(0, {_BP - 1}) t(b)
+    JOIN pool p ON p.idx = {sql_draw_index(_PKEY, 'b', '(SELECT n FROM pooln)', _SEED)}
+),
+path(unique_id, b, step, ds, v) AS (
+    SELECT unique_id, b, step, ds, 0.0 * 0.25 + x FROM x WHERE step = 1
+    UNION ALL
+    SELECT x.unique_id, x.b, x.step, x.ds, p.v * 0.25 + x.x
+    FROM path p JOIN x ON x.unique_id = p.unique_id AND x.b = p.b AND x.step = p.step + 1
+),
+agg AS (SELECT unique_id, ds, step, avg(v) AS prediction, list_sort(list(v)) AS s FROM path GROUP BY ALL)
+SELECT unique_id, ds, step, round(prediction, 6) AS prediction, round(s[{_PLO}], 6) AS lower_bound,
+       round(s[{_PHI}], 6) AS upper_bound, round(s[{_PHI}] - s[{_PLO}], 6) AS width
+FROM agg
+""")
+
+# ------------------------------------------------------------- residuals
+
+sql("mae", with_(DAILY, RESIDUALS) + """
+SELECT unique_id, round(avg(abs(y - y_pred)), 6) AS mae, count(y) AS n FROM insample GROUP BY unique_id
+""")
+
+sql("residual_moments", with_(DAILY, RESIDUALS) + """
+SELECT unique_id, count(residual) AS n, round(avg(residual), 6) AS mean, round(stddev_samp(residual), 6) AS std
+FROM res GROUP BY unique_id
+""")
+
+sql("residual_histogram", with_(DAILY, RESIDUALS) + """,
+b AS (SELECT min(residual) AS lo, max(residual) AS hi FROM res),
+h AS (
+    SELECT CAST(CASE WHEN b.hi - b.lo = 0 THEN 0
+                     ELSE least(floor((r.residual - b.lo) / (b.hi - b.lo) * 20), 19) END AS INTEGER) AS bucket
+    FROM res r, b WHERE r.residual IS NOT NULL
+)
+SELECT h.bucket, round(b.lo + (b.hi - b.lo) * h.bucket / 20, 6) AS lower,
+       round(b.lo + (b.hi - b.lo) * (h.bucket + 1) / 20, 6) AS upper, count(*) AS n
+FROM h, b GROUP BY h.bucket, b.lo, b.hi
+""")
+
+_PROBS = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+_QVALUES = ", ".join(f"({q})" for q in _PROBS)
+sql("residual_quantiles", with_(DAILY, RESIDUALS) + f""",
+rk AS (
+    SELECT unique_id, residual, row_number() OVER (PARTITION BY unique_id ORDER BY residual) - 1 AS r,
+           count(*) OVER (PARTITION BY unique_id) AS n
+    FROM res WHERE residual IS NOT NULL
+),
+qs AS (SELECT CAST(q AS DOUBLE) AS q FROM (VALUES {_QVALUES}) t(q))
+SELECT rk.unique_id, qs.q, round(rk.residual, 6) AS value
+FROM rk JOIN qs ON rk.r = CAST(floor(CAST(rk.n - 1 AS DOUBLE) * qs.q + 0.5) AS BIGINT)
+""")
+
+_ACF_LAGS = 30
+_ACF_SUMS = ", ".join(f"sum(c * l{k}) AS n{k}" for k in range(1, _ACF_LAGS + 1))
+_ACF_LAGCOLS = ", ".join(f"lag(c, {k}) OVER w AS l{k}" for k in range(1, _ACF_LAGS + 1))
+_ACF_ROWS = " UNION ALL ".join(
+    f"SELECT unique_id, {k} AS lag, round(coalesce(n{k}, 0.0) / nullif(den, 0), 6) AS acf FROM sums"
+    for k in range(1, _ACF_LAGS + 1)
+)
+sql("residual_acf", with_(DAILY, RESIDUALS) + f""",
+cen AS (
+    SELECT unique_id, ds, residual - avg(residual) OVER (PARTITION BY unique_id) AS c FROM res
+    WHERE residual IS NOT NULL
+),
+lg AS (SELECT unique_id, c, {_ACF_LAGCOLS} FROM cen WINDOW w AS (PARTITION BY unique_id ORDER BY ds)),
+sums AS (SELECT unique_id, sum(c * c) AS den, {_ACF_SUMS} FROM lg GROUP BY unique_id)
+{_ACF_ROWS}
+""")

@@ -72,3 +72,55 @@ def q_hourly_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_hourly_demand_multi_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T2 over many 'files' at once: each orders year claims its January."""
     return transform_raw(orders_tagged_by_year(spark, sf_dir))
+
+
+# --------------------------------------------------------------- table ops
+# Two overlapping versions of the same month: "current" from trips before the
+# 20th, "new" from trips since the 15th; both run the full transform.
+
+def _hourly_slice(spark: SparkSession, sf_dir: str, lo: str | None, hi: str | None) -> DataFrame:
+    raw = I.raw_trips(spark, sf_dir)
+    if lo:
+        raw = raw.where(F.col("tpep_pickup_datetime") >= F.lit(lo).cast("timestamp_ntz"))
+    if hi:
+        raw = raw.where(F.col("tpep_pickup_datetime") < F.lit(hi).cast("timestamp_ntz"))
+    return transform_raw(raw, I.TRIP_YEAR, I.TRIP_MONTH)
+
+
+@query("upsert_by_key")
+def q_upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourglass.operators.upsert import upsert_by_key
+
+    current = _hourly_slice(spark, sf_dir, None, "2024-01-20")
+    new = _hourly_slice(spark, sf_dir, "2024-01-15", None)
+    return upsert_by_key(current, new, key="key")
+
+
+@query("upsert_update_cols")
+def q_upsert_update_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourglass.operators.upsert import upsert_by_key
+
+    current = _hourly_slice(spark, sf_dir, None, "2024-01-20")
+    new = _hourly_slice(spark, sf_dir, "2024-01-15", None)
+    return upsert_by_key(current, new, key="key", update_cols=["num_pickup"])
+
+
+@query("fetch_range")
+def q_fetch_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourglass.operators.select import fetch_range
+
+    return fetch_range(hourly_demand_df(spark, sf_dir), "2024-01-10", "2024-01-20")
+
+
+@query("fetch_range_closed")
+def q_fetch_range_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourglass.operators.select import fetch_range
+
+    return fetch_range(hourly_demand_df(spark, sf_dir), "2024-01-10", "2024-01-20", closed="both")
+
+
+@query("fetch_locations")
+def q_fetch_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourglass.operators.select import fetch_range
+
+    return fetch_range(hourly_demand_df(spark, sf_dir), "2000-01-01", "2099-01-01", [3, 7, 42])

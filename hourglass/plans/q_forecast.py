@@ -1 +1,130 @@
-"""Queries (filled in below)."""
+"""Forecast and backtest queries on the complete daily order series."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hourglass.operators import backtest as BT
+from hourglass.operators.forecast import (
+    LagModel,
+    fit_lag_regression,
+    forecast_series,
+    lag_features,
+    mean_lag_predict,
+    mean_lag_residuals,
+    model_frame,
+    normal_equation_sums,
+    recursive_forecast_frame,
+)
+from hourglass.operators.select import fetch_range
+from hourglass.operators.series import daily_sum
+from hourglass.plans import inputs as I
+from hourglass.plans.catalog import query, rounded
+from hourglass.plans.q_etl import hourly_demand_df
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.daily_series(spark, sf_dir)
+
+
+@query("mean_lag_predict")
+def q_mean_lag_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(mean_lag_predict(_daily(spark, sf_dir), I.LAGS, "1d"))
+
+
+@query("mean_lag_residuals")
+def q_mean_lag_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(mean_lag_residuals(_daily(spark, sf_dir), I.LAGS, "1d"))
+
+
+@query("mean_lag_forecast")
+def q_mean_lag_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(recursive_forecast_frame(_daily(spark, sf_dir), LagModel(tuple(I.LAGS)), I.HORIZON))
+
+
+@query("lag_normal_equations")
+def q_lag_normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(normal_equation_sums(lag_features(_daily(spark, sf_dir), I.LAGS), I.LAGS))
+
+
+@query("lag_regression_fit")
+def q_lag_regression_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(model_frame(spark, fit_lag_regression(_daily(spark, sf_dir), I.LAGS)))
+
+
+@query("lag_regression_forecast")
+def q_lag_regression_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = _daily(spark, sf_dir)
+    model = fit_lag_regression(daily, I.LAGS)
+    return rounded(forecast_series(daily, model, I.HORIZON))
+
+
+def _folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return BT.time_folds(_daily(spark, sf_dir), I.TEST_FROM, I.FOLD_EVERY)
+
+
+@query("time_folds")
+def q_time_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _folds(spark, sf_dir)
+
+
+@query("fold_sizes")
+def q_fold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return BT.fold_sizes(_daily(spark, sf_dir), _folds(spark, sf_dir))
+
+
+@query("rolling_cutoffs")
+def q_rolling_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tagged = BT.assign_test_fold(_daily(spark, sf_dir), _folds(spark, sf_dir))
+    return BT.rolling_cutoffs(tagged, max(I.LAGS), I.HORIZON)
+
+
+def _rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = _daily(spark, sf_dir)
+    tagged = BT.assign_test_fold(daily, _folds(spark, sf_dir))
+    cutoffs = BT.rolling_cutoffs(tagged, max(I.LAGS), I.HORIZON)
+    return BT.rolling_origin_forecast(tagged, cutoffs, I.HORIZON, I.LAGS)
+
+
+@query("rolling_origin_forecast")
+def q_rolling_origin_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_rolling(spark, sf_dir))
+
+
+@query("evaluate_forecast")
+def q_evaluate_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(BT.evaluate_forecast(_rolling(spark, sf_dir)))
+
+
+@query("metrics_wide")
+def q_metrics_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = BT.evaluate_forecast(_rolling(spark, sf_dir))
+    return rounded(BT.metrics_wide(m, range(1, I.HORIZON + 1)))
+
+
+@query("backtest")
+def q_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(
+        BT.backtest(_daily(spark, sf_dir), I.TEST_FROM, I.FOLD_EVERY, I.HORIZON, I.LAGS, model="mean")
+    )
+
+
+@query("backtest_linear")
+def q_backtest_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(
+        BT.backtest(_daily(spark, sf_dir), I.TEST_FROM, I.FOLD_EVERY, I.HORIZON, I.LAGS, model="linear")
+    )
+
+
+@query("predict_for_date")
+def q_predict_for_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read [ref - max_lag days, ref + 1 day) of the hourly table, sum to
+    days, predict the next day per location with the mean-lag model."""
+    from datetime import datetime, timedelta
+
+    ref = datetime(2024, 1, 30)
+    hourly = fetch_range(hourly_demand_df(spark, sf_dir), ref - timedelta(days=max(I.LAGS)), ref + timedelta(days=1))
+    daily = daily_sum(hourly)
+    pred = mean_lag_predict(daily, I.LAGS, "1d")
+    return rounded(pred.where(F.col("y").isNull()))

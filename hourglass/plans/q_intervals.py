@@ -1 +1,72 @@
-"""Queries (filled in below)."""
+"""Prediction-interval and residual-diagnostic queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hourglass.operators import intervals as IV
+from hourglass.operators import residuals as R
+from hourglass.operators.forecast import LagModel, forecast_series, mean_lag_predict, mean_lag_residuals
+from hourglass.plans import inputs as I
+from hourglass.plans.catalog import query, rounded
+
+# Bootstrap sizes and seed of the original notebooks.
+B_ROW = 500
+B_PATH = 1000
+SEED = 25
+PROBS = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
+
+
+def _residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mean_lag_residuals(I.daily_series(spark, sf_dir), I.LAGS, "1d")
+
+
+def _in_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pred = mean_lag_predict(I.daily_series(spark, sf_dir), I.LAGS, "1d")
+    return pred.where(F.col("y").isNotNull()).withColumnRenamed("y_hat", "y_pred")
+
+
+def _intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return IV.bootstrap_interval(_in_sample(spark, sf_dir), _residuals(spark, sf_dir), B=B_ROW, seed=SEED)
+
+
+@query("bootstrap_interval")
+def q_bootstrap_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_intervals(spark, sf_dir))
+
+
+@query("interval_coverage")
+def q_interval_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return IV.interval_coverage(_intervals(spark, sf_dir))
+
+
+@query("multi_step_bootstrap")
+def q_multi_step_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fc = forecast_series(I.daily_series(spark, sf_dir), LagModel(tuple(I.LAGS)), I.HORIZON)
+    return rounded(IV.multi_step_bootstrap(fc, _residuals(spark, sf_dir), B=B_PATH, seed=SEED))
+
+
+@query("mae")
+def q_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(R.mae(_in_sample(spark, sf_dir), pred="y_pred"))
+
+
+@query("residual_moments")
+def q_residual_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(R.residual_moments(_residuals(spark, sf_dir)))
+
+
+@query("residual_histogram")
+def q_residual_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(R.residual_histogram(_residuals(spark, sf_dir), bins=20))
+
+
+@query("residual_quantiles")
+def q_residual_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(R.residual_quantiles(_residuals(spark, sf_dir), PROBS))
+
+
+@query("residual_acf")
+def q_residual_acf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(R.residual_acf(_residuals(spark, sf_dir), max_lag=30))

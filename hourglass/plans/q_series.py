@@ -1 +1,47 @@
-"""Queries (filled in below)."""
+"""Series queries: daily sums, gap-filled daily series, lags, horizon."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from hourglass.operators.forecast import mean_lag_predict
+from hourglass.operators.select import series_slice
+from hourglass.operators.series import daily_sum, time_lags
+from hourglass.operators.spine import extend_horizon
+from hourglass.plans import inputs as I
+from hourglass.plans.catalog import query, rounded
+from hourglass.plans.q_etl import hourly_demand_df
+
+
+@query("daily_sum")
+def q_daily_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_sum(hourly_demand_df(spark, sf_dir))
+
+
+@query("daily_series")
+def q_daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.daily_series(spark, sf_dir)
+
+
+@query("time_lags")
+def q_time_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return time_lags(I.daily_series(spark, sf_dir), I.LAGS)
+
+
+@query("time_lags_nulls")
+def q_time_lags_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return time_lags(I.daily_series(spark, sf_dir), I.LAGS, drop_nulls=False)
+
+
+@query("extend_horizon")
+def q_extend_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extend_horizon(I.daily_series(spark, sf_dir), I.HORIZON, "1d")
+
+
+@query("series_slice")
+def q_series_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pred = mean_lag_predict(I.daily_series(spark, sf_dir), I.LAGS, "1d")
+    return rounded(
+        series_slice(pred, ["y_hat"], target="y", locations=None, plot_from="2001-01-01")
+        .where("unique_id IN ('1-URGENT', '5-LOW')")
+    )
