@@ -35,12 +35,15 @@ def hourly_counts(clean: DataFrame) -> DataFrame:
     Rows without a location are dropped first (they cannot be keyed); the
     validity report counts them.  The aggregate is two-phase: a map-side
     partial count per task, then a shuffle of at most one row per
-    (hour, location) per task.
+    (hour, location) per task.  The not-null predicates are stated here so
+    that every later use of this frame has the same plan (its shuffle is
+    then computed once and reused).
     """
     keys = ["file_month"] if "file_month" in clean.columns else []
+    hour = trunc_hour(TS)
     return (
-        clean.where(F.col(LOC).isNotNull())
-        .groupBy(*keys, trunc_hour(TS).alias(HOUR), F.col(LOC))
+        clean.where(F.col(LOC).isNotNull() & hour.isNotNull())
+        .groupBy(*keys, hour.alias(HOUR), F.col(LOC))
         .agg(F.count(F.col(LOC)).alias(N))
     )
 
@@ -48,26 +51,23 @@ def hourly_counts(clean: DataFrame) -> DataFrame:
 def fill_missing_hours(counts: DataFrame) -> DataFrame:
     """Every hour of the month for every location seen that month; gaps -> 0 (A3).
 
-    One scan, no join: after the (partially pre-aggregated) hourly count, a
-    second, small group-by on (month, location) gathers that location's
-    hourly counts into a map -- at most 744 entries, bounded by the hours of
-    a month whatever the skew of the raw data -- and the month's hours are
-    generated from it with zero for the missing ones.  Locations appear only
-    in months where they have trips, as in the original per-month fill.
+    The spine comes from the (month, location) pairs of the *aggregated*
+    counts -- tiny next to the raw data -- exploded into the month's hours per
+    pair, so there is no cross join; it is left-joined to the counts on the
+    counts' own grouping keys.  The pairs are an aggregate with a condition
+    on its result so Catalyst keeps it on top of the counts instead of
+    rewriting it into a second scan of the raw data: both branches share
+    one scan and one shuffle (exchange reuse).  AQE broadcasts the counts
+    side when its measured size is small, else the join is a sort-merge
+    join.  Locations appear only in months where they have trips.
     """
     if "file_month" not in counts.columns:
         counts = counts.withColumn("file_month", F.trunc(F.to_date(HOUR), "MM"))
-    per_loc = counts.groupBy("file_month", LOC).agg(
-        F.map_from_entries(F.collect_list(F.struct(HOUR, N))).alias("_hours")
+    pairs = counts.groupBy("file_month", LOC).agg(F.sum(N).alias("_tot")).where(F.col("_tot") > 0)
+    spine = pairs.select("file_month", F.explode(month_hours(F.col("file_month"))).alias(HOUR), LOC)
+    return spine.join(counts, ["file_month", HOUR, LOC], "left").select(
+        "file_month", HOUR, LOC, F.coalesce(F.col(N), F.lit(0).cast("bigint")).alias(N)
     )
-    filled = F.transform(
-        month_hours(F.col("file_month")),
-        lambda h: F.struct(
-            h.alias(HOUR),
-            F.coalesce(F.try_element_at(F.col("_hours"), h), F.lit(0).cast("bigint")).alias(N),
-        ),
-    )
-    return per_loc.select("file_month", LOC, F.inline(filled)).select("file_month", HOUR, LOC, N)
 
 
 def surrogate_key(hour: "str | Column" = HOUR, loc: "str | Column" = LOC) -> Column:
