@@ -11,7 +11,7 @@ from hourglass.functions.time import date_lit, month_start
 
 # Monthly raw file name and the pattern that reads its month.
 RAW_FILE_PATTERN = "yellow_tripdata_{year}-{month:02d}.parquet"
-RAW_FILE_MONTH_REGEX = r"(\d{4})-(\d{2})\.parquet$"
+RAW_FILE_MONTH_REGEX = r"(\d{4})-(\d{2})\.parquet"
 
 
 def raw_file_name(year: int, month: int) -> str:
@@ -28,17 +28,19 @@ def scan_monthly_files(
     """Read every monthly raw file under ``root`` in ONE scan.
 
     Each row carries ``file_month`` (date, first of month) taken from its own
-    file name through the hidden ``_metadata.file_name`` column, so all
+    file path through the hidden ``_metadata.file_path`` column (the month
+    may sit in the file name or in the name of a folder of part files), so all
     months go through one plan instead of a loop of reads.  Files whose name
     does not hold a month get a null ``file_month`` and are dropped later by
     the in-month filter.
     """
     df = (
         spark.read.option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
         .option("mergeSchema", str(merge_schema).lower())
         .parquet(root)
     )
-    name = F.col("_metadata.file_name")
+    name = F.col("_metadata.file_path")
     y = F.regexp_extract(name, month_regex, 1)
     m = F.regexp_extract(name, month_regex, 2)
     file_month = F.when(y != "", F.make_date(y.cast("int"), m.cast("int"), F.lit(1)))
@@ -54,7 +56,9 @@ def month_spine_col(from_date, to_date):
     """Array of first-of-month dates from ``from_date`` to ``to_date``, both ends in."""
     start = F.trunc(from_date, "MM")
     stop = F.trunc(to_date, "MM")
-    return F.sequence(start, stop, F.expr("INTERVAL 1 MONTH"))
+    return F.when(start <= stop, F.sequence(start, stop, F.expr("INTERVAL 1 MONTH"))).otherwise(
+        F.array().cast("array<date>")
+    )
 
 
 def month_spine(spark: SparkSession, from_date, to_date) -> DataFrame:
