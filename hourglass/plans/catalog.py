@@ -39,7 +39,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def _load_all() -> None:
     # Import modules that register queries (kept in separate files by area).
-    from hourglass.plans import q_etl, q_forecast, q_intervals, q_series  # noqa: F401
+    from hourglass.plans import q_etl, q_forecast, q_intervals, q_series, q_streaming  # noqa: F401
 
 
 def all_queries() -> dict[str, QueryFn]:

@@ -561,3 +561,12 @@ lg AS (SELECT unique_id, c, {_ACF_LAGCOLS} FROM cen WINDOW w AS (PARTITION BY un
 sums AS (SELECT unique_id, sum(c * c) AS den, {_ACF_SUMS} FROM lg GROUP BY unique_id)
 {_ACF_ROWS}
 """)
+
+# ------------------------------------------------------------- streaming
+
+sql("stream_hourly_counts", with_(TRIPS_CLEAN) + """
+SELECT strftime(date_trunc('hour', pickup_datetime), '%Y-%m-%d %H:%M:%S.%f') || '-' || CAST(pickup_location_id AS VARCHAR) AS key,
+       date_trunc('hour', pickup_datetime) AS pickup_datetime_hour,
+       CAST(count(pickup_location_id) AS INTEGER) AS num_pickup, pickup_location_id
+FROM trips WHERE pickup_location_id IS NOT NULL GROUP BY ALL
+""")
