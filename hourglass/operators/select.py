@@ -109,3 +109,10 @@ def series_slice(
     if not long:
         return out
     return out.unpivot(ids, values, "variable", "value")
+
+
+def keep_dates(df: DataFrame, dates: DataFrame, ds: str = "ds", by: Sequence[str] = ()) -> DataFrame:
+    """Keep rows whose timestamp is one of ``dates`` (P11): a left-semi join,
+    optionally also on ``by`` columns (e.g. the series id)."""
+    keys = [*by, ds]
+    return df.join(dates.select(*keys).distinct(), keys, "left_semi")

@@ -570,3 +570,32 @@ SELECT strftime(date_trunc('hour', pickup_datetime), '%Y-%m-%d %H:%M:%S.%f') ||
        CAST(count(pickup_location_id) AS INTEGER) AS num_pickup, pickup_location_id
 FROM trips WHERE pickup_location_id IS NOT NULL GROUP BY ALL
 """)
+
+# ------------------------------------------------------ more forecast views
+
+sql("horizon_predictions", with_(DAILY) + f""",
+lastd AS (SELECT unique_id, max(ds) AS last FROM daily GROUP BY unique_id),
+fut AS (
+    SELECT unique_id, last + to_days(CAST(k AS INTEGER)) AS ds FROM lastd, generate_series(1, {HORIZON}) t(k)
+),
+filled AS (SELECT unique_id, ds, y FROM daily UNION ALL SELECT unique_id, ds, CAST(0 AS BIGINT) FROM fut),""" + mean_lag_predict_cte("filled", "p") + """
+SELECT p.unique_id, p.ds, p.y, round(p.y_hat, 6) AS y_hat
+FROM p SEMI JOIN fut ON fut.unique_id = p.unique_id AND fut.ds = p.ds
+""")
+
+sql("lag1_regression_forecast", "WITH RECURSIVE " + DAILY.strip() + f""",
+pairs AS (
+    SELECT y, lag(y, 1) OVER (PARTITION BY unique_id ORDER BY ds) AS x FROM daily
+),
+fit AS (SELECT regr_intercept(y, x) AS b0, regr_slope(y, x) AS b1 FROM pairs WHERE x IS NOT NULL),
+lastrow AS (
+    SELECT unique_id, max(ds) AS last, arg_max(CAST(y AS DOUBLE), ds) AS v, count(*) AS n FROM daily GROUP BY unique_id
+),
+rec(unique_id, last, k, v) AS (
+    SELECT unique_id, last, 0, v FROM lastrow WHERE n >= 2
+    UNION ALL
+    SELECT r.unique_id, r.last, r.k + 1, f.b0 + f.b1 * r.v FROM rec r, fit f WHERE r.k < {HORIZON}
+)
+SELECT unique_id, last + to_days(CAST(k AS INTEGER)) AS ds, round(v, 6) AS y_pred, CAST(k AS INTEGER) AS step
+FROM rec WHERE k >= 1
+""")

@@ -128,3 +128,27 @@ def q_predict_for_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = daily_sum(hourly)
     pred = mean_lag_predict(daily, I.LAGS, "1d")
     return rounded(pred.where(F.col("y").isNull()))
+
+
+@query("horizon_predictions")
+def q_horizon_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-step mean-lag predictions on the history plus h future days whose
+    target is set to 0, kept to the future days (T3 + T4 + P11)."""
+    from hourglass.operators.select import keep_dates
+    from hourglass.operators.spine import extend_horizon
+
+    daily = _daily(spark, sf_dir)
+    ext = extend_horizon(daily, I.HORIZON, "1d")
+    future = ext.where(F.col("y").isNull()).select("unique_id", "ds")
+    filled = ext.withColumn("y", F.coalesce("y", F.lit(0).cast("bigint")))
+    pred = mean_lag_predict(filled, I.LAGS, "1d")
+    return rounded(keep_dates(pred, future, by=["unique_id"]))
+
+
+@query("lag1_regression_forecast")
+def q_lag1_regression_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pooled regression on the previous day only, then a recursive h-step
+    forecast per series (T7 + T8 with one lag: checkable in SQL)."""
+    daily = _daily(spark, sf_dir)
+    model = fit_lag_regression(daily, [1])
+    return rounded(forecast_series(daily, model, I.HORIZON, min_history=2))
