@@ -246,6 +246,7 @@ def fit_per_fold(
     unique_id: str = "unique_id",
     ds: str = "ds",
     target: str = "y",
+    grid_freq: str | None = None,
 ) -> DataFrame:
     """Per-fold lag-regression parameters from prefix sums (T7 over T9).
 
@@ -256,7 +257,7 @@ def fit_per_fold(
     fold reaches the driver, where each small system is solved.
     """
     spark = series.sparkSession
-    feats = lag_features(series, lags, unique_id, ds, target)
+    feats = lag_features(series, lags, unique_id, ds, target, grid_freq=grid_freq)
     tagged = segment_of(assign_test_fold(feats, folds, ds), folds, ds).where(F.col("_seg").isNotNull())
     sums = {r["_seg"]: r.asDict() for r in normal_equation_sums(tagged, lags, target, ["_seg"]).collect()}
     fold_ids = sorted(r[0] for r in folds.select("fold_id").collect())
@@ -288,6 +289,7 @@ def backtest(
     unique_id: str = "unique_id",
     ds: str = "ds",
     target: str = "y",
+    grid: bool = False,
 ) -> DataFrame:
     """The whole backtest (T13): folds -> per-fold model -> rolling-origin
     forecasts on each fold's test part -> metrics per (fold, horizon).
@@ -300,7 +302,7 @@ def backtest(
     cutoffs = rolling_cutoffs(tagged, max(lags), h, freq=freq, ds=ds)
     params = None
     if model == "linear":
-        params = fit_per_fold(series, folds, lags, unique_id, ds, target)
+        params = fit_per_fold(series, folds, lags, unique_id, ds, target, grid_freq=freq if grid else None)
     elif model != "mean":
         raise ValueError("model must be 'mean' or 'linear'")
     fc = rolling_origin_forecast(tagged, cutoffs, h, lags, params, freq, unique_id, ds, target)

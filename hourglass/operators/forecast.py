@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourglass.functions.grid import HALO_COL, bucket_window, with_halo
 from hourglass.functions.time import add_duration
 from hourglass.operators.series import history_arrays, lag_name, row_mean, time_lags
 from hourglass.operators.spine import extend_horizon
@@ -90,19 +91,35 @@ def mean_lag_predict(
     unique_id: str = "unique_id",
     ds: str = "ds",
     target: str = "y",
+    grid: bool = False,
 ) -> DataFrame:
     """One-step predictions on the history plus one future row per series (T4).
 
     ``y_hat`` = mean of the lag values (nulls skipped).  Rows are kept only
     where ``ds > min(ds) + max(lags) * freq`` of their series (strict).
     Output: the input columns plus ``y_hat``.
+
+    ``grid=True`` declares complete series on the ``freq`` grid: lags then run
+    per (series, time bucket) with halo rows and the per-series first ``ds``
+    comes from a group-by, so no task holds a whole series.
     """
     cols = X.columns
     ext = extend_horizon(X, 1, freq, unique_id, ds, target)
-    w = Window.partitionBy(unique_id).orderBy(ds)
-    lag_cols = [F.lag(target, i).over(w) for i in lags]
-    first = F.min(ds).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = ext.select(*cols, first.alias("_first"), row_mean(lag_cols).alias("y_hat"))
+    if not grid:
+        w = Window.partitionBy(unique_id).orderBy(ds)
+        lag_cols = [F.lag(target, i).over(w) for i in lags]
+        first = F.min(ds).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        out = ext.select(*cols, first.alias("_first"), row_mean(lag_cols).alias("y_hat"))
+    else:
+        firsts = X.groupBy(unique_id).agg(F.min(ds).alias("_first"))
+        h = with_halo(ext, ds, freq, max(lags))
+        w = bucket_window(unique_id, ds)
+        lag_cols = [F.lag(target, i).over(w) for i in lags]
+        out = (
+            h.select(*cols, HALO_COL, row_mean(lag_cols).alias("y_hat"))
+            .where(~F.col(HALO_COL))
+            .join(firsts, unique_id)
+        )
     out = out.where(F.col(ds) > add_duration(F.col("_first"), freq, max(lags)))
     return out.select(*cols, "y_hat")
 
@@ -114,18 +131,55 @@ def mean_lag_residuals(
     unique_id: str = "unique_id",
     ds: str = "ds",
     target: str = "y",
+    grid: bool = False,
 ) -> DataFrame:
     """In-sample residuals ``y - y_hat`` where ``y`` is known (T5).
 
     Kept as a frame (unique_id, ds, residual); pooled over all series by
     whoever reads it.
     """
-    pred = mean_lag_predict(X, lags, freq, unique_id, ds, target)
+    pred = mean_lag_predict(X, lags, freq, unique_id, ds, target, grid)
     return pred.where(F.col(target).isNotNull()).select(
         unique_id, ds, (F.col(target) - F.col("y_hat")).alias("residual")
     )
 
 
+def series_tails(
+    X: DataFrame,
+    size: int,
+    unique_id: str = "unique_id",
+    ds: str = "ds",
+    target: str = "y",
+    freq: str | None = None,
+) -> DataFrame:
+    """Per series: the last ``size`` target values (oldest first) as ``_hist``,
+    the last ``ds`` as ``_last`` and the row count as ``_n``.
+
+    With ``freq`` (complete grid) the tail is cut by time before any
+    grouping: a two-phase max/count per series, a filter
+    ``ds > last - size * freq``, then a group of at most ``size`` rows per
+    series -- a hot series never reaches one task whole.  Without it, a
+    row-based window per series is used.
+    """
+    if freq is not None:
+        last = X.groupBy(unique_id).agg(F.max(ds).alias("_last"), F.count(F.lit(1)).alias("_n"))
+        tail = X.select(unique_id, ds, target).join(last, unique_id).where(
+            F.col(ds) > add_duration(F.col("_last"), freq, -size)
+        )
+        return tail.groupBy(unique_id).agg(
+            F.first("_last").alias("_last"),
+            F.first("_n").alias("_n"),
+            F.transform(
+                F.sort_array(F.collect_list(F.struct(ds, F.col(target).cast("double").alias("v")))), lambda e: e["v"]
+            ).alias("_hist"),
+        )
+    hist = history_arrays(X.select(unique_id, ds, target), size, target, ds, [unique_id])
+    last = hist.groupBy(unique_id).agg(F.max_by(F.struct(ds, "_hist", "_pos"), ds).alias("_l"))
+    return last.select(
+        unique_id, F.col(f"_l.{ds}").alias("_last"), F.col("_l._pos").cast("long").alias("_n"), F.col("_l._hist").alias("_hist")
+    )
+
+
 def forecast_series(
     X: DataFrame,
     model: LagModel,
@@ -134,6 +188,7 @@ def forecast_series(
     ds: str = "ds",
     target: str = "y",
     min_history: int | None = None,
+    grid: bool = False,
 ) -> DataFrame:
     """``h`` recursive forecasts after each series' last row (T6 / T8 core).
 
@@ -143,13 +198,12 @@ def forecast_series(
     """
     L = model.max_lag
     need = L + 1 if min_history is None else min_history
-    hist = history_arrays(X.select(unique_id, ds, target), L, target, ds, [unique_id])
-    last = hist.groupBy(unique_id).agg(F.max_by(F.struct(ds, "_hist", "_pos"), ds).alias("_l"))
-    last = last.where(F.col("_l._pos") >= need)
-    fc = last.select(
+    tails = series_tails(X, L, unique_id, ds, target, model.freq if grid else None)
+    tails = tails.where(F.col("_n") >= need)
+    fc = tails.select(
         unique_id,
-        F.col(f"_l.{ds}").alias("_last"),
-        F.posexplode(recursive_forecast(F.col("_l._hist"), h, model.step())).alias("_k", "y_pred"),
+        "_last",
+        F.posexplode(recursive_forecast(F.col("_hist"), h, model.step())).alias("_k", "y_pred"),
     )
     return fc.select(
         unique_id,
@@ -166,11 +220,12 @@ def recursive_forecast_frame(
     unique_id: str = "unique_id",
     ds: str = "ds",
     target: str = "y",
+    grid: bool = False,
 ) -> DataFrame:
     """Input rows plus ``h`` forecast rows per series, flagged by
     ``IsForecasted = ds > last ds of the series`` (T6, T8)."""
     cols = X.columns
-    fc = forecast_series(X, model, h, unique_id, ds, target)
+    fc = forecast_series(X, model, h, unique_id, ds, target, grid=grid)
     hist = X.withColumn(target, F.col(target).cast("double")).withColumn("IsForecasted", F.lit(False))
     fut = fc.select(unique_id, ds, F.col("y_pred").alias(target))
     for c in cols:
@@ -194,19 +249,27 @@ def lag_features(
     ds: str = "ds",
     target: str = "y",
     keep: Sequence[str] = (),
+    grid_freq: str | None = None,
 ) -> DataFrame:
-    """Rows with every lag present (nulls dropped), plus an intercept column."""
-    w = Window.partitionBy(unique_id).orderBy(ds)
-    out = X.select(
-        unique_id,
-        ds,
-        F.col(target).cast("double").alias(target),
-        *keep,
-        *[F.lag(target, i).over(w).cast("double").alias(lag_name(target, i)) for i in lags],
-    )
-    return out.dropna(subset=[lag_name(target, i) for i in lags] + [target]).withColumn(
-        "intercept", F.lit(1.0)
-    )
+    """Rows with every lag present (nulls dropped), plus an intercept column.
+
+    ``grid_freq`` declares complete series: lags run per (series, bucket)
+    with halo rows instead of per whole series.
+    """
+    names = [lag_name(target, i) for i in lags]
+    base = X.select(unique_id, ds, F.col(target).cast("double").alias(target), *keep)
+    if grid_freq is None:
+        w = Window.partitionBy(unique_id).orderBy(ds)
+        out = base.select("*", *[F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)])
+    else:
+        h = with_halo(base, ds, grid_freq, max(lags))
+        w = bucket_window(unique_id, ds)
+        out = (
+            h.select(*base.columns, HALO_COL, *[F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)])
+            .where(~F.col(HALO_COL))
+            .drop(HALO_COL)
+        )
+    return out.dropna(subset=names + [target]).withColumn("intercept", F.lit(1.0))
 
 
 def normal_equation_sums(
@@ -254,6 +317,7 @@ def fit_lag_regression(
     ds: str = "ds",
     target: str = "y",
     method: str = "normal",
+    grid: bool = False,
 ) -> LagModel:
     """Pooled OLS of ``y`` on its lags with an intercept, over all series.
 
@@ -262,7 +326,7 @@ def fit_lag_regression(
     ``method='ml'``: ``pyspark.ml`` ``LinearRegression`` with the normal
     solver and no regularisation (same coefficients).
     """
-    feats = lag_features(X, lags, unique_id, ds, target)
+    feats = lag_features(X, lags, unique_id, ds, target, grid_freq=freq if grid else None)
     if method == "normal":
         row = normal_equation_sums(feats, lags, target).first().asDict()
         b0, coefs = solve_normal_equations(row, lags, target)

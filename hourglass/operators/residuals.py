@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourglass.functions.grid import HALO_COL, bucket_window, with_halo
+
 
 def mae(df: DataFrame, target: str = "y", pred: str = "y_hat", by: Sequence[str] = ("unique_id",)) -> DataFrame:
     """Mean absolute error per group."""
@@ -71,21 +73,26 @@ def residual_acf(
     col: str = "residual",
     unique_id: str = "unique_id",
     ds: str = "ds",
+    grid_freq: str | None = None,
 ) -> DataFrame:
     """Autocorrelation at lags 1..max_lag per series, lag 0 left out.
 
     ``acf_k = sum(c_t * c_{t-k}) / sum(c_t^2)`` with ``c`` the residual
-    minus its series mean.  One window per series for the centring and the
-    lags, then one aggregate per series.
+    minus its series mean.  The mean is a per-series group-by joined back;
+    the lags run per series, or -- with ``grid_freq`` (complete grid) -- per
+    (series, time bucket) with halo rows; the sums are two-phase aggregates.
     """
-    w_all = Window.partitionBy(unique_id)
-    w = Window.partitionBy(unique_id).orderBy(ds)
-    centred = df.where(F.col(col).isNotNull()).select(
-        unique_id, ds, (F.col(col) - F.avg(col).over(w_all)).alias("_c")
-    )
-    lagged = centred.select(
-        unique_id, "_c", *[F.lag("_c", k).over(w).alias(f"_l{k}") for k in range(1, max_lag + 1)]
-    )
+    base = df.where(F.col(col).isNotNull()).select(unique_id, ds, col)
+    means = base.groupBy(unique_id).agg(F.avg(col).alias("_mean"))
+    centred = base.join(means, unique_id).select(unique_id, ds, (F.col(col) - F.col("_mean")).alias("_c"))
+    lag_exprs = lambda w: [F.lag("_c", k).over(w).alias(f"_l{k}") for k in range(1, max_lag + 1)]
+    if grid_freq is None:
+        w = Window.partitionBy(unique_id).orderBy(ds)
+        lagged = centred.select(unique_id, "_c", *lag_exprs(w))
+    else:
+        h = with_halo(centred, ds, grid_freq, max_lag)
+        w = bucket_window(unique_id, ds)
+        lagged = h.select(unique_id, "_c", HALO_COL, *lag_exprs(w)).where(~F.col(HALO_COL))
     sums = lagged.groupBy(unique_id).agg(
         F.sum(F.col("_c") * F.col("_c")).alias("_den"),
         *[F.sum(F.col("_c") * F.col(f"_l{k}")).alias(f"_n{k}") for k in range(1, max_lag + 1)],

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourglass.functions.grid import HALO_COL, bucket_window, with_halo
 from hourglass.functions.time import add_duration, parse_duration, trunc_day, trunc_hour
 
 
@@ -43,20 +44,29 @@ def time_lags(
     ts_column: str = "ds",
     unique_id: str = "unique_id",
     drop_nulls: bool = True,
+    grid_freq: str | None = None,
 ) -> DataFrame:
     """Row-based lags of ``target`` inside each series ordered by time.
 
     Output: ``ds, unique_id, target`` and one ``{target}__{lag}__lag`` column
-    per lag (other columns are not kept).  All lags share one window, so
-    there is one shuffle by series and one sort.
+    per lag (other columns are not kept).  All lags share one window.
+
+    ``grid_freq`` (e.g. ``'1d'``) declares the series complete on that grid;
+    the window then runs per (series, time bucket) with halo rows, so a long
+    or hot series is spread over many tasks (same result).
     """
-    w = Window.partitionBy(unique_id).orderBy(ts_column)
-    out = df.select(
-        ts_column,
-        unique_id,
-        target,
-        *[F.lag(target, i).over(w).alias(lag_name(target, i)) for i in lags],
-    )
+    names = [lag_name(target, i) for i in lags]
+    if grid_freq is None:
+        w = Window.partitionBy(unique_id).orderBy(ts_column)
+        out = df.select(ts_column, unique_id, target, *[F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)])
+    else:
+        h = with_halo(df.select(ts_column, unique_id, target), ts_column, grid_freq, max(lags))
+        w = bucket_window(unique_id, ts_column)
+        out = (
+            h.select(ts_column, unique_id, target, HALO_COL, *[F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)])
+            .where(~F.col(HALO_COL))
+            .drop(HALO_COL)
+        )
     return out.dropna(how="any") if drop_nulls else out
 
 

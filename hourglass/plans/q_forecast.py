@@ -30,34 +30,34 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mean_lag_predict")
 def q_mean_lag_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(mean_lag_predict(_daily(spark, sf_dir), I.LAGS, "1d"))
+    return rounded(mean_lag_predict(_daily(spark, sf_dir), I.LAGS, "1d", grid=True))
 
 
 @query("mean_lag_residuals")
 def q_mean_lag_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(mean_lag_residuals(_daily(spark, sf_dir), I.LAGS, "1d"))
+    return rounded(mean_lag_residuals(_daily(spark, sf_dir), I.LAGS, "1d", grid=True))
 
 
 @query("mean_lag_forecast")
 def q_mean_lag_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(recursive_forecast_frame(_daily(spark, sf_dir), LagModel(tuple(I.LAGS)), I.HORIZON))
+    return rounded(recursive_forecast_frame(_daily(spark, sf_dir), LagModel(tuple(I.LAGS)), I.HORIZON, grid=True))
 
 
 @query("lag_normal_equations")
 def q_lag_normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(normal_equation_sums(lag_features(_daily(spark, sf_dir), I.LAGS), I.LAGS))
+    return rounded(normal_equation_sums(lag_features(_daily(spark, sf_dir), I.LAGS, grid_freq="1d"), I.LAGS))
 
 
 @query("lag_regression_fit")
 def q_lag_regression_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(model_frame(spark, fit_lag_regression(_daily(spark, sf_dir), I.LAGS)))
+    return rounded(model_frame(spark, fit_lag_regression(_daily(spark, sf_dir), I.LAGS, grid=True)))
 
 
 @query("lag_regression_forecast")
 def q_lag_regression_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = _daily(spark, sf_dir)
-    model = fit_lag_regression(daily, I.LAGS)
-    return rounded(forecast_series(daily, model, I.HORIZON))
+    model = fit_lag_regression(daily, I.LAGS, grid=True)
+    return rounded(forecast_series(daily, model, I.HORIZON, grid=True))
 
 
 def _folds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +113,7 @@ def q_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("backtest_linear")
 def q_backtest_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
-        BT.backtest(_daily(spark, sf_dir), I.TEST_FROM, I.FOLD_EVERY, I.HORIZON, I.LAGS, model="linear")
+        BT.backtest(_daily(spark, sf_dir), I.TEST_FROM, I.FOLD_EVERY, I.HORIZON, I.LAGS, model="linear", grid=True)
     )
 
 
@@ -126,7 +126,7 @@ def q_predict_for_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref = datetime(2024, 1, 30)
     hourly = fetch_range(hourly_demand_df(spark, sf_dir), ref - timedelta(days=max(I.LAGS)), ref + timedelta(days=1))
     daily = daily_sum(hourly)
-    pred = mean_lag_predict(daily, I.LAGS, "1d")
+    pred = mean_lag_predict(daily, I.LAGS, "1d", grid=True)
     return rounded(pred.where(F.col("y").isNull()))
 
 
@@ -141,7 +141,7 @@ def q_horizon_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ext = extend_horizon(daily, I.HORIZON, "1d")
     future = ext.where(F.col("y").isNull()).select("unique_id", "ds")
     filled = ext.withColumn("y", F.coalesce("y", F.lit(0).cast("bigint")))
-    pred = mean_lag_predict(filled, I.LAGS, "1d")
+    pred = mean_lag_predict(filled, I.LAGS, "1d", grid=True)
     return rounded(keep_dates(pred, future, by=["unique_id"]))
 
 
@@ -150,5 +150,5 @@ def q_lag1_regression_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pooled regression on the previous day only, then a recursive h-step
     forecast per series (T7 + T8 with one lag: checkable in SQL)."""
     daily = _daily(spark, sf_dir)
-    model = fit_lag_regression(daily, [1])
-    return rounded(forecast_series(daily, model, I.HORIZON, min_history=2))
+    model = fit_lag_regression(daily, [1], grid=True)
+    return rounded(forecast_series(daily, model, I.HORIZON, min_history=2, grid=True))

@@ -19,11 +19,11 @@ PROBS = [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 
 
 def _residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mean_lag_residuals(I.daily_series(spark, sf_dir), I.LAGS, "1d")
+    return mean_lag_residuals(I.daily_series(spark, sf_dir), I.LAGS, "1d", grid=True)
 
 
 def _in_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pred = mean_lag_predict(I.daily_series(spark, sf_dir), I.LAGS, "1d")
+    pred = mean_lag_predict(I.daily_series(spark, sf_dir), I.LAGS, "1d", grid=True)
     return pred.where(F.col("y").isNotNull()).withColumnRenamed("y_hat", "y_pred")
 
 
@@ -43,7 +43,7 @@ def q_interval_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("multi_step_bootstrap")
 def q_multi_step_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fc = forecast_series(I.daily_series(spark, sf_dir), LagModel(tuple(I.LAGS)), I.HORIZON)
+    fc = forecast_series(I.daily_series(spark, sf_dir), LagModel(tuple(I.LAGS)), I.HORIZON, grid=True)
     return rounded(IV.multi_step_bootstrap(fc, _residuals(spark, sf_dir), B=B_PATH, seed=SEED))
 
 
@@ -69,4 +69,4 @@ def q_residual_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("residual_acf")
 def q_residual_acf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(R.residual_acf(_residuals(spark, sf_dir), max_lag=30))
+    return rounded(R.residual_acf(_residuals(spark, sf_dir), max_lag=30, grid_freq="1d"))

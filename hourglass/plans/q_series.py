@@ -25,12 +25,12 @@ def q_daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("time_lags")
 def q_time_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return time_lags(I.daily_series(spark, sf_dir), I.LAGS)
+    return time_lags(I.daily_series(spark, sf_dir), I.LAGS, grid_freq="1d")
 
 
 @query("time_lags_nulls")
 def q_time_lags_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return time_lags(I.daily_series(spark, sf_dir), I.LAGS, drop_nulls=False)
+    return time_lags(I.daily_series(spark, sf_dir), I.LAGS, drop_nulls=False, grid_freq="1d")
 
 
 @query("extend_horizon")
@@ -40,7 +40,7 @@ def q_extend_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("series_slice")
 def q_series_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pred = mean_lag_predict(I.daily_series(spark, sf_dir), I.LAGS, "1d")
+    pred = mean_lag_predict(I.daily_series(spark, sf_dir), I.LAGS, "1d", grid=True)
     return rounded(
         series_slice(pred, ["y_hat"], target="y", locations=None, plot_from="2001-01-01")
         .where("unique_id IN ('1-URGENT', '5-LOW')")
