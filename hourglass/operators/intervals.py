@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.draws import combine_keys, draw_index, nearest_rank, text_key
+from hourglass.functions.ranks import POS, sorted_positions
 
 # Interval ends used by the original notebooks.
 LOWER_Q = 0.025
@@ -23,20 +24,11 @@ def row_key(unique_id: str = "unique_id", ds: str = "ds") -> Column:
 def index_pool(residuals: DataFrame, unique_id: str = "unique_id", ds: str = "ds") -> DataFrame:
     """Give each residual a dense 0-based position ``_idx`` in (series, ds) order.
 
-    Per-series row numbers plus per-series offsets; the offsets come from a
-    running sum over the per-series count frame (one row per series).
+    A distributed sort-and-number (``functions.ranks``): no task holds a whole
+    series, and the positions equal a global ``row_number`` in that order.
     """
-    counts = residuals.groupBy(unique_id).agg(F.count(F.lit(1)).alias("_cnt"))
-    # One row per series: the running sum runs in one small task.
-    offs = counts.select(
-        unique_id,
-        (F.sum("_cnt").over(Window.orderBy(unique_id).rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).select(unique_id, F.coalesce("_off", F.lit(0)).cast("bigint").alias("_off"))
-    w = Window.partitionBy(unique_id).orderBy(ds)
-    ranked = residuals.select(unique_id, ds, "residual", (F.row_number().over(w) - 1).alias("_rn"))
-    return ranked.join(offs, unique_id).select(
-        (F.col("_off") + F.col("_rn")).alias("_idx"), F.col("residual").cast("double").alias("residual")
-    )
+    pos = sorted_positions(residuals.select(unique_id, ds, "residual"), [unique_id, ds])
+    return pos.select(F.col(POS).alias("_idx"), F.col("residual").cast("double").alias("residual"))
 
 
 def bootstrap_interval(
@@ -66,7 +58,7 @@ def bootstrap_interval(
     subquery, so nothing runs before the action.
     """
     pool = index_pool(residuals, unique_id, ds)
-    n = residuals.select(F.count(F.lit(1))).scalar()
+    n = pool.select(F.max("_idx") + 1).scalar()
     lo_i, hi_i = nearest_rank(B, lower_q), nearest_rank(B, upper_q)
     cols = preds.columns
     base = preds.withColumn("_key", row_key(unique_id, ds)).repartition("_key")
@@ -112,7 +104,7 @@ def multi_step_bootstrap(
     holds ``B`` values.
     """
     pool = index_pool(residuals, unique_id, ds)
-    n = residuals.select(F.count(F.lit(1))).scalar()
+    n = pool.select(F.max("_idx") + 1).scalar()
     lo_i, hi_i = nearest_rank(B, lower_q), nearest_rank(B, upper_q)
     draws = forecasts.select(
         unique_id, ds, "step", "y_pred", text_key(unique_id).alias("_sk"),

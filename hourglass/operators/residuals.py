@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.grid import HALO_COL, bucket_window, with_halo
+from hourglass.functions.ranks import POS, sorted_positions
 
 
 def mae(df: DataFrame, target: str = "y", pred: str = "y_hat", by: Sequence[str] = ("unique_id",)) -> DataFrame:
@@ -54,17 +55,18 @@ def residual_quantiles(
     """Exact 'nearest' quantiles per group (A15): the value at 0-based rank
     ``floor((n - 1) * q + 0.5)`` of the sorted group.
 
-    A sort-based window (spills to disk), not an in-memory array of the
-    group; ``n`` comes from a group-by joined back (one row per group).
+    Ranks come from a range-partitioned sort (``functions.ranks``), so a
+    group holding a large share of the rows is spread over many tasks; ``n``
+    is a two-phase count per group, and the wanted ranks are joined in.
     """
-    w = Window.partitionBy(*by).orderBy(col)
-    ranked = df.where(F.col(col).isNotNull()).select(*by, col, (F.row_number().over(w) - 1).alias("_r"))
-    counts = df.where(F.col(col).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    base = df.where(F.col(col).isNotNull()).select(*by, col)
+    ranked = sorted_positions(base, [col], by)
+    counts = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     qs = F.array(*[F.lit(float(q)) for q in probs])
-    targets = counts.select(
-        *by, F.explode(qs).alias("q"), "_n"
-    ).select(*by, "q", F.floor((F.col("_n") - 1).cast("double") * F.col("q") + F.lit(0.5)).cast("bigint").alias("_r"))
-    return ranked.join(targets, [*by, "_r"]).select(*by, "q", F.col(col).alias("value"))
+    targets = counts.select(*by, F.explode(qs).alias("q"), "_n").select(
+        *by, "q", F.floor((F.col("_n") - 1).cast("double") * F.col("q") + F.lit(0.5)).cast("bigint").alias(POS)
+    )
+    return ranked.join(targets, [*by, POS]).select(*by, "q", F.col(col).alias("value"))
 
 
 def residual_acf(

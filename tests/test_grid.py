@@ -64,3 +64,23 @@ def test_forecast_tail_grid_equals_window(spark, small_buckets):
         b = _set(forecast_series(df, model, 5))
         assert [(u, d, s) for u, d, _, s in a] == [(u, d, s) for u, d, _, s in b]
         assert [v for _, _, v, _ in a] == pytest.approx([v for _, _, v, _ in b])
+
+
+def test_sorted_positions_equals_row_number_with_hot_group(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from hourglass.functions.ranks import POS, sorted_positions
+
+    rng = np.random.default_rng(5)
+    rows = [("hot", float(v)) for v in rng.normal(size=3000)] + [
+        (f"g{i}", float(v)) for i in range(20) for v in rng.normal(size=20)
+    ]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = sorted_positions(df, ["v"], ["g"], num_partitions=8)
+    parts = got.select(F.spark_partition_id().alias("p"), "g").where("g = 'hot'").select("p").distinct().count()
+    assert parts > 1  # the hot group is spread over several range partitions
+    exp = df.select("g", "v", (F.row_number().over(Window.partitionBy("g").orderBy("v")) - 1).alias(POS))
+    assert sorted(tuple(r) for r in got.select("g", "v", POS).collect()) == sorted(tuple(r) for r in exp.collect())
+    glob = sorted_positions(df, ["g", "v"], num_partitions=8).select(POS).collect()
+    assert sorted(r[0] for r in glob) == list(range(len(rows)))
