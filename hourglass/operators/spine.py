@@ -103,18 +103,31 @@ def fill_series_gaps(
     series, never crossed with the data.
     """
     step = interval_expr(freq)
+    # Not-null predicates stated once, and every derived frame (per-series
+    # bounds, global bounds) is an aggregate over the *values* of this input,
+    # so Catalyst cannot push it down to a separate scan of the raw data: all
+    # branches share one scan and one shuffle of ``df`` (exchange reuse).
+    base = df.select(unique_id, ds, target).where(F.col(unique_id).isNotNull() & F.col(ds).isNotNull())
+    # min/max of ds written as min_by/max_by over (ds, target): the same
+    # values, but they read the target, so the optimizer keeps the input's
+    # own aggregate here instead of a cheaper separate one.
+    order = F.struct(F.col(ds), F.col(target))
+    per_series = base.groupBy(unique_id).agg(
+        F.min_by(F.col(ds), order).alias("_lo"), F.max_by(F.col(ds), order).alias("_hi")
+    )
     if span == "global":
-        # Two scalar subqueries (merged into one aggregate by Catalyst).
-        lo = df.select(F.min(ds)).scalar()
-        hi = df.select(F.max(ds)).scalar()
-        per_series = df.select(unique_id).distinct().select(unique_id, lo.alias("_lo"), hi.alias("_hi"))
-    elif span == "series":
-        per_series = df.groupBy(unique_id).agg(F.min(ds).alias("_lo"), F.max(ds).alias("_hi"))
-    else:
+        lo = per_series.select(F.min("_lo")).scalar()
+        hi = per_series.select(F.max("_hi")).scalar()
+        # least/greatest with the series' own bounds equal the global bounds
+        # and keep this branch identical to the one the scalars read.
+        per_series = per_series.select(
+            unique_id, F.least(F.col("_lo"), lo).alias("_lo"), F.greatest(F.col("_hi"), hi).alias("_hi")
+        )
+    elif span != "series":
         raise ValueError("span must be 'global' or 'series'")
     grid = per_series.select(unique_id, F.explode(F.sequence("_lo", "_hi", step)).alias(ds))
     return (
-        grid.join(df.select(unique_id, ds, target), [unique_id, ds], "left")
+        grid.join(base, [unique_id, ds], "left")
         .select(unique_id, ds, F.coalesce(F.col(target), F.lit(0).cast(df.schema[target].dataType)).alias(target))
     )
 
