@@ -599,3 +599,13 @@ rec(unique_id, last, k, v) AS (
 SELECT unique_id, last + to_days(CAST(k AS INTEGER)) AS ds, round(v, 6) AS y_pred, CAST(k AS INTEGER) AS step
 FROM rec WHERE k >= 1
 """)
+
+sql("hourly_lags", with_(hourly_cte("hd")) + """,
+s AS (SELECT pickup_location_id AS unique_id, pickup_datetime_hour AS ds, num_pickup AS y FROM hd),
+l AS (
+    SELECT ds, unique_id, y, lag(y, 1) OVER w AS y__1__lag, lag(y, 24) OVER w AS y__24__lag,
+           lag(y, 168) OVER w AS y__168__lag
+    FROM s WINDOW w AS (PARTITION BY unique_id ORDER BY ds)
+)
+SELECT * FROM l WHERE y__1__lag IS NOT NULL AND y__24__lag IS NOT NULL AND y__168__lag IS NOT NULL
+""")

@@ -12,6 +12,9 @@ from hourglass.plans import inputs as I
 from hourglass.plans.catalog import query, rounded
 from hourglass.plans.q_etl import hourly_demand_df
 
+# Hourly lags (1 hour, 1 day, 1 week).
+HOURLY_LAGS = [1, 24, 168]
+
 
 @query("daily_sum")
 def q_daily_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,3 +48,13 @@ def q_series_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
         series_slice(pred, ["y_hat"], target="y", locations=None, plot_from="2001-01-01")
         .where("unique_id IN ('1-URGENT', '5-LOW')")
     )
+
+
+@query("hourly_lags")
+def q_hourly_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly demand renamed to series columns (P10), lags of 1 hour, 1 day
+    and 1 week on the complete hourly grid (W1, grid mode)."""
+    from hourglass.operators.select import rename_to_series
+
+    series = rename_to_series(hourly_demand_df(spark, sf_dir)).select("unique_id", "ds", "y")
+    return time_lags(series, HOURLY_LAGS, grid_freq="1h")
