@@ -149,12 +149,3 @@ def to_datetime(value: "str | date | datetime") -> datetime:
     if isinstance(value, date):
         return datetime(value.year, value.month, value.day)
     return datetime.fromisoformat(str(value))
-
-
-def steps_between(start: Column, end: Column, spec: "str | Duration") -> Column:
-    """Whole number of ``spec`` steps from ``start`` to ``end`` (fixed-time specs)."""
-    d = parse_duration(spec)
-    if d.months:
-        return F.floor(F.months_between(end, start) / F.lit(d.months)).cast("int")
-    diff = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    return F.floor(diff / F.lit(d.micros)).cast("int")

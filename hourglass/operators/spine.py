@@ -74,7 +74,13 @@ def surrogate_key(hour: "str | Column" = HOUR, loc: "str | Column" = LOC) -> Col
     """``'YYYY-MM-DD HH:MM:SS.ffffff-<location>'``; null if either part is null."""
     h = F.col(hour) if isinstance(hour, str) else hour
     lc = F.col(loc) if isinstance(loc, str) else loc
-    return F.concat(F.date_format(h, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("-"), lc.cast("string"))
+    # Built from the wall-clock fields of the timestamp_ntz value, so the text
+    # never passes through a zoned timestamp (no session time-zone effect).
+    micros = (F.extract(F.lit("SECOND"), h) * F.lit(1_000_000)).cast("long") % F.lit(1_000_000)
+    text = F.format_string(
+        "%s %02d:%02d:%02d.%06d", F.to_date(h).cast("string"), F.hour(h), F.minute(h), F.second(h), micros
+    )
+    return F.concat(text, F.lit("-"), lc.cast("string"))
 
 
 def add_surrogate_key(df: DataFrame) -> DataFrame:

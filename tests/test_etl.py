@@ -181,3 +181,18 @@ def test_months_of(spark):
 
     m = months_of(I.table(spark, SF, "orders"), "o_orderdate")
     assert m.agg(F.sum("records")).first()[0] == I.table(spark, SF, "orders").count()
+
+
+def test_key_and_hours_independent_of_session_time_zone(spark):
+    from hourglass.operators.spine import surrogate_key
+    from hourglass.functions.time import trunc_hour
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(datetime(2024, 3, 10, 2, 30, 5), 1)], "ts timestamp_ntz, loc int")
+        r = df.select(trunc_hour("ts").alias("h"), "loc").select("h", surrogate_key("h", "loc").alias("k")).first()
+        assert r.h == datetime(2024, 3, 10, 2, 0)  # an hour that does not exist in that zone
+        assert r.k == "2024-03-10 02:00:00.000000-1"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
