@@ -76,9 +76,11 @@ def surrogate_key(hour: "str | Column" = HOUR, loc: "str | Column" = LOC) -> Col
     lc = F.col(loc) if isinstance(loc, str) else loc
     # Built from the wall-clock fields of the timestamp_ntz value, so the text
     # never passes through a zoned timestamp (no session time-zone effect).
+    # ``cast(ntz as string)`` is zone-free; its first 19 characters are
+    # 'YYYY-MM-DD HH:MM:SS', the fraction is added as exactly six digits.
     micros = (F.extract(F.lit("SECOND"), h) * F.lit(1_000_000)).cast("long") % F.lit(1_000_000)
-    text = F.format_string(
-        "%s %02d:%02d:%02d.%06d", F.to_date(h).cast("string"), F.hour(h), F.minute(h), F.second(h), micros
+    text = F.concat(
+        F.substring(h.cast("string"), 1, 19), F.lit("."), F.lpad(micros.cast("string"), 6, "0")
     )
     return F.concat(text, F.lit("-"), lc.cast("string"))
 
