@@ -107,9 +107,8 @@ class HourlyTable:
 
         The batch is first written to a staging folder under the session's
         ``spark.checkpoint.dir`` (shared storage: survives executor loss and
-        cuts the lineage), then
-        merged with the current rows of the touched months and written with
-        dynamic partition overwrite.
+        cuts the lineage), then merged with the current rows of the touched
+        months and written back with dynamic partition overwrite.
         """
         self.ensure()
         batch = enforce_schema(new, self.schema).withColumn(MONTH_PARTITION, month_start(HOUR))
@@ -126,14 +125,24 @@ class HourlyTable:
         merged = upsert_by_key(
             current, staged, key=key, order_cols=order_cols, update_cols=update_cols, null_keys=null_keys
         )
-        merged_stage = f"{stage}-merged"
-        merged.write.mode("overwrite").partitionBy(MONTH_PARTITION).parquet(merged_stage)
-        out = self.spark.read.schema(self.disk_schema).parquet(merged_stage)
-
-        mode = "dynamic" if key_fixes_month else "static"
         prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        merged_stage = None
         try:
+            if key_fixes_month:
+                # Dynamic overwrite: tasks read the touched months and write new
+                # files to Spark's job staging folder; the month folders are only
+                # replaced at job commit, so a failed or retried job leaves the
+                # table as it was.
+                self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+                out = merged
+            else:
+                # Keys may move between months, so every month is rewritten and
+                # a month left empty must disappear: static overwrite, which
+                # cannot read its own target, so the merge is staged first.
+                merged_stage = f"{stage}-merged"
+                merged.write.mode("overwrite").partitionBy(MONTH_PARTITION).parquet(merged_stage)
+                out = self.spark.read.schema(self.disk_schema).parquet(merged_stage)
+                self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
             (
                 out.repartitionByRange(MONTH_PARTITION, key)
                 .write.mode("overwrite")
@@ -143,4 +152,5 @@ class HourlyTable:
         finally:
             self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
         _fs_delete(self.spark, stage)
-        _fs_delete(self.spark, merged_stage)
+        if merged_stage:
+            _fs_delete(self.spark, merged_stage)

@@ -143,3 +143,10 @@ def test_null_location_never_matches(spark):
     rows = FETCH_ROWS + [("E", datetime(2023, 1, 1, 12), 5, None)]
     got = fetch_range(frame(spark, rows), datetime(2000, 1, 1), datetime(2099, 1, 1), [1, 2])
     assert got.where(F.col("key") == "E").count() == 0
+
+
+def test_table_key_moving_month_leaves_no_stale_row(spark, tmp_dir):
+    t = HourlyTable(spark, f"{tmp_dir}/pickup_hourly")
+    t.upsert(frame(spark, [("k1", datetime(2023, 1, 5), 1, 1)]), key_fixes_month=False)
+    t.upsert(frame(spark, [("k1", datetime(2023, 2, 5), 9, 1)]), key_fixes_month=False)
+    assert as_dict(t.read()) == {"k1": (9, 1, datetime(2023, 2, 5))}
