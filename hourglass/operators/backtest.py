@@ -152,6 +152,7 @@ def rolling_origin_forecast(
     unique_id: str = "unique_id",
     ds: str = "ds",
     target: str = "y",
+    grid: bool = False,
 ) -> DataFrame:
     """h-step forecasts from every origin of every fold, joined to actuals.
 
@@ -171,15 +172,24 @@ def rolling_origin_forecast(
     L = max(lags)
     part = ["fold_id", unique_id]
     rows = test_rows.where(F.col("fold_id").isNotNull()).select(*part, ds, target)
-    w = Window.partitionBy(*part).orderBy(ds)
-    hist = history_arrays(rows, L, target, ds, part).withColumn("_next", F.lead(ds).over(w))
-    c = F.broadcast(cutoffs.withColumnRenamed("fold_id", "_cf"))
-    cond = (
-        (F.col("fold_id") == F.col("_cf"))
-        & (F.col("cutoff") >= F.col(ds))
-        & (F.col("_next").isNull() | (F.col("cutoff") < F.col("_next")))
-    )
-    origin = hist.join(c, cond, "inner").where(F.size("_hist") >= L)
+    if grid:
+        # Complete grid: the as-of row of a cutoff is the row at ds == cutoff,
+        # so the origins are a plain equi-join on (fold, ds) -- balanced by
+        # time, no broadcast needed (AQE picks the join by measured size).
+        hist = history_arrays(rows, L, target, ds, part)
+        c = cutoffs.select("fold_id", F.col("cutoff").alias(ds), "cutoff")
+        origin = hist.join(c, ["fold_id", ds], "inner").where(F.size("_hist") >= L)
+    else:
+        w = Window.partitionBy(*part).orderBy(ds)
+        hist = history_arrays(rows, L, target, ds, part).withColumn("_next", F.lead(ds).over(w))
+        # The cutoff frame has one row per origin (bounded by the time span).
+        c = F.broadcast(cutoffs.withColumnRenamed("fold_id", "_cf"))
+        cond = (
+            (F.col("fold_id") == F.col("_cf"))
+            & (F.col("cutoff") >= F.col(ds))
+            & (F.col("_next").isNull() | (F.col("cutoff") < F.col("_next")))
+        )
+        origin = hist.join(c, cond, "inner").where(F.size("_hist") >= L)
     if params is None:
         step = mean_step(lags)
     else:
@@ -305,7 +315,7 @@ def backtest(
         params = fit_per_fold(series, folds, lags, unique_id, ds, target, grid_freq=freq if grid else None)
     elif model != "mean":
         raise ValueError("model must be 'mean' or 'linear'")
-    fc = rolling_origin_forecast(tagged, cutoffs, h, lags, params, freq, unique_id, ds, target)
+    fc = rolling_origin_forecast(tagged, cutoffs, h, lags, params, freq, unique_id, ds, target, grid=grid)
     return evaluate_forecast(fc, unique_id, ds, target)
 
 

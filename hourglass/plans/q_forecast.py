@@ -84,7 +84,7 @@ def _rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = _daily(spark, sf_dir)
     tagged = BT.assign_test_fold(daily, _folds(spark, sf_dir))
     cutoffs = BT.rolling_cutoffs(tagged, max(I.LAGS), I.HORIZON)
-    return BT.rolling_origin_forecast(tagged, cutoffs, I.HORIZON, I.LAGS)
+    return BT.rolling_origin_forecast(tagged, cutoffs, I.HORIZON, I.LAGS, grid=True)
 
 
 @query("rolling_origin_forecast")
@@ -106,7 +106,7 @@ def q_metrics_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("backtest")
 def q_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
-        BT.backtest(_daily(spark, sf_dir), I.TEST_FROM, I.FOLD_EVERY, I.HORIZON, I.LAGS, model="mean")
+        BT.backtest(_daily(spark, sf_dir), I.TEST_FROM, I.FOLD_EVERY, I.HORIZON, I.LAGS, model="mean", grid=True)
     )
 
 

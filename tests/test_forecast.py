@@ -179,6 +179,11 @@ def test_rolling_origin_brute_force(spark):
         (r.fold_id, r.unique_id, r.cutoff, r.ds): r.y_pred
         for r in BT.rolling_origin_forecast(tagged, cutoffs, h, lags).collect()
     }
+    got_grid = {
+        (r.fold_id, r.unique_id, r.cutoff, r.ds): r.y_pred
+        for r in BT.rolling_origin_forecast(tagged, cutoffs, h, lags, grid=True).collect()
+    }
+    assert got_grid == got
     # brute force
     fl = folds.collect()
     exp = {}
