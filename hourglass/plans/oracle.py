@@ -609,3 +609,5 @@ l AS (
 )
 SELECT * FROM l WHERE y__1__lag IS NOT NULL AND y__24__lag IS NOT NULL AND y__168__lag IS NOT NULL
 """)
+
+sql("table_fetch", ORACLE_SQL["fetch_range"])

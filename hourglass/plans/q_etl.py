@@ -124,3 +124,22 @@ def q_fetch_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hourglass.operators.select import fetch_range
 
     return fetch_range(hourly_demand_df(spark, sf_dir), "2000-01-01", "2099-01-01", [3, 7, 42])
+
+
+@query("table_fetch")
+def q_table_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2-S4 + U2 + P6 on the real table: the hourly demand of the events is
+    upserted into a fresh month-partitioned table under spark.checkpoint.dir
+    (first write, then the same batch again: idempotent), and a range is read
+    back with partition pruning and pushed filters."""
+    import uuid
+
+    from hourglass.session import ensure_checkpoint_dir
+    from hourglass.sources.table import HourlyTable
+
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    table = HourlyTable(spark, f"{root}/hourglass-tables/pickup_hourly-{uuid.uuid4().hex}")
+    batch = hourly_demand_df(spark, sf_dir)
+    table.upsert(batch)
+    table.upsert(batch)
+    return table.fetch("2024-01-10", "2024-01-20")

@@ -88,6 +88,23 @@ class HourlyTable:
         df = self.scan().where(months)
         return enforce_schema(fetch_range(df, a, b, pickup_locations, closed), self.schema)
 
+    # ------------------------------------------------------------------ S4
+    def write(self, df: DataFrame) -> None:
+        """Replace the whole table with ``df`` (static overwrite, month folders,
+        rows clustered by month and key)."""
+        out = enforce_schema(df, self.schema).withColumn(MONTH_PARTITION, month_start(HOUR))
+        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+        try:
+            (
+                out.repartitionByRange(MONTH_PARTITION, "key")
+                .write.mode("overwrite")
+                .partitionBy(MONTH_PARTITION)
+                .parquet(self.path)
+            )
+        finally:
+            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+
     # ---------------------------------------------------------- U2 + S4
     def upsert(
         self,

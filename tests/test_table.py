@@ -150,3 +150,10 @@ def test_table_key_moving_month_leaves_no_stale_row(spark, tmp_dir):
     t.upsert(frame(spark, [("k1", datetime(2023, 1, 5), 1, 1)]), key_fixes_month=False)
     t.upsert(frame(spark, [("k1", datetime(2023, 2, 5), 9, 1)]), key_fixes_month=False)
     assert as_dict(t.read()) == {"k1": (9, 1, datetime(2023, 2, 5))}
+
+
+def test_table_write_replaces_everything(spark, tmp_dir):
+    t = HourlyTable(spark, f"{tmp_dir}/pickup_hourly")
+    t.write(frame(spark, CURRENT))
+    t.write(frame(spark, NEW))
+    assert set(as_dict(t.read())) == {"B_2023_01", "C_2023_01", "D_2023_01"}
