@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hourglass.functions.draws import combine_keys, draw_index, nearest_rank, text_key
 from hourglass.functions.ranks import POS, sorted_positions
 
-# Interval ends used by the original notebooks.
+# Interval ends of the original analysis.
 LOWER_Q = 0.025
 UPPER_Q = 0.975
 

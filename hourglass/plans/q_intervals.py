@@ -11,7 +11,7 @@ from hourglass.operators.forecast import LagModel, forecast_series, mean_lag_pre
 from hourglass.plans import inputs as I
 from hourglass.plans.catalog import query, rounded
 
-# Bootstrap sizes and seed of the original notebooks.
+# Bootstrap sizes and seed of the original analysis.
 B_ROW = 500
 B_PATH = 1000
 SEED = 25
