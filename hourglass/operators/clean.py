@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.functions.time import ntz_lit
+from hourglass.functions.time import ntz_lit, trunc_hour
 from hourglass.schema import enforce_schema, standardize_raw_schema
 from hourglass.sources.raw import with_file_month
 
@@ -90,3 +90,51 @@ def transform_raw(df: DataFrame, year: int | None = None, month: int | None = No
     counts = hourly_counts(clean)
     filled = fill_missing_hours(counts)
     return enforce_schema(add_surrogate_key(filled))
+
+
+def load_monthly(raw: DataFrame, table, year: int | None = None, month: int | None = None) -> DataFrame:
+    """Load raw trip files into the hourly table and report their validity
+    (the monthly load, all months at once) with ONE scan of the raw data.
+
+    The raw rows are aggregated once by (file month, hour, location, in-month
+    flag) -- a frame of hours x locations, tiny next to the raw data -- and
+    that aggregate is checkpointed to ``spark.checkpoint.dir``.  The validity
+    report (same columns as :func:`validity_report`) and the zero-filled,
+    keyed rows upserted into ``table`` are both derived from it.  Returns the
+    report.
+    """
+    from hourglass.operators.spine import HOUR, add_surrogate_key, fill_missing_hours
+    from hourglass.session import ensure_checkpoint_dir
+
+    clean = standardize_raw_schema(raw)
+    if "file_month" not in clean.columns:
+        if year is None or month is None:
+            raise ValueError("give year and month, or raw rows with file_month")
+        clean = with_file_month(clean, year, month)
+    agg = (
+        clean.where(F.col(TS).isNotNull())
+        .groupBy("file_month", trunc_hour(TS).alias(HOUR), F.col(LOC), in_month(TS, year, month).alias("_in"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    ensure_checkpoint_dir(agg.sparkSession)
+    agg = agg.checkpoint(eager=True)
+
+    report = agg.groupBy("file_month").agg(
+        F.sum(F.when(F.col("_in"), F.col("_n")).otherwise(F.lit(0))).cast("bigint").alias("records_in_range"),
+        F.sum("_n").cast("bigint").alias("total_records"),
+        F.sum(F.when(F.col("_in") & F.col(LOC).isNull(), F.col("_n")).otherwise(F.lit(0))).cast("bigint").alias(
+            "null_locations"
+        ),
+    ).select(
+        "file_month",
+        "total_records",
+        "records_in_range",
+        (F.col("total_records") - F.col("records_in_range")).alias("records_deleted"),
+        F.try_divide(F.col("records_in_range") * F.lit(100.0), F.col("total_records")).alias("pct_in_range"),
+        "null_locations",
+    )
+    counts = agg.where(F.col("_in") & F.col(LOC).isNotNull()).select(
+        "file_month", HOUR, LOC, F.col("_n").alias("num_pickup")
+    )
+    table.upsert(enforce_schema(add_surrogate_key(fill_missing_hours(counts))))
+    return report

@@ -611,3 +611,6 @@ SELECT * FROM l WHERE y__1__lag IS NOT NULL AND y__24__lag IS NOT NULL AND y__16
 """)
 
 sql("table_fetch", ORACLE_SQL["fetch_range"])
+
+sql("load_report", ORACLE_SQL["validity_report"])
+sql("load_table", ORACLE_SQL["hourly_demand_multi_month"])

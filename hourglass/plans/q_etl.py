@@ -143,3 +143,35 @@ def q_table_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     table.upsert(batch)
     table.upsert(batch)
     return table.fetch("2024-01-10", "2024-01-20")
+
+
+@query("load_report")
+def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 in one raw scan: orders tagged by year (seven 'files') are loaded into
+    a fresh table under spark.checkpoint.dir; the validity report comes from
+    the same aggregate."""
+    import uuid
+
+    from hourglass.operators.clean import load_monthly
+    from hourglass.session import ensure_checkpoint_dir
+    from hourglass.sources.table import HourlyTable
+
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    table = HourlyTable(spark, f"{root}/hourglass-tables/load-{uuid.uuid4().hex}")
+    return rounded(load_monthly(orders_tagged_by_year(spark, sf_dir), table))
+
+
+@query("load_table")
+def q_load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table written by the one-scan load, read back whole: equals the
+    multi-month transform."""
+    import uuid
+
+    from hourglass.operators.clean import load_monthly
+    from hourglass.session import ensure_checkpoint_dir
+    from hourglass.sources.table import HourlyTable
+
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    table = HourlyTable(spark, f"{root}/hourglass-tables/load-{uuid.uuid4().hex}")
+    load_monthly(orders_tagged_by_year(spark, sf_dir), table)
+    return table.read()

@@ -196,3 +196,30 @@ def test_key_and_hours_independent_of_session_time_zone(spark):
         assert r.k == "2024-03-10 02:00:00.000000-1"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_load_monthly_one_scan_equals_separate_steps(spark, tmp_dir):
+    from hourglass.operators.clean import load_monthly
+    from hourglass.sources.table import HourlyTable
+
+    rows = {
+        (2024, 1): [datetime(2024, 1, 3, 4, 5), datetime(2024, 1, 3, 4, 50), datetime(2024, 2, 1, 0, 0), None],
+        (2024, 2): [datetime(2024, 2, 29, 23, 59)],
+    }
+    for (y, m), ts in rows.items():
+        t = pa.table(
+            {
+                "tpep_pickup_datetime": pa.array(ts, pa.timestamp("us")),
+                "passenger_count": pa.array([1.0] * len(ts)),
+                "PULocationID": pa.array([7] * (len(ts) - 1) + [None], pa.int64()),
+            }
+        )
+        pq.write_table(t, f"{tmp_dir}/{raw_file_name(y, m)}")
+    raw = scan_monthly_files(spark, tmp_dir)
+    table = HourlyTable(spark, f"{tmp_dir}/table")
+    report = {r.file_month: tuple(r) for r in load_monthly(raw, table).collect()}
+    direct = {r.file_month: tuple(r) for r in validity_report(standardize_raw_schema(raw)).collect()}
+    assert report == direct
+    got = sorted(tuple(r) for r in table.read().collect())
+    exp = sorted(tuple(r) for r in transform_raw(raw).collect())
+    assert got == exp
