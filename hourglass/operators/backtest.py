@@ -269,8 +269,15 @@ def fit_per_fold(
     spark = series.sparkSession
     feats = lag_features(series, lags, unique_id, ds, target, grid_freq=grid_freq)
     tagged = segment_of(assign_test_fold(feats, folds, ds), folds, ds).where(F.col("_seg").isNotNull())
-    sums = {r["_seg"]: r.asDict() for r in normal_equation_sums(tagged, lags, target, ["_seg"]).collect()}
-    fold_ids = sorted(r[0] for r in folds.select("fold_id").collect())
+    # One action: every fold id (also folds without test rows) with its
+    # segment sums, plus the segment before the first fold (-1).
+    segs = normal_equation_sums(tagged, lags, target, ["_seg"])
+    ids = folds.select(F.col("fold_id").alias("_seg")).unionByName(
+        series.sparkSession.range(1).select(F.lit(-1).cast("int").alias("_seg"))
+    )
+    rows_ = ids.join(segs, "_seg", "left").collect()
+    sums = {r["_seg"]: r.asDict() for r in rows_ if any(v is not None for k, v in r.asDict().items() if k != "_seg")}
+    fold_ids = sorted(r["_seg"] for r in rows_ if r["_seg"] >= 0)
     rows = []
     keys = [k for k in next(iter(sums.values()), {}) if k.startswith("s__")] if sums else []
     acc = {k: 0.0 for k in keys}
