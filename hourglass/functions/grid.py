@@ -63,3 +63,36 @@ def with_halo(
 def bucket_window(unique_id: "str | list[str]", ds: str) -> Window:
     ids = [unique_id] if isinstance(unique_id, str) else list(unique_id)
     return Window.partitionBy(*ids, BUCKET_COL).orderBy(ds)
+
+
+def with_row_halo(
+    df: DataFrame,
+    unique_id: str,
+    ds: str,
+    halo: int,
+    bucket_rows: int | None = None,
+) -> DataFrame:
+    """Halo buckets by *row position* instead of time, for series that are
+    not complete grids (row-lag semantics kept exactly).
+
+    Positions inside each series come from a distributed sort
+    (:func:`hourglass.functions.ranks.sorted_positions`), so no task holds a
+    whole series even while numbering; a row at position p goes to bucket
+    ``p // bucket_rows`` and, when among the last ``halo`` rows of it, also to
+    the next bucket.
+    """
+    from hourglass.functions.ranks import POS, sorted_positions
+
+    size = bucket_rows or DEFAULT_BUCKET_STEPS
+    if halo > size:
+        raise ValueError("halo must not exceed the bucket size")
+    pos = sorted_positions(df, [ds], [unique_id])
+    b = F.floor(F.col(POS) / F.lit(size)).cast("long")
+    off = F.col(POS) - b * F.lit(size)
+    targets = F.when(off >= F.lit(size - halo), F.array(b, b + 1)).otherwise(F.array(b))
+    return (
+        pos.withColumn("_own", b)
+        .withColumn(BUCKET_COL, F.explode(targets))
+        .withColumn(HALO_COL, F.col(BUCKET_COL) != F.col("_own"))
+        .drop("_own", POS)
+    )

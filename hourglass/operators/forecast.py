@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourglass.functions.grid import HALO_COL, bucket_window, with_halo
+from hourglass.functions.grid import HALO_COL, bucket_window, with_halo, with_row_halo
 from hourglass.functions.time import add_duration
 from hourglass.operators.series import history_arrays, lag_name, row_mean, time_lags
 from hourglass.operators.spine import extend_horizon
@@ -92,6 +92,7 @@ def mean_lag_predict(
     ds: str = "ds",
     target: str = "y",
     grid: bool = False,
+    by_position: bool = False,
 ) -> DataFrame:
     """One-step predictions on the history plus one future row per series (T4).
 
@@ -105,14 +106,14 @@ def mean_lag_predict(
     """
     cols = X.columns
     ext = extend_horizon(X, 1, freq, unique_id, ds, target)
-    if not grid:
+    if not grid and not by_position:
         w = Window.partitionBy(unique_id).orderBy(ds)
         lag_cols = [F.lag(target, i).over(w) for i in lags]
         first = F.min(ds).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         out = ext.select(*cols, first.alias("_first"), row_mean(lag_cols).alias("y_hat"))
     else:
         firsts = X.groupBy(unique_id).agg(F.min(ds).alias("_first"))
-        h = with_halo(ext, ds, freq, max(lags))
+        h = with_halo(ext, ds, freq, max(lags)) if grid else with_row_halo(ext, unique_id, ds, max(lags))
         w = bucket_window(unique_id, ds)
         lag_cols = [F.lag(target, i).over(w) for i in lags]
         out = (
@@ -250,6 +251,7 @@ def lag_features(
     target: str = "y",
     keep: Sequence[str] = (),
     grid_freq: str | None = None,
+    by_position: bool = False,
 ) -> DataFrame:
     """Rows with every lag present (nulls dropped), plus an intercept column.
 
@@ -258,11 +260,14 @@ def lag_features(
     """
     names = [lag_name(target, i) for i in lags]
     base = X.select(unique_id, ds, F.col(target).cast("double").alias(target), *keep)
-    if grid_freq is None:
+    if grid_freq is None and not by_position:
         w = Window.partitionBy(unique_id).orderBy(ds)
         out = base.select("*", *[F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)])
     else:
-        h = with_halo(base, ds, grid_freq, max(lags))
+        if grid_freq is not None:
+            h = with_halo(base, ds, grid_freq, max(lags))
+        else:
+            h = with_row_halo(base, unique_id, ds, max(lags))
         w = bucket_window(unique_id, ds)
         out = (
             h.select(*base.columns, HALO_COL, *[F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)])

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourglass.functions.grid import HALO_COL, bucket_window, with_halo
+from hourglass.functions.grid import HALO_COL, bucket_window, with_halo, with_row_halo
 from hourglass.functions.ranks import POS, sorted_positions
 
 
@@ -76,6 +76,7 @@ def residual_acf(
     unique_id: str = "unique_id",
     ds: str = "ds",
     grid_freq: str | None = None,
+    by_position: bool = False,
 ) -> DataFrame:
     """Autocorrelation at lags 1..max_lag per series, lag 0 left out.
 
@@ -88,11 +89,14 @@ def residual_acf(
     means = base.groupBy(unique_id).agg(F.avg(col).alias("_mean"))
     centred = base.join(means, unique_id).select(unique_id, ds, (F.col(col) - F.col("_mean")).alias("_c"))
     lag_exprs = lambda w: [F.lag("_c", k).over(w).alias(f"_l{k}") for k in range(1, max_lag + 1)]
-    if grid_freq is None:
+    if grid_freq is None and not by_position:
         w = Window.partitionBy(unique_id).orderBy(ds)
         lagged = centred.select(unique_id, "_c", *lag_exprs(w))
     else:
-        h = with_halo(centred, ds, grid_freq, max_lag)
+        if grid_freq is not None:
+            h = with_halo(centred, ds, grid_freq, max_lag)
+        else:
+            h = with_row_halo(centred, unique_id, ds, max_lag)
         w = bucket_window(unique_id, ds)
         lagged = h.select(unique_id, "_c", HALO_COL, *lag_exprs(w)).where(~F.col(HALO_COL))
     sums = lagged.groupBy(unique_id).agg(

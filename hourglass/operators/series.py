@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourglass.functions.grid import HALO_COL, bucket_window, with_halo
+from hourglass.functions.grid import HALO_COL, bucket_window, with_halo, with_row_halo
 from hourglass.functions.time import add_duration, parse_duration, trunc_day, trunc_hour
 
 
@@ -45,6 +45,7 @@ def time_lags(
     unique_id: str = "unique_id",
     drop_nulls: bool = True,
     grid_freq: str | None = None,
+    by_position: bool = False,
 ) -> DataFrame:
     """Row-based lags of ``target`` inside each series ordered by time.
 
@@ -54,13 +55,19 @@ def time_lags(
     ``grid_freq`` (e.g. ``'1d'``) declares the series complete on that grid;
     the window then runs per (series, time bucket) with halo rows, so a long
     or hot series is spread over many tasks (same result).
+    ``by_position=True`` does the same for any series (gaps allowed): the
+    buckets are cut by row position from a distributed sort.
     """
     names = [lag_name(target, i) for i in lags]
-    if grid_freq is None:
+    if grid_freq is None and not by_position:
         w = Window.partitionBy(unique_id).orderBy(ts_column)
         out = df.select(ts_column, unique_id, target, *[F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)])
     else:
-        h = with_halo(df.select(ts_column, unique_id, target), ts_column, grid_freq, max(lags))
+        base = df.select(ts_column, unique_id, target)
+        if grid_freq is not None:
+            h = with_halo(base, ts_column, grid_freq, max(lags))
+        else:
+            h = with_row_halo(base, unique_id, ts_column, max(lags))
         w = bucket_window(unique_id, ts_column)
         out = (
             h.select(ts_column, unique_id, target, HALO_COL, *[F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)])

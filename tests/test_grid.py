@@ -84,3 +84,40 @@ def test_sorted_positions_equals_row_number_with_hot_group(spark):
     assert sorted(tuple(r) for r in got.select("g", "v", POS).collect()) == sorted(tuple(r) for r in exp.collect())
     glob = sorted_positions(df, ["g", "v"], num_partitions=8).select(POS).collect()
     assert sorted(r[0] for r in glob) == list(range(len(rows)))
+
+
+def test_position_buckets_equal_window_on_gappy_series(spark, small_buckets, monkeypatch):
+    monkeypatch.setattr(G, "DEFAULT_BUCKET_STEPS", 8)
+    rng = np.random.default_rng(3)
+    rows = []
+    for uid in ("A", "B", "C"):
+        t = datetime(2023, 1, 1)
+        for _ in range(int(rng.integers(5, 70))):
+            t += timedelta(hours=int(rng.integers(1, 50)))  # irregular gaps
+            rows.append((uid, t, int(rng.integers(0, 30))))
+    df = spark.createDataFrame(rows, "unique_id string, ds timestamp_ntz, y long")
+    lags = [1, 2, 5, 8]
+    a = _set(time_lags(df, lags, drop_nulls=False, by_position=True))
+    b = _set(time_lags(df, lags, drop_nulls=False))
+    assert a == b
+
+
+def test_position_buckets_predict_features_acf(spark, small_buckets, monkeypatch):
+    monkeypatch.setattr(G, "DEFAULT_BUCKET_STEPS", 8)
+    rng = np.random.default_rng(9)
+    rows = []
+    for uid in ("A", "B"):
+        t = datetime(2023, 1, 1)
+        for _ in range(int(rng.integers(20, 60))):
+            t += timedelta(days=int(rng.integers(1, 4)))
+            rows.append((uid, t, int(rng.integers(0, 30))))
+    df = spark.createDataFrame(rows, "unique_id string, ds timestamp_ntz, y long")
+    lags = [1, 3, 7]
+    assert _set(lag_features(df, lags, by_position=True)) == _set(lag_features(df, lags))
+    assert _set(mean_lag_predict(df, lags, "1d", by_position=True)) == _set(mean_lag_predict(df, lags, "1d"))
+    res = df.withColumn("residual", df.y.cast("double") - 12.5)
+    pa_ = {(r.unique_id, r.lag): r.acf for r in residual_acf(res, 6, by_position=True).collect()}
+    wa = {(r.unique_id, r.lag): r.acf for r in residual_acf(res, 6).collect()}
+    assert pa_.keys() == wa.keys()
+    for k in pa_:
+        assert pa_[k] == pytest.approx(wa[k])
