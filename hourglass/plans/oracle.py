@@ -614,3 +614,5 @@ sql("table_fetch", ORACLE_SQL["fetch_range"])
 
 sql("load_report", ORACLE_SQL["validity_report"])
 sql("load_table", ORACLE_SQL["hourly_demand_multi_month"])
+
+sql("stream_then_close_month", ORACLE_SQL["hourly_demand"])

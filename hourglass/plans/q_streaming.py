@@ -20,3 +20,18 @@ def q_stream_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = start_hourly_stream(spark, events_trip_stream(spark, sf_dir), table, checkpoint=f"{root}/_ckpt")
     q.awaitTermination()
     return table.read()
+
+
+@query("stream_then_close_month")
+def q_stream_then_close_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming counts into a table, then the month is closed (zero fill):
+    the table equals the batch hourly demand table."""
+    from hourglass.plans import inputs as I
+    from hourglass.streaming.hourly import close_month
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hourglass-stream-run-{uuid.uuid4().hex}"
+    table = HourlyTable(spark, f"{root}/pickup_hourly")
+    q = start_hourly_stream(spark, events_trip_stream(spark, sf_dir), table, checkpoint=f"{root}/_ckpt")
+    q.awaitTermination()
+    close_month(table, I.TRIP_YEAR, I.TRIP_MONTH)
+    return table.read()

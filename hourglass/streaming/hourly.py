@@ -105,3 +105,24 @@ def events_trip_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) ->
         .parquet(sf_dir)
     )
     return raw.select(F.col("ts").alias(TS), F.col("user_id").cast("int").alias(LOC))
+
+
+def close_month(table: HourlyTable, year: int, month: int) -> None:
+    """Zero-fill a finished month of the table (the batch step after the
+    stream): every location with trips that month gets every hour, missing
+    hours as 0.  Reads only that month (partition pruning) and upserts only
+    into it."""
+    from datetime import date
+
+    from hourglass.operators.spine import fill_missing_hours
+    from hourglass.schema import enforce_schema
+
+    start = date(year, month, 1)
+    end = date(year + 1, 1, 1) if month == 12 else date(year, month + 1, 1)
+    counts = table.fetch(start, end).select(
+        F.lit(start).cast("date").alias("file_month"), HOUR, LOC, F.col(N).cast("bigint").alias(N)
+    )
+    filled = fill_missing_hours(counts).select(
+        surrogate_key(HOUR, LOC).alias("key"), HOUR, F.col(N).cast("int").alias(N), LOC
+    )
+    table.upsert(enforce_schema(filled), key_fixes_month=True)
