@@ -357,3 +357,23 @@ def model_frame(spark, model: LagModel, fold_id: int | None = None) -> DataFrame
     if fold_id is not None:
         row = {"fold_id": fold_id, **row}
     return spark.createDataFrame([row])
+
+
+def save_model(spark, model: LagModel, path: str) -> None:
+    """Persist a fitted model as one parquet row (kind, freq, lags, intercept, coefs)."""
+    row = {
+        "kind": "mean" if model.coefs is None else "linear",
+        "freq": model.freq,
+        "lags": [int(x) for x in model.lags],
+        "intercept": float(model.intercept),
+        "coefs": [float(c) for c in (model.coefs or ())],
+    }
+    schema = "kind string, freq string, lags array<int>, intercept double, coefs array<double>"
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_model(spark, path: str) -> LagModel:
+    """Read a model written by :func:`save_model`."""
+    r = spark.read.parquet(path).first()
+    coefs = None if r["kind"] == "mean" else tuple(r["coefs"])
+    return LagModel(tuple(r["lags"]), r["freq"], r["intercept"], coefs)

@@ -216,3 +216,17 @@ def test_backtest_linear_runs(spark):
     rows = m.collect()
     assert {r.horizon for r in rows} <= set(range(1, 8))
     assert all(r.mae >= 0 and r.score >= r.mae for r in rows)
+
+
+def test_model_save_load_round_trip(spark, tmp_dir):
+    from hourglass.operators.forecast import load_model, save_model
+
+    df, _ = _series(spark, 50)
+    fitted = fit_lag_regression(df, [1, 7])
+    for m in (fitted, LagModel((1, 7, 14))):
+        save_model(spark, m, f"{tmp_dir}/model")
+        back = load_model(spark, f"{tmp_dir}/model")
+        assert back == m
+        a = sorted(tuple(r) for r in forecast_series(df, back, 3).collect())
+        b = sorted(tuple(r) for r in forecast_series(df, m, 3).collect())
+        assert a == b
