@@ -116,3 +116,14 @@ def keep_dates(df: DataFrame, dates: DataFrame, ds: str = "ds", by: Sequence[str
     optionally also on ``by`` columns (e.g. the series id)."""
     keys = [*by, ds]
     return df.join(dates.select(*keys).distinct(), keys, "left_semi")
+
+
+def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows by ``order`` (O3): a top-k (TakeOrderedAndProject),
+    each task keeps only its own top ``n`` before the final merge."""
+    return df.orderBy(*order).limit(n)
+
+
+def last_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The last ``n`` rows by ``order`` (O3)."""
+    return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)

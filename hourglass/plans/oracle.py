@@ -616,3 +616,7 @@ sql("load_report", ORACLE_SQL["validity_report"])
 sql("load_table", ORACLE_SQL["hourly_demand_multi_month"])
 
 sql("stream_then_close_month", ORACLE_SQL["hourly_demand"])
+
+sql("latest_rows", with_(hourly_cte("hd")) + """
+SELECT * FROM hd ORDER BY pickup_datetime_hour DESC, key DESC LIMIT 10
+""")

@@ -175,3 +175,11 @@ def q_load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = HourlyTable(spark, f"{root}/hourglass-tables/load-{uuid.uuid4().hex}")
     load_monthly(orders_tagged_by_year(spark, sf_dir), table)
     return table.read()
+
+
+@query("latest_rows")
+def q_latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: the ten newest rows of the hourly demand table (top-k report)."""
+    from hourglass.operators.select import last_rows
+
+    return last_rows(hourly_demand_df(spark, sf_dir), 10, ["pickup_datetime_hour", "key"])

@@ -121,13 +121,9 @@ def q_backtest_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_predict_for_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read [ref - max_lag days, ref + 1 day) of the hourly table, sum to
     days, predict the next day per location with the mean-lag model."""
-    from datetime import datetime, timedelta
+    from hourglass.operators.inference import predict_for_date
 
-    ref = datetime(2024, 1, 30)
-    hourly = fetch_range(hourly_demand_df(spark, sf_dir), ref - timedelta(days=max(I.LAGS)), ref + timedelta(days=1))
-    daily = daily_sum(hourly)
-    pred = mean_lag_predict(daily, I.LAGS, "1d", grid=True)
-    return rounded(pred.where(F.col("y").isNull()))
+    return rounded(predict_for_date(hourly_demand_df(spark, sf_dir), "2024-01-30", LagModel(tuple(I.LAGS)), grid=True))
 
 
 @query("horizon_predictions")

@@ -157,3 +157,27 @@ def test_table_write_replaces_everything(spark, tmp_dir):
     t.write(frame(spark, CURRENT))
     t.write(frame(spark, NEW))
     assert set(as_dict(t.read())) == {"B_2023_01", "C_2023_01", "D_2023_01"}
+
+
+def test_predict_for_date_from_table(spark, tmp_dir):
+    from hourglass.operators.forecast import LagModel
+    from hourglass.operators.inference import predict_for_date
+    from hourglass.operators.clean import transform_raw
+    from hourglass.plans import inputs as I
+    from tests.conftest import SF
+
+    t = HourlyTable(spark, f"{tmp_dir}/pickup_hourly")
+    t.upsert(transform_raw(I.raw_trips(spark, SF), 2024, 1))
+    mean = predict_for_date(t.scan(), "2024-01-30", LagModel((1, 7, 14, 28)), [3, 7], grid=True).collect()
+    assert {r.unique_id for r in mean} <= {3, 7} and all(r.ds == datetime(2024, 1, 31) for r in mean)
+    lin = LagModel((1, 7), "1d", 0.5, (0.5, 0.25))
+    got = predict_for_date(t.scan(), "2024-01-30", lin, [3]).collect()
+    daily = {
+        r.d: r.s
+        for r in t.read().where("pickup_location_id = 3").groupBy(F.to_date("pickup_datetime_hour").alias("d"))
+        .agg(F.sum("num_pickup").alias("s")).collect()
+    }
+    from datetime import date
+
+    exp = 0.5 + 0.5 * daily[date(2024, 1, 30)] + 0.25 * daily[date(2024, 1, 24)]
+    assert len(got) == 1 and got[0].y_pred == pytest.approx(exp)
