@@ -18,22 +18,59 @@ def raw_file_name(year: int, month: int) -> str:
     return RAW_FILE_PATTERN.format(year=year, month=month)
 
 
+def list_monthly_files(spark: SparkSession, root: str, glob: str = "*.parquet", month_regex: str = RAW_FILE_MONTH_REGEX):
+    """(path, first-of-month date) of every raw file under ``root`` whose
+    name holds a month.  File-system metadata only (bounded by the number of
+    monthly files, not by their size)."""
+    import re
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(conf)
+    statuses = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{glob}")) or []
+    found = []
+    rx = re.compile(month_regex)
+    for st in statuses:
+        path = st.getPath().toString()
+        m = rx.search(path)
+        if m:
+            found.append((path, date(int(m.group(1)), int(m.group(2)), 1)))
+    return sorted(found, key=lambda t: (t[1], t[0]))
+
+
 def scan_monthly_files(
     spark: SparkSession,
     root: str,
     glob: str = "*.parquet",
     month_regex: str = RAW_FILE_MONTH_REGEX,
     merge_schema: bool = False,
+    per_file: bool = True,
 ) -> DataFrame:
-    """Read every monthly raw file under ``root`` in ONE scan.
-
-    Each row carries ``file_month`` (date, first of month) taken from its own
-    file path through the hidden ``_metadata.file_path`` column (the month
-    may sit in the file name or in the name of a folder of part files), so all
-    months go through one plan instead of a loop of reads.  Files whose name
-    does not hold a month get a null ``file_month`` and are dropped later by
-    the in-month filter.
+    """Read every monthly raw file under ``root`` in ONE plan.
+
+    Each row carries ``file_month`` (date, first of month), the month its
+    file claims, so all months go through one plan instead of a loop of
+    reads.
+
+    ``per_file=True`` (default): the files are listed (metadata only), the
+    month is read from each name once, and the plan is a union of per-file
+    scans, each tagged with a literal month -- no per-row work to find the
+    month, and a month filter on top is pushed into every file's scan as
+    literal bounds (parquet row groups of other months are skipped).  Schema
+    drift between months is absorbed by ``unionByName(allowMissingColumns)``.
+    ``per_file=False``: one scan of the folder, the month taken per row from
+    the hidden ``_metadata.file_path`` column.
     """
+    if per_file:
+        files = list_monthly_files(spark, root, glob, month_regex)
+        if not files:
+            raise FileNotFoundError(f"no monthly files under {root!r} matching {glob!r}")
+        out = None
+        for path, month in files:
+            part = spark.read.parquet(path).withColumn("file_month", date_lit(month))
+            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+        return out
     df = (
         spark.read.option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")

@@ -223,3 +223,18 @@ def test_load_monthly_one_scan_equals_separate_steps(spark, tmp_dir):
     got = sorted(tuple(r) for r in table.read().collect())
     exp = sorted(tuple(r) for r in transform_raw(raw).collect())
     assert got == exp
+
+
+def test_scan_modes_agree(spark, tmp_dir):
+    for (y, m), ts in {(2024, 1): [datetime(2024, 1, 3, 4, 5)], (2024, 2): [datetime(2024, 2, 9), datetime(2024, 3, 1)]}.items():
+        t = pa.table(
+            {
+                "tpep_pickup_datetime": pa.array(ts, pa.timestamp("us")),
+                "passenger_count": pa.array([1.0] * len(ts)),
+                "PULocationID": pa.array([5] * len(ts), pa.int64()),
+            }
+        )
+        pq.write_table(t, f"{tmp_dir}/{raw_file_name(y, m)}")
+    a = sorted(tuple(r) for r in transform_raw(scan_monthly_files(spark, tmp_dir)).collect())
+    b = sorted(tuple(r) for r in transform_raw(scan_monthly_files(spark, tmp_dir, per_file=False)).collect())
+    assert a == b and len(a) == 744 + 696
