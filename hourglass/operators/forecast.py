@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from hourglass.functions.grid import HALO_COL, bucket_window, with_halo, with_row_halo
 from hourglass.functions.time import add_duration
-from hourglass.operators.series import history_arrays, lag_name, row_mean, time_lags
+from hourglass.operators.series import history_arrays, lag_name, row_mean
 from hourglass.operators.spine import extend_horizon
 
 Step = Callable[[Column], Column]

@@ -10,7 +10,7 @@ from hourglass.operators.spine import hourly_counts
 from hourglass.plans import inputs as I
 from hourglass.plans.catalog import query, rounded
 from hourglass.schema import standardize_raw_schema
-from hourglass.sources.raw import month_coverage, month_spine_of, months_of, with_file_month
+from hourglass.sources.raw import month_coverage, month_spine_of, months_of
 
 
 def orders_tagged_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:

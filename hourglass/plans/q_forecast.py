@@ -17,8 +17,6 @@ from hourglass.operators.forecast import (
     normal_equation_sums,
     recursive_forecast_frame,
 )
-from hourglass.operators.select import fetch_range
-from hourglass.operators.series import daily_sum
 from hourglass.plans import inputs as I
 from hourglass.plans.catalog import query, rounded
 from hourglass.plans.q_etl import hourly_demand_df
