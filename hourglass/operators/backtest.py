@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourglass.functions.grid import step_index
 from hourglass.functions.time import add_duration, interval_expr, ntz_lit, to_datetime
 from hourglass.operators.forecast import (
     LagModel,
@@ -125,16 +126,17 @@ def rolling_cutoffs(
 ) -> DataFrame:
     """Forecast origins per fold (T11): (fold_id, cutoff).
 
-    From the fold's first test ``ds`` + ``max_lag`` days, every
-    ``step_size`` (default ``h``) units of ``freq``, strictly before the
-    fold's last test ``ds``.
+    From the fold's first test ``ds`` + ``max_lag`` steps of ``freq`` (the
+    history the lags need; for daily series these are ``max_lag`` days, as in
+    the original), every ``step_size`` (default ``h``) steps, strictly before
+    the fold's last test ``ds``.
     """
     step = step_size or h
     unit = freq.lstrip("0123456789")
     b = test_rows.where(F.col("fold_id").isNotNull()).groupBy("fold_id").agg(
         F.min(ds).alias("_lo"), F.max(ds).alias("_hi")
     )
-    first = add_duration(F.col("_lo"), "1d", max_lag)
+    first = add_duration(F.col("_lo"), freq, max_lag)
     seq = F.when(
         first < F.col("_hi"),
         F.filter(F.sequence(first, F.col("_hi"), interval_expr(f"{step}{unit}")), lambda c: c < F.col("_hi")),
@@ -212,19 +214,21 @@ def evaluate_forecast(
     ds: str = "ds",
     target: str = "y",
     by: Sequence[str] = ("fold_id",),
+    freq: str = "1d",
 ) -> DataFrame:
     """Bias, MAE and score per horizon.
 
     Stage 1 per (series, horizon): ``bias = mean(y_pred - y)``,
     ``mae = mean(|y_pred - y|)``, ``mae_per = sum|err| / sum y`` (null when
     the sum is 0), ``score = mae + |bias|``.  Stage 2 per horizon: the
-    unweighted mean over series of bias, mae and score.  ``horizon`` is in
-    whole days (``ds - cutoff``).
+    unweighted mean over series of bias, mae and score.  ``horizon`` is
+    ``ds - cutoff`` in whole ``freq`` steps (days for daily series).
     """
     by = [c for c in by if c in df.columns]
     err = F.col("y_pred") - F.col(target)
+    horizon = (step_index(F.col(ds), freq) - step_index(F.col("cutoff"), freq)).cast("int")
     s1 = df.select(
-        *by, unique_id, F.datediff(F.col(ds), F.col("cutoff")).alias("horizon"), err.alias("_e"), F.col(target)
+        *by, unique_id, horizon.alias("horizon"), err.alias("_e"), F.col(target)
     ).groupBy(*by, unique_id, "horizon").agg(
         F.avg("_e").alias("bias"),
         F.avg(F.abs("_e")).alias("mae"),
@@ -323,7 +327,7 @@ def backtest(
     elif model != "mean":
         raise ValueError("model must be 'mean' or 'linear'")
     fc = rolling_origin_forecast(tagged, cutoffs, h, lags, params, freq, unique_id, ds, target, grid=grid)
-    return evaluate_forecast(fc, unique_id, ds, target)
+    return evaluate_forecast(fc, unique_id, ds, target, freq=freq)
 
 
 __all__ = [

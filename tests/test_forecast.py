@@ -230,3 +230,15 @@ def test_model_save_load_round_trip(spark, tmp_dir):
         a = sorted(tuple(r) for r in forecast_series(df, back, 3).collect())
         b = sorted(tuple(r) for r in forecast_series(df, m, 3).collect())
         assert a == b
+
+
+def test_hourly_backtest_horizons_in_steps(spark):
+    from hourglass.operators.select import rename_to_series
+    from hourglass.plans.q_etl import hourly_demand_df
+
+    s = rename_to_series(hourly_demand_df(spark, SF)).select("unique_id", "ds", "y")
+    for grid in (True, False):
+        m = BT.backtest(s, "2024-01-15", "7d", h=24, lags=[1, 24], model="mean", freq="1h", grid=grid)
+        rows = m.collect()
+        assert {r.horizon for r in rows} == set(range(1, 25))
+        assert {r.fold_id for r in rows} == {0, 1, 2}
