@@ -36,6 +36,13 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
+def as_double(df: DataFrame, cols) -> DataFrame:
+    """Present integer columns that hold nulls as double (presentation only):
+    both engines then hand the same values to pandas (a nullable integer
+    column otherwise arrives as float in one and as nullable int in the other)."""
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
 def _load_all() -> None:
     # Import modules that register queries (kept in separate files by area).
     from hourglass.plans import q_etl, q_forecast, q_intervals, q_series, q_streaming  # noqa: F401

@@ -11,8 +11,36 @@ from __future__ import annotations
 ORACLE_SQL: dict[str, str] = {}
 
 
+def _positive_zero_rounds(text: str) -> str:
+    """Wrap every ``round(<expr>, 6)`` as ``(round(<expr>, 6) + 0.0)``.
+
+    DuckDB keeps the sign of a tiny negative rounded to zero (``-0.0``);
+    adding 0.0 turns it into ``0.0`` (as Spark's decimal rounding gives) and
+    changes nothing else.
+    """
+    out, i = [], 0
+    while True:
+        j = text.find("round(", i)
+        if j < 0:
+            out.append(text[i:])
+            return "".join(out)
+        depth, k = 0, j + len("round")
+        while k < len(text):
+            if text[k] == "(":
+                depth += 1
+            elif text[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _positive_zero_rounds(text[j + len("round(") : k])
+        out.append(text[i:j])
+        out.append(f"(round({inner}) + 0.0)")
+        i = k + 1
+
+
 def sql(name: str, text: str) -> None:
-    ORACLE_SQL[name] = text.strip()
+    ORACLE_SQL[name] = _positive_zero_rounds(text.strip())
 
 
 # ------------------------------------------------------------------ shared CTEs
@@ -361,14 +389,15 @@ WHERE y IS NOT NULL AND {_LAGCOLS}
 """)
 
 sql("time_lags_nulls", with_(DAILY) + f"""
-SELECT ds, unique_id, y, {lag_list()} FROM daily WINDOW w AS (PARTITION BY unique_id ORDER BY ds)
+SELECT ds, unique_id, y, {", ".join(f"CAST(y__{i}__lag AS DOUBLE) AS y__{i}__lag" for i in LAGS)}
+FROM (SELECT ds, unique_id, y, {lag_list()} FROM daily WINDOW w AS (PARTITION BY unique_id ORDER BY ds))
 """)
 
 sql("extend_horizon", with_(DAILY) + f""",
 lastd AS (SELECT unique_id, max(ds) AS last FROM daily GROUP BY unique_id)
-SELECT unique_id, ds, y FROM daily
+SELECT unique_id, ds, CAST(y AS DOUBLE) AS y FROM daily
 UNION ALL
-SELECT unique_id, last + to_days(CAST(k AS INTEGER)) AS ds, CAST(NULL AS BIGINT) AS y
+SELECT unique_id, last + to_days(CAST(k AS INTEGER)) AS ds, CAST(NULL AS DOUBLE) AS y
 FROM lastd, generate_series(1, {HORIZON}) t(k)
 """)
 
@@ -382,7 +411,7 @@ SELECT ds, unique_id, 'y' AS variable, round(CAST(y AS DOUBLE), 6) AS value FROM
 # -------------------------------------------------------------- forecast
 
 sql("mean_lag_predict", with_(DAILY, mean_lag_predict_cte("daily", "p")) + """
-SELECT unique_id, ds, y, round(y_hat, 6) AS y_hat FROM p
+SELECT unique_id, ds, CAST(y AS DOUBLE) AS y, round(y_hat, 6) AS y_hat FROM p
 """)
 
 sql("mean_lag_residuals", with_(DAILY, mean_lag_predict_cte("daily", "p")) + """
@@ -453,7 +482,7 @@ d AS (
            CAST(sum(num_pickup) AS BIGINT) AS y
     FROM f GROUP BY ALL
 ),""" + mean_lag_predict_cte("d", "p") + """
-SELECT unique_id, ds, y, round(y_hat, 6) AS y_hat FROM p WHERE y IS NULL
+SELECT unique_id, ds, CAST(y AS DOUBLE) AS y, round(y_hat, 6) AS y_hat FROM p WHERE y IS NULL
 """)
 
 # ------------------------------------------------------------- intervals

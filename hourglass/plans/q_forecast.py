@@ -18,7 +18,7 @@ from hourglass.operators.forecast import (
     recursive_forecast_frame,
 )
 from hourglass.plans import inputs as I
-from hourglass.plans.catalog import query, rounded
+from hourglass.plans.catalog import as_double, query, rounded
 from hourglass.plans.q_etl import hourly_demand_df
 
 
@@ -28,7 +28,7 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mean_lag_predict")
 def q_mean_lag_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(mean_lag_predict(_daily(spark, sf_dir), I.LAGS, "1d", grid=True))
+    return rounded(as_double(mean_lag_predict(_daily(spark, sf_dir), I.LAGS, "1d", grid=True), ["y"]))
 
 
 @query("mean_lag_residuals")
@@ -121,7 +121,9 @@ def q_predict_for_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     days, predict the next day per location with the mean-lag model."""
     from hourglass.operators.inference import predict_for_date
 
-    return rounded(predict_for_date(hourly_demand_df(spark, sf_dir), "2024-01-30", LagModel(tuple(I.LAGS)), grid=True))
+    return rounded(
+        as_double(predict_for_date(hourly_demand_df(spark, sf_dir), "2024-01-30", LagModel(tuple(I.LAGS)), grid=True), ["y"])
+    )
 
 
 @query("horizon_predictions")

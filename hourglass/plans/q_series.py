@@ -9,7 +9,7 @@ from hourglass.operators.select import series_slice
 from hourglass.operators.series import daily_sum, time_lags
 from hourglass.operators.spine import extend_horizon
 from hourglass.plans import inputs as I
-from hourglass.plans.catalog import query, rounded
+from hourglass.plans.catalog import as_double, query, rounded
 from hourglass.plans.q_etl import hourly_demand_df
 
 # Hourly lags (1 hour, 1 day, 1 week).
@@ -33,12 +33,13 @@ def q_time_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("time_lags_nulls")
 def q_time_lags_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return time_lags(I.daily_series(spark, sf_dir), I.LAGS, drop_nulls=False, grid_freq="1d")
+    out = time_lags(I.daily_series(spark, sf_dir), I.LAGS, drop_nulls=False, grid_freq="1d")
+    return as_double(out, [c for c in out.columns if c.endswith("__lag")])
 
 
 @query("extend_horizon")
 def q_extend_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extend_horizon(I.daily_series(spark, sf_dir), I.HORIZON, "1d")
+    return as_double(extend_horizon(I.daily_series(spark, sf_dir), I.HORIZON, "1d"), ["y"])
 
 
 @query("series_slice")
