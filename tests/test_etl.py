@@ -238,3 +238,14 @@ def test_scan_modes_agree(spark, tmp_dir):
     a = sorted(tuple(r) for r in transform_raw(scan_monthly_files(spark, tmp_dir)).collect())
     b = sorted(tuple(r) for r in transform_raw(scan_monthly_files(spark, tmp_dir, per_file=False)).collect())
     assert a == b and len(a) == 744 + 696
+
+
+def test_list_monthly_files_skips_names_without_month(spark, tmp_dir):
+    from hourglass.sources.raw import list_monthly_files
+
+    t = pa.table({"tpep_pickup_datetime": pa.array([datetime(2024, 1, 1)], pa.timestamp("us"))})
+    pq.write_table(t, f"{tmp_dir}/{raw_file_name(2024, 3)}")
+    pq.write_table(t, f"{tmp_dir}/{raw_file_name(2023, 12)}")
+    pq.write_table(t, f"{tmp_dir}/lookup.parquet")
+    got = [(p.rsplit("/", 1)[-1], m) for p, m in list_monthly_files(spark, tmp_dir)]
+    assert got == [(raw_file_name(2023, 12), date(2023, 12, 1)), (raw_file_name(2024, 3), date(2024, 3, 1))]
