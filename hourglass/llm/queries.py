@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hourglass.llm.exact_dedup import exact_groups
+from hourglass.llm.html_text import extract_pages
 from hourglass.llm.mixing import mix_sources
 from hourglass.llm.quality import assess
+from hourglass.llm.secrets import scan_secrets
 from hourglass.llm.support import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +44,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), MIX_WEIGHTS).drop("rate")
+
+
+@query
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
