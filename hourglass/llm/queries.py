@@ -14,6 +14,7 @@ from hourglass.llm.exact_dedup import exact_groups
 from hourglass.llm.html_text import extract_pages
 from hourglass.llm.mixing import mix_sources
 from hourglass.llm.quality import assess
+from hourglass.llm.near_dedup import near_components
 from hourglass.llm.secrets import scan_secrets
 from hourglass.llm.support import table
 
@@ -54,3 +55,8 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_components(table(spark, sf_dir, "documents"))
