@@ -8,11 +8,13 @@ difference (pigeonhole), so the index enumerates each chunk with each one place
 left out: all pairs under that distance meet under some key.
 
 What meets under a key is not expanded into pairs.  First every member meets
-the key's smallest member only (a star); links are confirmed on the full sets
-and joined into components.  Then, for keys whose other members still lie in
-several components, the members outside the leader's component meet all
-members of other components, in blocks of bounded size.  Every pair that shares
-a key is thus either compared or already connected.
+the key's leader only (a star): the member that meets most others, which among
+edited copies is the one nearest to the original.  Links are confirmed on the
+full sets and joined into components.  Then, for keys whose other members still
+lie in several components, the members outside the leader's component meet all
+members of other components, in blocks of bounded size, where signatures and
+bottom-k sketches leave the pairs worth confirming.  Every pair that shares a
+key is thus either compared or already connected.
 """
 
 from __future__ import annotations
@@ -41,6 +43,9 @@ PLACES = CHUNKS * WIDTH
 DISTANCE = 20
 #: Rows of one side of a block.
 BLOCK = 2048
+#: Smallest hashes per set in a sketch, and how far below the bar its estimate
+#: may lie (5 standard deviations); a union of at most this size is exact.
+SKETCH, MARGIN = 256, 0.11
 #: Bits of the fixed-size filter of ids whose texts are needed (8 MB).
 FILTER_BITS = 1 << 26
 
@@ -121,7 +126,7 @@ def _sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _keyed(reps: DataFrame) -> DataFrame:
-    """``key, rep``: the index entries of every class."""
+    """``slot, key, rep``: the index entries of every class."""
     schema = T.StructType([T.StructField("rep", reps.schema["rep"].dataType), T.StructField("keys", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +137,7 @@ def _keyed(reps: DataFrame) -> DataFrame:
                 at = pa.array(np.arange(0, len(flat) + 1, PLACES, dtype=np.int32), pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(at, flat)], schema.names)
 
-    return reps.select("rep", "sig").mapInArrow(run, schema).select(F.explode("keys").alias("key"), "rep")
+    return reps.select("rep", "sig").mapInArrow(run, schema).select(F.posexplode("keys").alias("slot", "key"), "rep")
 
 
 def _bit(col: Column) -> Column:
@@ -151,26 +156,34 @@ def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(bitmap), "_bucket").filter(test).select(*docs.columns)
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
-    pairs = materialize(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    kind = pairs.schema["a"].dataType
-    schema = T.StructType([T.StructField("id", kind), T.StructField("set", T.BinaryType())])
+def _sets(docs: DataFrame, ids: DataFrame, most: int | None = None) -> DataFrame:
+    """``id, set`` for at least the ids given: the sorted shingle hashes, or the
+    upper halves of the ``most`` smallest."""
+    schema = T.StructType([T.StructField("id", docs.schema["doc_id"].dataType), T.StructField("set", T.BinaryType())])
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = binary_values(batch.column(1))
-            found = [s.tobytes() for lo, hi in chunks(texts) for s in shingle_sets(texts[lo:hi])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], schema.names)
+            sets = [s for lo, hi in chunks(texts) for s in shingle_sets(texts[lo:hi])]
+            if most is not None:
+                sets = [(s[:most] >> U64(32)).astype(np.uint32) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], schema.names)
+
+    return _with_ids(docs, ids).mapInArrow(run, schema)
+
 
-    have = _with_ids(docs, ids).mapInArrow(sets, schema)
-    # Rows that repeat an id with another text give several sets; any pair of them may link.
-    one, two = have.select(F.col("id").alias("a"), F.col("set").alias("set_a")), have.select(F.col("id").alias("b"), F.col("set").alias("set_b"))
+def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar enough.
+
+    Rows that repeat an id with another text give it several sets; any of them may link.
+    """
+    pairs = materialize(pairs, "pairs")
+    have = _sets(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    one, two = (have.select(F.col("id").alias(c), F.col("set").alias(f"set_{c}")) for c in ("a", "b"))
     rows = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b")
-    out = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    out = T.StructType([T.StructField(c, pairs.schema[c].dataType) for c in ("a", "b")])
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
@@ -183,7 +196,7 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                 keep.append(ok)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(test, out).distinct()
+    return rows.mapInArrow(run, out).distinct()
 
 
 def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -223,25 +236,61 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.nd
         yield [c.to_numpy(zero_copy_only=False) for c in rest.columns]
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Candidate pairs from ``key, tile, slice, asks, rep, comp, sig`` rows: in
-    each (key, tile, slice), rows that ask meet the others of other components."""
+def sketch_similarity(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Similarity of sketch pairs (rows padded with the largest value), and
+    whether it is exact: the union is not larger than a sketch."""
+    both = np.sort(np.concatenate((x, y), axis=1), axis=1)
+    real = both != np.iinfo(both.dtype).max
+    twice = np.zeros(both.shape, bool)
+    twice[:, 1:] = (both[:, 1:] == both[:, :-1]) & real[:, 1:]
+    rank = np.arange(both.shape[1]) - np.cumsum(twice, axis=1)
+    union = real.sum(axis=1) - twice.sum(axis=1)
+    met = (twice & (rank < x.shape[1])).sum(axis=1)
+    return met / np.maximum(np.minimum(union, x.shape[1]), 1), union <= x.shape[1]
+
+
+def _worth(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    found, exact = sketch_similarity(x, y)
+    return found >= percent / 100 - np.where(exact, 0.01, MARGIN)
+
+
+def _blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs worth confirming from ``key, tile, slice, slot, asks, rep, comp,
+    sig, low`` rows: in each (key, tile, slice), rows that ask meet the others
+    of other components.  A pair that shares several keys is taken up under the
+    first: the first chunk with one difference at most."""
     kind = rows.schema["rep"].dataType
     out = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, _, asks, rep, comp, sig in _groups(batches, 3):
+        for _, _, _, slot, asks, rep, comp, sig, low in _groups(batches, 3):
             asks = asks.astype(bool)
             if asks.all() or not asks.any():
                 continue
+            chunk, left_out = divmod(int(slot[0]), WIDTH)
             sig = np.frombuffer(b"".join(sig.tolist()), np.uint16).reshape(-1, PLACES)
             q, r = np.flatnonzero(asks), np.flatnonzero(~asks)
-            far = np.zeros((len(q), len(r)), np.uint8)
-            for k in range(PLACES):
-                far += sig[q, k][:, None] != sig[r, k][None, :]
-            i, j = np.nonzero((far <= DISTANCE) & (comp[q][:, None] != comp[r][None, :]))
-            if len(i):
-                x, y = rep[q[i]], rep[r[j]]
+            total = np.zeros((len(q), len(r)), np.uint8)
+            open_ = comp[q][:, None] != comp[r][None, :]
+            for c in range(CHUNKS):
+                here = np.zeros(total.shape, np.uint8)
+                for k in range(c * WIDTH, (c + 1) * WIDTH):
+                    here += sig[q, k][:, None] != sig[r, k][None, :]
+                if c < chunk:
+                    open_ &= here > 1
+                elif c == chunk and left_out:
+                    open_ &= here == 1
+                total += here
+            i, j = np.nonzero(open_ & (total <= DISTANCE))
+            if not len(i):
+                continue
+            sketch = np.full((len(low), SKETCH), np.iinfo(np.uint32).max, np.uint32)
+            for k, data in enumerate(low):
+                part = np.frombuffer(data, np.uint32)
+                sketch[k, : len(part)] = part
+            keep = np.concatenate([_worth(sketch[q[i[k : k + 2048]]], sketch[r[j[k : k + 2048]]], percent) for k in range(0, len(i), 2048)])
+            if keep.any():
+                x, y = rep[q[i[keep]]], rep[r[j[keep]]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
     return rows.mapInArrow(run, out)
@@ -268,12 +317,17 @@ def near_components(
     reps = placed.filter("doc_id = rep").select("rep", "sig")
 
     keyed = _keyed(reps)
-    shared = keyed.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("_last"), F.count(F.lit(1)).alias("n"))
-    shared = materialize(shared.filter("lead <> _last").drop("_last"), "shared")
+    shared = keyed.groupBy("key").agg(F.min("rep").alias("_lo"), F.max("rep").alias("_hi"), F.count(F.lit(1)).alias("n"))
+    shared = materialize(shared.filter("_lo <> _hi").select("key", "n"), "shared")
     entries = materialize(keyed.join(shared, "key"), "entries")
-    stars = entries.filter("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
+    # The leader of a key: the member that meets most others under all its keys.
+    met = materialize(entries.groupBy("rep").agg((F.sum("n") * 65536 + F.pmod(F.xxhash64("rep"), F.lit(65536))).alias("met")), "met")
+    leads = materialize(entries.join(met, "rep").groupBy("key").agg(F.max_by("rep", "met").alias("lead")), "leads")
+    entries = materialize(entries.join(leads, "key"), "led")
+    ends = [F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")]
+    stars = entries.filter("rep <> lead").select(*ends).distinct()
     # An id that repeats links its own classes.
-    links = _confirm(_near(stars, reps), docs, percent)
+    links = materialize(_confirm(_near(stars, reps), docs, percent), "confirmed")
     links = links.union(placed.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     comps = components(links)
 
@@ -296,15 +350,19 @@ def near_components(
     open_keys = materialize(open_keys.select("key", "home", "_all"), "open")
     rest = more.join(open_keys, "key").filter("rep <> lead").withColumn("asks", F.col("comp") != F.col("home"))
     asking = materialize(rest.filter("asks").groupBy("key").agg(F.count(F.lit(1)).alias("_asking")), "asking")
-    rest = rest.join(asking, "key").join(reps, "rep")
+    sketches = _sets(docs, rest.select(F.col("rep").alias("id")).distinct(), SKETCH)
+    about = materialize(
+        reps.join(sketches.select(F.col("id").alias("rep"), F.col("set").alias("low")), "rep"), "about"
+    )
+    rest = rest.join(asking, "key").join(about, "rep")
     tiles, slices = F.ceil(F.col("_all") / F.lit(block)).cast("int"), F.ceil(F.col("_asking") / F.lit(block)).cast("int")
     rest = rest.withColumns({"_tiles": tiles, "_slices": slices})
     own, spread = F.pmod(F.xxhash64("rep"), F.col("_tiles")).cast("int"), F.pmod(F.xxhash64("rep", F.lit(1)), F.col("_slices")).cast("int")
-    columns = ["key", "tile", "slice", "asks", "rep", "comp", "sig"]
+    columns = ["key", "tile", "slice", "slot", "asks", "rep", "comp", "sig", "low"]
     as_row = rest.withColumn("tile", own).withColumn("slice", F.explode(F.expr("sequence(0, _slices - 1)"))).withColumn("asks", F.lit(False))
     as_ask = rest.filter("asks").withColumn("slice", spread).withColumn("tile", F.explode(F.expr("sequence(0, _tiles - 1)")))
     blocks = as_row.select(columns).union(as_ask.select(columns))
-    pairs = _blocks(blocks.repartition("key", "tile", "slice").sortWithinPartitions("key", "tile", "slice")).distinct()
+    pairs = _blocks(blocks.repartition("key", "tile", "slice").sortWithinPartitions("key", "tile", "slice"), percent).distinct()
     comps = components(links.union(_confirm(pairs, docs, percent)))
 
     # By id, the least component of its rows (an id can repeat with several texts).

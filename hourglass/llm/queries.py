@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hourglass.llm.exact_dedup import exact_groups
 from hourglass.llm.html_text import extract_pages
 from hourglass.llm.mixing import mix_sources
+from hourglass.llm.pieces import encode_documents
 from hourglass.llm.quality import assess
 from hourglass.llm.near_dedup import near_components
 from hourglass.llm.secrets import scan_secrets
@@ -60,3 +61,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"))

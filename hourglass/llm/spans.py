@@ -84,3 +84,52 @@ def segments(lengths: np.ndarray) -> np.ndarray:
 def gather(flat: np.ndarray, offsets: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenate the slices ``flat[o : o + n]``."""
     return flat[np.repeat(offsets, lengths) + segments(lengths)]
+
+
+class SpanCache:
+    """Values (runs of int32) of spans that were seen before in this process.
+
+    Text repeats its words; a value is computed once per distinct span.  At
+    ``most`` spans the cache starts anew, so its memory is bounded.
+    """
+
+    def __init__(self, most: int = 1_500_000) -> None:
+        self.most = most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index: dict[int, int] = {}
+        self.flat, self.used = np.empty(1 << 16, np.int32), 0
+        self.at, self.len = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int32)
+
+    @staticmethod
+    def _room(a: np.ndarray, n: int) -> np.ndarray:
+        return a if n <= len(a) else np.concatenate((a, np.empty(max(n - len(a), len(a)), a.dtype)))
+
+    def _add(self, hashes: list[int], values: np.ndarray, lengths: np.ndarray) -> None:
+        n = len(self.index)
+        self.at, self.len = self._room(self.at, n + len(hashes)), self._room(self.len, n + len(hashes))
+        self.flat = self._room(self.flat, self.used + len(values))
+        self.flat[self.used : self.used + len(values)] = values
+        self.at[n : n + len(hashes)] = self.used + np.cumsum(lengths) - lengths
+        self.len[n : n + len(hashes)] = lengths
+        self.used += len(values)
+        self.index.update(zip(hashes, range(n, n + len(hashes)), strict=True))
+
+    def values(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, compute) -> tuple[np.ndarray, np.ndarray]:
+        """The values of all spans in order, and how many each span has.
+        ``compute(list of bytes) -> (values, lengths)`` gives those of new spans."""
+        hashes = span_hashes(buf, starts, ends)
+        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.index) + len(distinct) > self.most:
+            self._clear()
+        keys = distinct.tolist()
+        place = [self.index.get(h, -1) for h in keys]
+        new = [k for k, p in enumerate(place) if p < 0]
+        if new:
+            data = buf.tobytes()
+            self._add([keys[k] for k in new], *compute([data[starts[first[k]] : ends[first[k]]] for k in new]))
+            place = [self.index[h] for h in keys]
+        place = np.array(place, np.int64)[back]
+        lengths = self.len[place].astype(np.int64)
+        return gather(self.flat, self.at[place], lengths), lengths
