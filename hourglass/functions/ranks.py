@@ -32,19 +32,20 @@ def sorted_positions(
     """Add ``_pos``: 0-based position of each row within ``by`` ordered by ``order``.
 
     Ties get distinct consecutive positions (any order among equal keys).
-    The input is read several times (key sampling, numbering, per-partition
-    counts), so by default it is first checkpointed to the session's
-    ``spark.checkpoint.dir`` (shared storage; also cuts the lineage).
+    Partition ids and row numbers are taken once: the range-partitioned, sorted
+    and numbered frame is checkpointed to ``spark.checkpoint.dir`` (shared
+    storage; also cuts the lineage), and both the rows and the counts per
+    partition read that one copy.  (``checkpoint`` once made this optional; the
+    copy is needed for right positions, so the argument no longer has an effect.)
     """
-    if checkpoint:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     keys = [F.col(c) for c in by] + order_cols
     parted = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     tagged = parted.sortWithinPartitions(*keys).select(
         "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
     )
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = tagged.checkpoint(eager=True)
     # One row per (partition, group): its size and first row id.
     part = tagged.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
     # Prefix sums over the partitions of each group.  The frame has one row

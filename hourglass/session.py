@@ -55,11 +55,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared folder and is respected as is.
-    Only when it is unset (local tests, the bench) a scratch folder is made.
+    Only in a local session where it is unset (tests, the bench) a scratch
+    folder is made; elsewhere a missing setting is an error, as a folder of one
+    machine would not be seen by the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         current = tempfile.mkdtemp(prefix="hourglass-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
