@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from hourglass.session import ensure_checkpoint_dir
 
 POS = "_pos"
+#: Rows of (partition, group) offsets that may be broadcast; beyond, a join by key.
+BROADCAST_ROWS = 50_000
 
 
 def sorted_positions(
@@ -54,5 +56,8 @@ def sorted_positions(
         Window.unboundedPreceding, -1
     )
     part = part.select("_pid", *by, "_m0", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
+    # One row per (partition, group): sent to all tasks only when it is small.
+    if part.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        part = F.broadcast(part)
     out = tagged.join(part, ["_pid", *by])
     return out.withColumn(POS, F.col("_off") + F.col("_mid") - F.col("_m0")).drop("_pid", "_mid", "_m0", "_off")
