@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hourglass.llm.exact_dedup import exact_groups
 from hourglass.llm.html_text import extract_pages
+from hourglass.llm.lm import score_documents
 from hourglass.llm.mixing import mix_sources
 from hourglass.llm.pieces import encode_documents
 from hourglass.llm.quality import assess
@@ -66,3 +67,8 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
