@@ -260,10 +260,10 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, vocabulary: Vocabulary | None = None) -> Encoder:
     """The encoder of a model file, kept per process."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(load_vocabulary(path))
+        _ENCODERS[path] = Encoder(vocabulary or load_vocabulary(path))
     return _ENCODERS[path]
 
 
@@ -283,6 +283,8 @@ def encode_documents(docs: DataFrame, model: str | None = None, id_col: str = "d
     """
     path = model or default_model()
     rows = docs.select(F.col(id_col).alias("doc_id"), text_col)
+    # The vocabulary, of fixed size, is built once and sent to all tasks.
+    shared = docs.sparkSession.sparkContext.broadcast(encoder(path).v)
     schema = T.StructType(
         [
             rows.schema[0], T.StructField("n_pieces", T.LongType()), T.StructField("n_byte_pieces", T.LongType()),
@@ -292,7 +294,7 @@ def encode_documents(docs: DataFrame, model: str | None = None, id_col: str = "d
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own = encoder(path, shared.value)
         raw = np.zeros(len(own.v.texts), bool)
         raw[own.v.byte_ids[own.v.byte_ids >= 0]] = True
         for batch in batches:

@@ -19,6 +19,8 @@ from hourglass.llm.quality import assess
 from hourglass.llm.near_dedup import near_components
 from hourglass.llm.secrets import scan_secrets
 from hourglass.llm.support import table
+from hourglass.llm.token_files import tokenise_documents
+from hourglass.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -72,3 +74,13 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenise_documents(table(spark, sf_dir, "documents"))
