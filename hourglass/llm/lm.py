@@ -31,7 +31,7 @@ from hourglass.llm.support import binary_values, chunks, materialize
 #: Pseudo-count of the backoff distribution, and of each unigram.
 MU, ADD = 2.0, 0.1
 #: Bytes of text in a block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 END, START = np.uint64(1), np.uint64(2)
 
 
@@ -87,6 +87,12 @@ def _arrays(ids: bytes, held: bytes, at: bytes, words: bytes) -> tuple[np.ndarra
     return np.frombuffer(ids, np.int64), np.frombuffer(held, bool), np.frombuffer(at, np.int64), np.frombuffer(words, U64)
 
 
+def _one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows as dicts, one in memory at a time (a block row is large)."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
+
+
 _KEYS = T.StructType(
     [T.StructField("part", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType())]
 )
@@ -98,7 +104,7 @@ def _counted(blocks: DataFrame, parts: int) -> DataFrame:
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 _, held, at, words = _arrays(*(row[c] for c in ("ids", "held", "at", "words")))
                 tokens, before, doc = _grams(words, at)
                 train = ~held[doc]
@@ -150,7 +156,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 _, held, at, words = _arrays(*(row[c] for c in ("ids", "held", "at", "words")))
                 tokens, _, doc = _grams(words, at)
                 keys, counts = np.unique(tokens[~held[doc]], return_counts=True)
