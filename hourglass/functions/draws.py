@@ -42,7 +42,9 @@ def draw_index(key: "Column | int", b: "Column | int", n: "Column | int", seed:
     x1 = F.pmod(x0 * F.lit(MUL_A) + (_c(b).cast("bigint") + F.lit(1)) * F.lit(MUL_B) + F.lit(seed), F.lit(MOD))
     x2 = F.pmod(x1 * F.lit(MUL_A), F.lit(MOD))
     x3 = F.pmod(x2 * F.lit(MUL_A) + x0, F.lit(MOD))
-    return F.pmod(x3, _c(n).cast("bigint"))
+    x4 = F.pmod(x3 * F.lit(MUL_A) + x1, F.lit(MOD))
+    # Two 31-bit steps make a 62-bit number, so every position of a large pool can be drawn.
+    return F.pmod(x3 * F.lit(MOD) + x4, _c(n).cast("bigint"))
 
 
 def nearest_rank(count: int, q: float) -> int:
@@ -57,7 +59,8 @@ def sql_draw_index(key: str, b: str, n: str, seed: int = 25) -> str:
     x1 = f"(({x0} * {MUL_A} + (({b}) + 1) * {MUL_B} + {seed}) % {MOD})"
     x2 = f"(({x1} * {MUL_A}) % {MOD})"
     x3 = f"(({x2} * {MUL_A} + {x0}) % {MOD})"
-    return f"({x3} % ({n}))"
+    x4 = f"(({x3} * {MUL_A} + {x1}) % {MOD})"
+    return f"(({x3} * {MOD} + {x4}) % ({n}))"
 
 
 def sql_text_key(expr: str) -> str:

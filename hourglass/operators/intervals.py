@@ -16,9 +16,13 @@ UPPER_Q = 0.975
 
 
 def row_key(unique_id: str = "unique_id", ds: str = "ds") -> Column:
-    """Stable integer key of a (series, timestamp) row."""
-    days = F.datediff(F.to_date(F.col(ds)), F.lit("1970-01-01").cast("date"))
-    return combine_keys(text_key(unique_id), days)
+    """Stable integer key of a (series, timestamp) row, for draws only: rows
+    are told apart by their true keys."""
+    t = F.col(ds).cast("timestamp_ntz")
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
+    minutes = (days * 24 + F.hour(t)) * 60 + F.minute(t)
+    micros = minutes * 60_000_000 + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+    return combine_keys(text_key(unique_id), micros)
 
 
 def index_pool(residuals: DataFrame, unique_id: str = "unique_id", ds: str = "ds") -> DataFrame:
@@ -49,29 +53,35 @@ def bootstrap_interval(
     (all series): draw b of a row takes pool position
     ``draw_index(row_key, b, n, seed)``.
 
-    Plan: the prediction rows are hash-partitioned by their row key (a small
-    shuffle), each row is exploded into its ``B`` draws, the draws are
-    equi-joined to the pool by position -- AQE broadcasts the pool only when
-    its measured size is under the broadcast threshold, else it is a
-    sort-merge join -- and the draws are regrouped per row without another
-    exchange (each group holds exactly ``B`` values).  ``n`` is a scalar
-    subquery, so nothing runs before the action.
+    Plan: the distinct (series, timestamp) keys are hash-partitioned into a
+    fixed number of partitions (so that the expansion is spread), each key is
+    exploded into its ``B`` draws, the draws are equi-joined to the pool by
+    position -- AQE broadcasts the pool only when its measured size is under
+    the broadcast threshold, else it is a sort-merge join -- and regrouped by
+    the true key (each group holds exactly ``B`` residuals).  Only the two
+    bounds per key are joined back.  The prediction is the same for all draws
+    of a row, so the quantiles of the residuals plus the prediction are the
+    quantiles of the sums.  ``n`` is a scalar subquery.
+
+    Rows that repeat a key share its draws; rows with a null key get null bounds.
     """
     pool = index_pool(residuals, unique_id, ds)
     n = pool.select(F.max("_idx") + 1).scalar()
     lo_i, hi_i = nearest_rank(B, lower_q), nearest_rank(B, upper_q)
-    cols = preds.columns
-    base = preds.withColumn("_key", row_key(unique_id, ds)).repartition("_key")
-    draws = base.select(
-        "_key", F.col(pred_col).alias("_p"), F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("_b")
-    ).withColumn("_idx", draw_index(F.col("_key"), F.col("_b"), n, seed))
-    vals = draws.join(pool, "_idx").groupBy("_key").agg(
-        F.sort_array(F.collect_list(F.col("_p") + F.col("residual"))).alias("_d")
+    key = [unique_id, ds]
+    parts = int(preds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The draw key is made before the expansion, once per row.
+    keys = preds.select(*key).dropna().withColumn("_key", row_key(unique_id, ds))
+    keys = keys.repartition(parts, *key).dropDuplicates(key)
+    draws = keys.select(*key, "_key", F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("_b"))
+    draws = draws.select(*key, draw_index(F.col("_key"), F.col("_b"), n, seed).alias("_idx"))
+    drawn = draws.join(pool, "_idx").groupBy(*key).agg(F.sort_array(F.collect_list("residual")).alias("_d"))
+    bounds = drawn.select(*key, F.element_at("_d", lo_i + 1).alias("_lo"), F.element_at("_d", hi_i + 1).alias("_hi"))
+    out = preds.join(bounds, key, "left")
+    lower, upper = F.col(pred_col) + F.col("_lo"), F.col(pred_col) + F.col("_hi")
+    return out.select(
+        *preds.columns, lower.alias("lower_bound"), upper.alias("upper_bound"), (upper - lower).alias("width")
     )
-    out = base.join(vals, "_key")
-    lower = F.element_at("_d", lo_i + 1)
-    upper = F.element_at("_d", hi_i + 1)
-    return out.select(*cols, lower.alias("lower_bound"), upper.alias("upper_bound"), (upper - lower).alias("width"))
 
 
 def interval_coverage(df: DataFrame, target: str = "y", by: Sequence[str] = ()) -> DataFrame:

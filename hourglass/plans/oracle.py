@@ -281,7 +281,9 @@ cut AS (
 )"""
 
 
-ROLLING = folds_cte() + f""",
+def rolling_ctes(step: str, params: str = "") -> str:
+    """Rolling-origin forecasts and their evaluation; ``params``: a join of per-fold parameters."""
+    return f""",
 trows AS (SELECT fold_id, unique_id, ds, y FROM tagged WHERE fold_id IS NOT NULL),
 origin AS (
     SELECT c.fold_id, r.unique_id, c.cutoff, max(r.ds) AS last, list(CAST(r.y AS DOUBLE) ORDER BY r.ds) AS hist_all
@@ -291,7 +293,7 @@ origin AS (
 rec(fold_id, unique_id, cutoff, last, k, h) AS (
     SELECT fold_id, unique_id, cutoff, last, 0, list_slice(hist_all, len(hist_all) - {L - 1}, len(hist_all)) FROM origin
     UNION ALL
-    SELECT fold_id, unique_id, cutoff, last, k + 1, list_append(h, {mean_step_sql('h')}) FROM rec WHERE k < {HORIZON}
+    SELECT fold_id, unique_id, cutoff, last, k + 1, list_append(h, {step}) FROM rec {params} WHERE k < {HORIZON}
 ),
 fc AS (SELECT fold_id, unique_id, cutoff, last + to_days(CAST(k AS INTEGER)) AS ds, h[-1] AS y_pred FROM rec WHERE k >= 1),
 rof AS (
@@ -309,6 +311,9 @@ ev AS (
     FROM ev1 GROUP BY ALL
 )"""
 
+
+ROLLING = folds_cte() + rolling_ctes(mean_step_sql("h"))
+
 MEAN_FORECAST = f"""
 mf_rank AS (
     SELECT unique_id, ds, y, row_number() OVER (PARTITION BY unique_id ORDER BY ds DESC) AS rd,
@@ -439,7 +444,66 @@ f AS (
 SELECT {_NE_SUMS} FROM f
 """)
 
-sql("time_folds", with_(DAILY, folds_cte()) + " SELECT fold_id, train_from, test_from, test_to FROM folds")
+# The multi-lag least-squares fit: the normal equations of the sums, solved by
+# unrolled elimination (one CTE per eliminated unknown).
+_UNKNOWNS = _NE_NAMES[:-1]
+_P = len(_UNKNOWNS)
+_RAW_SUMS = ", ".join(
+    f"sum(CAST({a} AS DOUBLE) * CAST({b} AS DOUBLE)) AS s__{a}__{b}"
+    for i, a in enumerate(_NE_NAMES)
+    for b in _NE_NAMES[i:]
+)
+LAG_FEATURES = f"""
+feats AS (
+    SELECT *, 1.0 AS intercept FROM (
+        SELECT unique_id, ds, y, {lag_list()} FROM daily WINDOW w AS (PARTITION BY unique_id ORDER BY ds)
+    ) WHERE y IS NOT NULL AND {_LAGCOLS}
+)"""
+
+
+def solve_ctes(sums: str, keep: str = "") -> str:
+    """CTE ``beta`` (``keep`` columns, b0 ...) from the sums of ``sums``."""
+    first = ", ".join(
+        f"s__{_NE_NAMES[min(i, j)]}__{_NE_NAMES[max(i, j)]} AS a_{i}_{j}" for i in range(_P) for j in range(_P + 1)
+    )
+    out = [f"m0 AS (SELECT {keep}{first} FROM {sums})"]
+    for k in range(_P):
+        cells = ", ".join(
+            (f"a_{k}_{j} / a_{k}_{k}" if i == k else f"a_{i}_{j} - a_{i}_{k} / a_{k}_{k} * a_{k}_{j}") + f" AS a_{i}_{j}"
+            for i in range(_P)
+            for j in range(k + 1, _P + 1)
+        )
+        out.append(f"m{k + 1} AS (SELECT {keep}{cells} FROM m{k})")
+    out.append(f"beta AS (SELECT {keep}" + ", ".join(f"a_{i}_{_P} AS b{i}" for i in range(_P)) + f" FROM m{_P})")
+    return ",\n".join(out)
+
+
+_LINEAR_STEP = " + ".join(["b0"] + [f"b{i} * h[-{lag}]" for i, lag in enumerate(LAGS, 1)])
+LINEAR_FIT = LAG_FEATURES.strip() + f""",
+sums AS (SELECT {_RAW_SUMS} FROM feats),
+""" + solve_ctes("sums")
+
+sql("lag_regression_fit", with_(DAILY, LINEAR_FIT) + " SELECT round(b0, 6) AS intercept, "
+    + ", ".join(f"round(b{i}, 6) AS coef_lag_{lag}" for i, lag in enumerate(LAGS, 1)) + " FROM beta")
+
+sql("lag_regression_forecast", "WITH RECURSIVE " + DAILY.strip() + "," + MEAN_FORECAST + "," + LINEAR_FIT + f""",
+lr(unique_id, last, k, h) AS (
+    SELECT unique_id, last, 0, h FROM mf_hist
+    UNION ALL
+    SELECT unique_id, last, k + 1, list_append(h, {_LINEAR_STEP}) FROM lr, beta WHERE k < {HORIZON}
+)
+SELECT unique_id, last + to_days(CAST(k AS INTEGER)) AS ds, round(h[-1], 6) AS y_pred, CAST(k AS INTEGER) AS step
+FROM lr WHERE k >= 1
+""")
+
+# Per fold: the sums over all rows before its test window.
+sql("backtest_linear", "WITH RECURSIVE " + DAILY.strip() + "," + folds_cte().strip() + "," + LAG_FEATURES + f""",
+sums AS (SELECT folds.fold_id, {_RAW_SUMS} FROM folds JOIN feats ON feats.ds < folds.test_from GROUP BY folds.fold_id),
+""" + solve_ctes("sums", "fold_id, ") + rolling_ctes(_LINEAR_STEP, "JOIN beta USING (fold_id)") + """
+SELECT fold_id, horizon, round(bias, 6) AS bias, round(mae, 6) AS mae, round(score, 6) AS score FROM ev
+""")
+
+sql("time_folds", with_(DAILY, folds_cte()) +" SELECT fold_id, train_from, test_from, test_to FROM folds")
 
 sql("fold_sizes", with_(DAILY, folds_cte()) + """,
 seg AS (
@@ -488,7 +552,7 @@ SELECT unique_id, ds, CAST(y AS DOUBLE) AS y, round(y_hat, 6) AS y_hat FROM p WH
 # ------------------------------------------------------------- intervals
 
 _B, _SEED = 500, 25
-_ROWKEY = sql_combine_keys(sql_text_key("i.unique_id"), "datediff('day', DATE '1970-01-01', CAST(i.ds AS DATE))")
+_ROWKEY = sql_combine_keys(sql_text_key("i.unique_id"), "epoch_us(CAST(i.ds AS TIMESTAMP))")
 _LO, _HI = nearest_rank(_B, 0.025) + 1, nearest_rank(_B, 0.975) + 1
 INTERVALS = RESIDUALS + f""",
 draws AS (

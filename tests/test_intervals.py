@@ -2,7 +2,7 @@
 (A11-A15) against plain-Python brute force with the same hash draws."""
 
 import hashlib
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
@@ -26,7 +26,12 @@ def py_draw(key: int, b: int, n: int, seed: int) -> int:
     x1 = (x0 * MUL_A + (b + 1) * MUL_B + seed) % MOD
     x2 = (x1 * MUL_A) % MOD
     x3 = (x2 * MUL_A + x0) % MOD
-    return x3 % n
+    x4 = (x3 * MUL_A + x1) % MOD
+    return (x3 * MOD + x4) % n
+
+
+def py_row_key(uid: str, ds: datetime) -> int:
+    return py_combine(py_text_key(uid), (ds - datetime(1970, 1, 1)) // timedelta(microseconds=1))
 
 
 def _frames(spark):
@@ -50,8 +55,7 @@ def test_bootstrap_interval_brute_force(spark):
     n = len(pool)
     lo, hi = nearest_rank(B, 0.025), nearest_rank(B, 0.975)
     for uid, ds, y, p in pred_rows:
-        days = (ds.date() - date(1970, 1, 1)).days
-        key = py_combine(py_text_key(uid), days)
+        key = py_row_key(uid, ds)
         vals = sorted(p + pool[py_draw(key, b, n, seed)] for b in range(B))
         r = got[(uid, ds)]
         assert r.lower_bound == pytest.approx(vals[lo])
@@ -59,6 +63,19 @@ def test_bootstrap_interval_brute_force(spark):
         assert r.width == pytest.approx(vals[hi] - vals[lo])
 
 
+def test_bootstrap_hours_of_a_day_have_their_own_bounds(spark):
+    res, _, res_rows, _ = _frames(spark)
+    rows = [("A", datetime(2023, 3, 1) + timedelta(hours=i), 100.0 * i) for i in range(48)] + [("A", None, 1.0)]
+    preds = spark.createDataFrame(rows, "unique_id string, ds timestamp_ntz, y_pred double")
+    got = {r.ds: r for r in IV.bootstrap_interval(preds, res, B=30).collect()}
+    pool = [r for _, _, r in sorted(res_rows)]
+    lo = nearest_rank(30, 0.025)
+    assert len(got) == 49 and got[None].lower_bound is None
+    for uid, ds, p in rows[:48]:
+        vals = sorted(p + pool[py_draw(py_row_key(uid, ds), b, len(pool), 25)] for b in range(30))
+        assert got[ds].lower_bound == pytest.approx(vals[lo])
+
+
 def test_bootstrap_broadcast_and_shuffle_plans_agree(spark):
     res, preds, _, _ = _frames(spark)
     a = {(r.unique_id, r.ds): (r.lower_bound, r.upper_bound) for r in IV.bootstrap_interval(preds, res, B=40).collect()}
