@@ -45,9 +45,9 @@ def with_halo(
 ) -> DataFrame:
     """Add ``_bucket`` and ``_halo``; rows near a bucket end are duplicated
     into the next bucket (one pass, an ``explode`` of one or two bucket ids).
+    A bucket is never shorter than the halo, so any lag works.
     """
-    if halo > bucket_steps:
-        raise ValueError("halo must not exceed the bucket size")
+    bucket_steps = max(bucket_steps, halo)
     step = step_index(ds, freq)
     b = F.floor(step / F.lit(bucket_steps)).cast("long")
     off = step - b * F.lit(bucket_steps)
@@ -83,9 +83,7 @@ def with_row_halo(
     """
     from hourglass.functions.ranks import POS, sorted_positions
 
-    size = bucket_rows or DEFAULT_BUCKET_STEPS
-    if halo > size:
-        raise ValueError("halo must not exceed the bucket size")
+    size = max(bucket_rows or DEFAULT_BUCKET_STEPS, halo)
     pos = sorted_positions(df, [ds], [unique_id])
     b = F.floor(F.col(POS) / F.lit(size)).cast("long")
     off = F.col(POS) - b * F.lit(size)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.grid import step_index
-from hourglass.functions.time import add_duration, interval_expr, ntz_lit, to_datetime
+from hourglass.functions.time import Duration, add_duration, interval_expr, ntz_lit, parse_duration, to_datetime
 from hourglass.operators.forecast import (
     LagModel,
     lag_features,
@@ -132,14 +132,15 @@ def rolling_cutoffs(
     the fold's last test ``ds``.
     """
     step = step_size or h
-    unit = freq.lstrip("0123456789")
+    unit = parse_duration(freq)
+    every = Duration(unit.months * step, unit.micros * step)
     b = test_rows.where(F.col("fold_id").isNotNull()).groupBy("fold_id").agg(
         F.min(ds).alias("_lo"), F.max(ds).alias("_hi")
     )
     first = add_duration(F.col("_lo"), freq, max_lag)
     seq = F.when(
         first < F.col("_hi"),
-        F.filter(F.sequence(first, F.col("_hi"), interval_expr(f"{step}{unit}")), lambda c: c < F.col("_hi")),
+        F.filter(F.sequence(first, F.col("_hi"), interval_expr(every)), lambda c: c < F.col("_hi")),
     ).otherwise(F.array().cast("array<timestamp_ntz>"))
     return b.select("fold_id", F.explode(seq).alias("cutoff"))
 

@@ -112,16 +112,15 @@ def load_monthly(raw: DataFrame, table, year: int | None = None, month: int | No
             raise ValueError("give year and month, or raw rows with file_month")
         clean = with_file_month(clean, year, month)
     agg = (
-        clean.where(F.col(TS).isNotNull())
-        .groupBy("file_month", trunc_hour(TS).alias(HOUR), F.col(LOC), in_month(TS, year, month).alias("_in"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        clean.groupBy("file_month", trunc_hour(TS).alias(HOUR), F.col(LOC), in_month(TS, year, month).alias("_in"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.count(TS).alias("_dated"))
     )
     ensure_checkpoint_dir(agg.sparkSession)
     agg = agg.checkpoint(eager=True)
 
     report = agg.groupBy("file_month").agg(
         F.sum(F.when(F.col("_in"), F.col("_n")).otherwise(F.lit(0))).cast("bigint").alias("records_in_range"),
-        F.sum("_n").cast("bigint").alias("total_records"),
+        F.sum("_dated").cast("bigint").alias("total_records"),
         F.sum(F.when(F.col("_in") & F.col(LOC).isNull(), F.col("_n")).otherwise(F.lit(0))).cast("bigint").alias(
             "null_locations"
         ),

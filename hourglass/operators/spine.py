@@ -3,7 +3,7 @@ gap fill of long series, and horizon extension (T3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.time import add_duration, date_lit, interval_expr, trunc_hour
@@ -51,22 +51,33 @@ def hourly_counts(clean: DataFrame) -> DataFrame:
 def fill_missing_hours(counts: DataFrame) -> DataFrame:
     """Every hour of the month for every location seen that month; gaps -> 0 (A3).
 
-    The spine comes from the (month, location) pairs of the *aggregated*
-    counts -- tiny next to the raw data -- exploded into the month's hours per
-    pair, so there is no cross join; it is left-joined to the counts on the
-    counts' own grouping keys.  The pairs are an aggregate with a condition
-    on its result so Catalyst keeps it on top of the counts instead of
-    rewriting it into a second scan of the raw data: both branches share
-    one scan and one shuffle (exchange reuse).  AQE broadcasts the counts
-    side when its measured size is small, else the join is a sort-merge
-    join.  Locations appear only in months where they have trips.
+    The sparse counts (one row per month, hour and location) are dealt by
+    (month, location) into a fixed number of partitions; in each such group,
+    of at most one row per hour of the month, every row is exploded into the
+    hours from its own up to the next counted one (the first from the start of
+    the month, the last to its end).  So the dense rows are made where they
+    stay: no spine, no join and no shuffle of filled rows.  Locations appear
+    only in months where they have trips.
     """
     if "file_month" not in counts.columns:
         counts = counts.withColumn("file_month", F.trunc(F.to_date(HOUR), "MM"))
-    pairs = counts.groupBy("file_month", LOC).agg(F.sum(N).alias("_tot")).where(F.col("_tot") > 0)
-    spine = pairs.select("file_month", F.explode(month_hours(F.col("file_month"))).alias(HOUR), LOC)
-    return spine.join(counts, ["file_month", HOUR, LOC], "left").select(
-        "file_month", HOUR, LOC, F.coalesce(F.col(N), F.lit(0).cast("bigint")).alias(N)
+    first = F.col("file_month").cast("timestamp_ntz")
+    after = F.add_months("file_month", 1).cast("timestamp_ntz")
+    hour = F.expr("INTERVAL 1 HOUR")
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    w = Window.partitionBy("file_month", LOC).orderBy(HOUR)
+    runs = (
+        counts.where((F.col(HOUR) >= first) & (F.col(HOUR) < after) & F.col(LOC).isNotNull())
+        .repartition(parts, "file_month", LOC)
+        .select(
+            "file_month", LOC, F.col(HOUR).alias("_seen"), N,
+            F.when(F.lag(HOUR).over(w).isNull(), first).otherwise(F.col(HOUR)).alias("_from"),
+            F.coalesce(F.lead(HOUR).over(w), after).alias("_to"),
+        )
+    )
+    filled = runs.select("file_month", F.explode(F.sequence("_from", F.col("_to") - hour, hour)).alias(HOUR), LOC, "_seen", N)
+    return filled.select(
+        "file_month", HOUR, LOC, F.when(F.col(HOUR) == F.col("_seen"), F.col(N)).otherwise(F.lit(0)).cast("bigint").alias(N)
     )
 
 
@@ -116,12 +127,12 @@ def fill_series_gaps(
     # so Catalyst cannot push it down to a separate scan of the raw data: all
     # branches share one scan and one shuffle of ``df`` (exchange reuse).
     base = df.select(unique_id, ds, target).where(F.col(unique_id).isNotNull() & F.col(ds).isNotNull())
-    # min/max of ds written as min_by/max_by over (ds, target): the same
-    # values, but they read the target, so the optimizer keeps the input's
-    # own aggregate here instead of a cheaper separate one.
-    order = F.struct(F.col(ds), F.col(target))
-    per_series = base.groupBy(unique_id).agg(
-        F.min_by(F.col(ds), order).alias("_lo"), F.max_by(F.col(ds), order).alias("_hi")
+    # The count reads the target, so the optimizer keeps the input's own
+    # aggregate here instead of a cheaper separate one.
+    per_series = (
+        base.groupBy(unique_id)
+        .agg(F.min(ds).alias("_lo"), F.max(ds).alias("_hi"), F.count(target).alias("_n"))
+        .where(F.col("_n") >= 0)
     )
     if span == "global":
         lo = per_series.select(F.min("_lo")).scalar()
@@ -133,6 +144,9 @@ def fill_series_gaps(
         )
     elif span != "series":
         raise ValueError("span must be 'global' or 'series'")
+    # A fixed number of partitions: the bounds are few, what they expand to is not.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_series = per_series.repartition(parts, unique_id)
     grid = per_series.select(unique_id, F.explode(F.sequence("_lo", "_hi", step)).alias(ds))
     return (
         grid.join(base, [unique_id, ds], "left")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PRIO = "_prio"
+RANK = "_rank"
 
 
 def _guard_keys(df: DataFrame, key: str, null_keys: str) -> DataFrame:
@@ -25,10 +25,10 @@ def _guard_keys(df: DataFrame, key: str, null_keys: str) -> DataFrame:
     raise ValueError("null_keys must be 'error', 'drop' or 'keep_one'")
 
 
-def _order(cols: Sequence[str], order_cols: Sequence[str] | None, key: str) -> Column:
-    """Deterministic preference: priority, caller's order, then all values."""
-    rest = [c for c in cols if c != key and c not in (order_cols or [])]
-    return F.struct(F.col(PRIO), *[F.col(c) for c in (order_cols or [])], *[F.col(c) for c in rest])
+def _order(cols: Sequence[str], order_cols: Sequence[str] | None, key: str) -> list[Column]:
+    """Deterministic preference: caller's order, then all values."""
+    first = list(order_cols or [])
+    return [F.col(c) for c in (*first, *[c for c in cols if c != key and c not in first])] or [F.col(key)]
 
 
 def dedupe_by_key(
@@ -36,13 +36,12 @@ def dedupe_by_key(
 ) -> DataFrame:
     """One row per key: the first by ``order_cols`` (then by all values).
 
-    A ``min_by`` aggregate, not a window: duplicates of a hot key collapse in
-    the map-side partial aggregate, so no task ever holds a whole key group.
+    Spark limits a window whose row number is filtered to 1 before the
+    shuffle too, so each task sends one row per key at most, hot or not.
     """
     cols = df.columns
-    tagged = df.withColumn(PRIO, F.lit(0))
-    best = F.min_by(F.struct(*[F.col(c) for c in cols]), _order(cols, order_cols, key))
-    return tagged.groupBy(key).agg(best.alias("_row")).select("_row.*")
+    w = Window.partitionBy(key).orderBy(*_order(cols, order_cols, key))
+    return df.withColumn(RANK, F.row_number().over(w)).where(F.col(RANK) == 1).select(cols)
 
 
 def upsert_by_key(
@@ -64,22 +63,27 @@ def upsert_by_key(
     - null keys: ``'error'`` (default; raised while the job runs), ``'drop'``,
       or ``'keep_one'``.
 
-    One shuffle by key; each key group has at most two rows after the
-    map-side partial aggregate.
+    The keys of ``current`` are unique (it is a table kept by this merge).
+    The batch is reduced to one row per key; the current rows without a new
+    one (an anti join by key) and the batch make the result.
     """
     cols = current.columns
-    new = _guard_keys(new.select(cols), key, null_keys)
+    new_one = dedupe_by_key(_guard_keys(new.select(cols), key, null_keys), key, order_cols)
     current = current.select(cols)
-    both = current.withColumn(PRIO, F.lit(1)).unionByName(new.withColumn(PRIO, F.lit(0)))
     if not update_cols:
-        best = F.min_by(F.struct(*[F.col(c) for c in cols]), _order(cols, order_cols, key))
-        return both.groupBy(key).agg(best.alias("_row")).select("_row.*")
-
-    # Partial update: deduplicate the batch first, then per key take the
-    # update columns from the new row and the others from the current row.
-    new_one = dedupe_by_key(new, key, order_cols)
-    both = current.withColumn(PRIO, F.lit(1)).unionByName(new_one.withColumn(PRIO, F.lit(0)))
-    keep = [c for c in cols if c != key and c not in update_cols]
-    aggs = [F.min_by(F.col(c), F.col(PRIO)).alias(c) for c in update_cols]
-    aggs += [F.max_by(F.col(c), F.col(PRIO)).alias(c) for c in keep]
-    return both.groupBy(key).agg(*aggs).select(cols)
+        keys = new_one.select(F.col(key).alias("_key"))
+        return current.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(new_one)
+
+    # Partial update: the update columns come from the new row where there is
+    # one, the others from the current row.
+    old = current.withColumn("_old", F.lit(True))
+    fresh = new_one.select(*[F.col(c).alias(f"_new_{c}") for c in cols], F.lit(True).alias("_new"))
+    both = old.join(fresh, F.col(key).eqNullSafe(F.col(f"_new_{key}")), "full")
+
+    def pick(c: str) -> Column:
+        new_col = F.col(f"_new_{c}")
+        if c in update_cols:
+            return F.when(F.col("_new"), new_col).otherwise(F.col(c)).alias(c)
+        return F.when(F.col("_old"), F.col(c)).otherwise(new_col).alias(c)
+
+    return both.select([pick(c) for c in cols])

@@ -205,6 +205,7 @@ def test_load_monthly_one_scan_equals_separate_steps(spark, tmp_dir):
     rows = {
         (2024, 1): [datetime(2024, 1, 3, 4, 5), datetime(2024, 1, 3, 4, 50), datetime(2024, 2, 1, 0, 0), None],
         (2024, 2): [datetime(2024, 2, 29, 23, 59)],
+        (2024, 4): [None, None],
     }
     for (y, m), ts in rows.items():
         t = pa.table(

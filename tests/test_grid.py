@@ -39,6 +39,21 @@ def test_time_lags_grid_equals_window(spark, small_buckets, freq, hours):
     assert _set(time_lags(df, lags, drop_nulls=False, grid_freq=freq)) == _set(time_lags(df, lags, drop_nulls=False))
 
 
+def test_lag_longer_than_a_bucket(spark, small_buckets):
+    df = _series(spark, n=60)
+    assert _set(time_lags(df, [1, 40], grid_freq="1d")) == _set(time_lags(df, [1, 40]))
+    assert _set(time_lags(df, [1, 40], by_position=True)) == _set(time_lags(df, [1, 40]))
+
+
+def test_cutoffs_step_in_multiples_of_the_frequency(spark):
+    from hourglass.operators.backtest import rolling_cutoffs
+
+    rows = [(0, datetime(2023, 1, 1) + timedelta(days=2 * i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "fold_id int, ds timestamp_ntz")
+    got = sorted(r.cutoff for r in rolling_cutoffs(df, 1, 3, freq="2d").collect())
+    assert got == [datetime(2023, 1, 3), datetime(2023, 1, 9), datetime(2023, 1, 15), datetime(2023, 1, 21)]
+
+
 def test_predict_features_acf_grid_equal_window(spark, small_buckets):
     df = _series(spark)
     lags = [1, 7, 14]
