@@ -1,13 +1,17 @@
 """Operators of the llm subpackage on small hard cases and against brute force."""
 
 import hashlib
+import math
+import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hourglass.llm import token_files
+from hourglass.llm import lm, token_files
 from hourglass.llm.components import components
 from hourglass.llm.exact_dedup import drop_copies, exact_groups
 from hourglass.llm.grammar import learn
@@ -22,6 +26,9 @@ from hourglass.llm.warc import archive_pages
 
 PROSE = " ".join(f"word{i}" for i in range(200))
 LETTERS = " ".join("wo" + "abcdefghij"[i // 10] + "abcdefghij"[i % 10] for i in range(100))
+SF = "/root/testdata/sf0.001"
+START, END = 0, 1
+LOWER = {c: c + 32 for c in range(65, 91)}
 NEAR = PROSE.replace("word7 ", "other ")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, copy string"
 
@@ -108,6 +115,39 @@ def test_lm(docs):
     assert len(rows) == 12 and all(r.score <= 0 and r.n_tokens >= 1 for r in rows)
 
 
+def test_lm_against_counting(spark):
+    """Every score of the small table against plain counts of words and pairs."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: re.findall(r"[^\x20\x09-\x0D]+", (r.text or "").translate(LOWER)) for r in docs.collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in texts}
+    one, two = Counter(), Counter()
+    for i, words in texts.items():
+        if not held[i]:
+            one.update([START, *words, END])
+            two.update(zip([START, *words], [*words, END], strict=True))
+    total, distinct = sum(one.values()) - one[START], len(one) - 1
+    got = score_documents(docs).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        words = texts[r.doc_id]
+        tokens = [*words, END]
+        p = [(one[w] + lm.ADD) / (total + lm.ADD * (distinct + 1)) for w in tokens]
+        arcs = [(two[h, w] + lm.MU * q) / (one[h] + lm.MU) for h, w, q in zip([START, *words], tokens, p, strict=True)]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(tokens), sum(one[w] > 0 for w in tokens), total)
+        assert r.base_score == pytest.approx(sum(map(math.log10, p))) and r.score == pytest.approx(sum(map(math.log10, arcs)))
+
+
+def test_lm_blocks(tmp_path):
+    ids, at = np.array([5, lm.NO_ID, 7]), np.array([0, 2, 2, 5])
+    words = np.array([8, 9, 8, 2**64 - 1, 8], np.uint64)
+    lm.commit_file(str(tmp_path), "3.tok", lm._block_bytes(ids, ids == 5, at, words))
+    back = lm._read_block(str(tmp_path), 3)
+    assert all((a == b).all() for a, b in zip(back, (ids, ids == 5, at, words), strict=True))
+    assert (lm._unplanes(lm._planes(np.sort(words))) == np.sort(words)).all()
+    for n in (np.array([0, 0]), np.array([255, 1]), np.array([256]), np.array([2**40, 3])):
+        assert (lm._wide(lm._small(n), len(n)) == n).all()
+
+
 def test_pages_and_warc(spark):
     rows = [(1, "u", "<article><h1>A &amp; b</h1><p>c  d<p>e</article><div class=ad>x</div>", 0), (2, None, None, 0), (None, "u", "", 0), (2, None, None, 0)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
