@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 #: the rates meet the documents in a join spread by salts.
 BROADCAST_SOURCES = 10_000
 SALTS = 64
+#: Largest rate whose Poisson terms are summed from 0; exp(-rate) is 0 from about 745.
+FROM_ZERO = 500
 
 
 def uniform(seed: int, *keys: "str | Column") -> Column:
@@ -31,10 +33,18 @@ def poisson_count(u: Column, rate: Column) -> Column:
     """Smallest k with P(Poisson(rate) <= k) > u; 0 for a rate of 0.
 
     The terms are summed up to ``rate + 12 sqrt(rate) + 30``, beyond which the
-    tail is below the resolution of ``u``.
+    tail is below the resolution of ``u``.  Above ``FROM_ZERO`` the sum starts
+    at ``rate - 12 sqrt(rate) - 30``, as the terms near 0 underflow; what lies
+    before it is below that resolution too.
     """
-    most = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
-    start = F.struct(F.exp(-rate).alias("term"), F.exp(-rate).alias("sum"), F.lit(0).alias("k"), u.alias("u"), rate.alias("rate"))
+    wide = 12 * F.sqrt(rate) + 30
+    far = rate > FROM_ZERO
+    first = F.when(far, F.floor(rate - wide)).otherwise(F.lit(0)).cast("int")
+    # log(rate^k exp(-rate) / k!) by Stirling's series, with the large terms taken off each other first.
+    k, off = first.cast("double"), (first - rate) / rate
+    stirling = 1 / (12 * k) - 1 / (360 * k * k * k) + F.log(2 * math.pi * k) / 2
+    term = F.when(far, F.exp(-rate * ((1 + off) * F.log1p(off) - off) - stirling)).otherwise(F.exp(-rate))
+    start = F.struct(term.alias("term"), term.alias("sum"), first.alias("k"), u.alias("u"), rate.alias("rate"))
 
     def step(a, k):
         term = a["term"] * a["rate"] / k
@@ -42,7 +52,7 @@ def poisson_count(u: Column, rate: Column) -> Column:
             F.struct(term.alias("term"), (a["sum"] + term).alias("sum"), k.alias("k"), a["u"].alias("u"), a["rate"].alias("rate"))
         )
 
-    return F.aggregate(F.sequence(F.lit(1), most), start, step, lambda a: a["k"]).cast("long")
+    return F.aggregate(F.sequence(first + 1, F.ceil(rate + wide).cast("int")), start, step, lambda a: a["k"]).cast("long")
 
 
 def rates(

@@ -17,7 +17,7 @@ from hourglass.llm.exact_dedup import drop_copies, exact_groups
 from hourglass.llm.grammar import learn
 from hourglass.llm.html_text import extract_pages, main_text
 from hourglass.llm.lm import score_documents
-from hourglass.llm.mixing import mix_sources
+from hourglass.llm.mixing import mix_sources, poisson_count
 from hourglass.llm.near_dedup import near_components
 from hourglass.llm.pieces import double_array, encode_documents, load_vocabulary, default_model
 from hourglass.llm.quality import assess
@@ -73,6 +73,31 @@ def test_mixing(docs):
     assert [tuple(r) for r in got.collect()] == [tuple(r) for r in mix_sources(docs, {"src0": 5.0}, passes=3.0).collect()]
 
 
+def _poisson(u, rate):
+    k = total = 0
+    while True:
+        total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+        if total > u:
+            return k
+        k += 1
+
+
+def test_mixing_rare_source(spark):
+    """Rates over 745, where exp(-rate) is 0: counts against plain Python."""
+    docs = spark.range(9003).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3, "rare").otherwise("many").alias("source"))
+    got = Counter(r.doc_id for r in mix_sources(docs).select("doc_id").collect())
+    u = {i: int(hashlib.md5(f"17:count:{i}".encode()).hexdigest()[:13], 16) / 2**52 for i in range(9003)}
+    for i in range(9003):
+        assert got[i] == _poisson(u[i], 9003 / (2 * 3) if i < 3 else 9003 / (2 * 9000))
+
+
+@pytest.mark.parametrize("rate", [0.3, 199.0, 499.9, 500.1, 745.0, 746.0, 1100.0, 30_000.0])
+def test_poisson_count(spark, rate):
+    us = [0.0005, 0.05, 0.3, 0.5, 0.77, 0.95, 0.9999]
+    got = spark.createDataFrame([(u, rate) for u in us], "u double, rate double").select(poisson_count(F.col("u"), F.col("rate")))
+    assert [r[0] for r in got.collect()] == [_poisson(u, rate) for u in us]
+
+
 def test_pieces(docs):
     rows = encode_documents(docs).collect()
     assert len(rows) == 12 and all(r.round_trip for r in rows)
