@@ -16,6 +16,9 @@ from hourglass.llm.quality import assess
 from hourglass.llm.queries import MIX_WEIGHTS
 from hourglass.llm.support import materialize, table
 
+#: Links of the near-duplicate stage need this similarity in percent; the thin query op9 has its own bar.
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base and the cascade."""
@@ -28,10 +31,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies (similarity of 0.8 or more)."""
     from hourglass.llm.near_dedup import drop_near_copies
 
-    return drop_near_copies(docs)
+    return drop_near_copies(docs, percent=NEAR_PERCENT)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ key is thus either compared or already connected.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,19 +38,27 @@ SHINGLE = 5
 PERCENT = 85
 CHUNKS, WIDTH = 8, 5
 PLACES = CHUNKS * WIDTH
-#: Largest signature distance that is confirmed on full sets.  The index
-#: guarantees 2 * CHUNKS - 1 = 15 and finds nearly all beyond; at a similarity
-#: of 0.85 the mean is 6 and more than 20 has a chance of 1e-8.
-DISTANCE = 20
+#: Chance that the signatures of a pair at the bar differ in more places than
+#: are confirmed on full sets.  The index guarantees 2 * CHUNKS - 1 = 15 places
+#: and finds nearly all beyond; at a bar of 85 (80) the mean is 6 (8), up to 20
+#: (23) places are confirmed, and the index misses a pair with a chance of 5e-7 (2e-5).
+TAIL = 5e-8
 #: Rows of one side of a block.
 BLOCK = 2048
-#: Smallest hashes per set in a sketch, and how far below the bar its estimate
-#: may lie (5 standard deviations); a union of at most this size is exact.
-SKETCH, MARGIN = 256, 0.11
+#: Smallest hashes per set in a sketch, and how many standard deviations below
+#: the bar its estimate may lie; a union of at most this size is exact.
+SKETCH, MARGIN = 256, 5
 #: Bits of the fixed-size filter of ids whose texts are needed (8 MB).
 FILTER_BITS = 1 << 26
 
 
+def reach(percent: int) -> int:
+    """Largest signature distance that is confirmed on full sets."""
+    p = percent / 100
+    beyond = np.cumsum([math.comb(PLACES, k) * (1 - p) ** k * p ** (PLACES - k) for k in range(PLACES, -1, -1)])[::-1]
+    return int(np.count_nonzero(beyond > TAIL)) - 1
+
+
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes per text (A-Z lower-cased).
 
@@ -199,8 +208,9 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, out).distinct()
 
 
-def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures differ in ``DISTANCE`` places at most."""
+def _near(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose signatures differ in ``reach(percent)`` places at most."""
+    most = reach(percent)
     one = reps.select(F.col("rep").alias("a"), F.col("sig").alias("_x"))
     two = reps.select(F.col("rep").alias("b"), F.col("sig").alias("_y"))
     rows = pairs.join(one, "a").join(two, "b").select("a", "b", "_x", "_y")
@@ -209,7 +219,7 @@ def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, PLACES) for k in (2, 3))
-            yield batch.select(["a", "b"]).filter(pa.array((x != y).sum(axis=1) <= DISTANCE))
+            yield batch.select(["a", "b"]).filter(pa.array((x != y).sum(axis=1) <= most))
 
     return rows.mapInArrow(run, out)
 
@@ -251,7 +261,8 @@ def sketch_similarity(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _worth(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
     found, exact = sketch_similarity(x, y)
-    return found >= percent / 100 - np.where(exact, 0.01, MARGIN)
+    p = percent / 100
+    return found >= p - np.where(exact, 0.01, MARGIN * math.sqrt(p * (1 - p) / SKETCH))
 
 
 def _blocks(rows: DataFrame, percent: int) -> DataFrame:
@@ -259,7 +270,7 @@ def _blocks(rows: DataFrame, percent: int) -> DataFrame:
     sig, low`` rows: in each (key, tile, slice), rows that ask meet the others
     of other components.  A pair that shares several keys is taken up under the
     first: the first chunk with one difference at most."""
-    kind = rows.schema["rep"].dataType
+    kind, most = rows.schema["rep"].dataType, reach(percent)
     out = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +292,7 @@ def _blocks(rows: DataFrame, percent: int) -> DataFrame:
                 elif c == chunk and left_out:
                     open_ &= here == 1
                 total += here
-            i, j = np.nonzero(open_ & (total <= DISTANCE))
+            i, j = np.nonzero(open_ & (total <= most))
             if not len(i):
                 continue
             sketch = np.full((len(low), SKETCH), np.iinfo(np.uint32).max, np.uint32)
@@ -327,7 +338,7 @@ def near_components(
     ends = [F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")]
     stars = entries.filter("rep <> lead").select(*ends).distinct()
     # An id that repeats links its own classes.
-    links = materialize(_confirm(_near(stars, reps), docs, percent), "confirmed")
+    links = materialize(_confirm(_near(stars, reps, percent), docs, percent), "confirmed")
     links = links.union(placed.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
     comps = components(links)
 
@@ -373,7 +384,7 @@ def near_components(
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept: one id of each component."""
-    gone = near_components(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that are kept: one id of each component of links at ``percent``."""
+    gone = near_components(docs, id_col, text_col, percent).filter("not kept").select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(gone, id_col, "left_anti").select(*docs.columns)

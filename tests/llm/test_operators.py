@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hourglass.llm import lm, token_files
+from hourglass.llm import lm, near_dedup, token_files
 from hourglass.llm.components import components
 from hourglass.llm.exact_dedup import drop_copies, exact_groups
 from hourglass.llm.grammar import learn
@@ -61,6 +61,24 @@ def test_near(docs):
     assert {(5, 196, 5, True), (7, 196, 5, False), (9, 196, 5, False), (0, 0, 0, True), (None, 1, None, True), (3, 1, 3, True), (4, 1, 3, False)} <= got
 
 
+def test_near_stage_bar(spark):
+    """Pairs between 0.80 and 0.85 are near copies in the pipeline's stage, not in op9; lower ones in neither."""
+    rows, similar = [], {}
+    for i, edits in enumerate((1, 3, 4, 5, 6, 8)):
+        words = [f"w{i}x{k}" for k in range(250)]
+        other = [f"new{k}" if k % 30 == 15 and k // 30 < edits else w for k, w in enumerate(words)]
+        one, two = ({tuple(t[k : k + 5]) for k in range(246)} for t in (words, other))
+        similar[2 * i + 1] = len(one & two) / len(one | two)
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    assert sum(0.8 <= x < 0.85 for x in similar.values()) == 2 and min(similar.values()) < 0.8
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()}
+    assert left == {i for i, _ in rows if similar.get(i, 0) < 0.8}
+    kept = {r.doc_id for r in near_components(docs).filter("kept").collect()}
+    assert kept == {i for i, _ in rows if similar.get(i, 0) < 0.85}
+    assert (near_dedup.reach(85), near_dedup.reach(80)) == (20, 23)
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 50), (7, 7)], "a long, b long")
     got = {r.node: r.comp for r in components(links).collect()}
