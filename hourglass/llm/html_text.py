@@ -40,6 +40,33 @@ NAMES = frozenset(
     "subscribe signup related share sharing social popup modal pagination pager widget skip".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
+# Elements whose end tag may be left out, by the start tags that end them, and where the search for them stops.
+_CELLS = frozenset("td th caption".split())
+_ROWS = _CELLS | {"tr"}
+_PARTS = _ROWS | {"tbody", "thead", "tfoot"}
+_ITEM = frozenset("dt dd".split())
+ENDS = {
+    "li": frozenset(["li"]),
+    **dict.fromkeys(_ITEM, _ITEM),
+    "option": frozenset(["option"]),
+    "optgroup": frozenset("option optgroup".split()),
+    **dict.fromkeys(("td", "th"), _CELLS),
+    "tr": _ROWS,
+    **dict.fromkeys(("caption", "tbody", "thead", "tfoot"), _PARTS),
+}
+ENDS_P = BLOCKS - set("body caption head html legend optgroup option tbody td tfoot th thead title tr script style noscript template".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+#: Blocks and datalist are always on the stack, so that their end ends what is left open in them.
+KEPT = (BLOCKS | {"datalist"}) - {"hr", "html"}
+# Where the search for an open element stops: what has no text is closed to the outside.
+_OPAQUE = NO_TEXT - {"option"}
+_TABLE = _OPAQUE | {"table"}
+_SCOPE = _TABLE | set("button caption td th".split())
+#: By start tag; li, dt, dd and options are not looked for outside other blocks.
+START_STOPS = {t: _TABLE if t in _PARTS else _OPAQUE | KEPT - ends - set("address div p".split()) for t, ends in ENDS.items()}
+#: By end tag; those that are not here end their element however far out it is.
+END_STOPS = {t: _SCOPE for t in KEPT - _OPAQUE - BOILERPLATE - HOLDERS}
+END_STOPS |= {t: _TABLE for t in _PARTS - HOLDERS} | {"table": _OPAQUE, "li": _SCOPE | {"ol", "ul", "menu"}}
 _NAME = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 
@@ -73,11 +100,12 @@ class _Lines(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self.cut()
+        self.end_implied(tag)
         self.tags += 1
         if tag == "br":
             self.parts.append(" ")
         marked = bool(attrs) and tag not in ("html", "body", "main") and self.marked(attrs)
-        if tag in VOID or not (marked or tag in NO_TEXT or tag in BOILERPLATE or tag in HOLDERS):
+        if tag in VOID or not (marked or tag in KEPT or tag in NO_TEXT or tag in BOILERPLATE):
             return
         _, silent, dropped, holder, article = self.top
         silent = silent or tag in NO_TEXT or marked and tag not in BLOCKS
@@ -107,14 +135,51 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCKS:
             self.cut()
+        stops = END_STOPS.get(tag, ())
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
-                self.articles -= sum(x[0] == "article" for x in self.open[k:])
-                del self.open[k:]
-                self.top = self.open[-1] if self.open else _PAGE
+                return self.end(k)
+            if self.open[k][0] in stops:
                 return
 
+    def end(self, k: int) -> None:
+        """Ends the open elements from place ``k`` on."""
+        self.articles -= sum(x[0] == "article" for x in self.open[k:])
+        del self.open[k:]
+        self.top = self.open[-1] if self.open else _PAGE
+
+    def end_head(self) -> None:
+        """Ends a head whose end tag is left out."""
+        self.cut()
+        self.end(len(self.open) - 1)
+
+    def end_implied(self, tag: str) -> None:
+        """Ends the elements without an end tag that the start of ``tag`` ends."""
+        if self.top[0] == "head" and tag not in IN_HEAD:
+            self.end_head()
+        ends, at = ENDS.get(tag), None
+        if ends:
+            stops = START_STOPS[tag]
+            for k in range(len(self.open) - 1, -1, -1):
+                name = self.open[k][0]
+                if name in ends:
+                    at = k
+                    if name in ("li", "dt", "dd"):
+                        break
+                elif name in stops:
+                    break
+            if at is not None:
+                self.end(at)
+        if tag in ENDS_P:
+            for k in range(len(self.open) - 1, -1, -1):
+                if self.open[k][0] == "p":
+                    return self.end(k)
+                if self.open[k][0] in _SCOPE:
+                    return
+
     def handle_data(self, data: str) -> None:
+        if self.top[0] == "head" and not data.isspace():
+            self.end_head()
         if not self.top[1]:
             self.parts.append(data)
 

@@ -200,6 +200,32 @@ def test_pages_and_warc(spark):
     assert main_text("<p>" + "x " * 100_000).count("x") == 100_000
 
 
+A, B = ("one two three four five six seven " * 6).strip(), ("eight nine ten eleven twelve thirteen " * 7).strip()
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f'<article><p>{A}<p class="ad">Buy<p>{B}</article>',
+        f'<article><p>{A}<p class="ad">Buy <span class="promo">now<h2 hidden>x</h2><div>{B}</div></article>',
+        f'<article><p>{A}</p><blockquote><p class="notice">Buy</blockquote><p>{B}</p></article>',
+        f'<article><ul><li>{A}<li class="share">Buy<li>{B}</ul></article>',
+        f'<article><ul><li>{A}<li class="share">Buy<ul><li>more<li>and more</ul></ul><p>{B}</article>',
+        f'<article><p>{A}<dl><dt class="related">Buy<dd class="ad">Buy<dt>{B}</dl></article>',
+        f'<table><tr><td>{A}<tr><td class="ad">Buy<table><tr><td>now</table>again<tr><td>{B}</table>',
+        f'<table><tr class="ad"><td>Buy<tbody><tr><td>{A}<th class="promo">Buy<td>{B}</table>',
+        f'<article><p>{A}<datalist><option>Buy<option>now</datalist><p>{B}</article>',
+        f'<head><title>Buy</title><body><article><p>{A}<p>{B}</article>',
+        # Nothing that is dropped gets out by a stray or an inner tag.
+        f'<article><p>{A}<div class="ad"><ul><li>Buy</li></li></ul></p>Buy<p>Buy<p>Buy</div><p>{B}</article>',
+        f'<article><p>{A}<video><p>Buy<div>Buy</div></video><p>{B}</article>',
+        f'<article><ul><li>{A}<div class="ad"><ul><li>Buy</li></li>Buy</ul></div><p>{B}</ul></article>',
+    ],
+)
+def test_end_tags_left_out(html):
+    assert main_text(html) == f"{A}\n{B}"
+
+
 def test_simple8b():
     ids = np.array([0, 1, 2**60, 2**64 - 1, 5] + [1] * 100 + [50256] * 7, np.uint64)
     assert (token_files.unpack(token_files.pack(ids), len(ids)) == ids).all()
