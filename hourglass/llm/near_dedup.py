@@ -385,6 +385,19 @@ def near_components(
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that are kept: one id of each component of links at ``percent``."""
-    gone = near_components(docs, id_col, text_col, percent).filter("not kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that are kept: one of each component of links at ``percent``.
+
+    Where an id repeats with different texts, each of them is a document of its
+    own: rows are told apart by id and text.  Rows with a null id are kept.
+    """
+    digest = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    per = docs.groupBy(id_col).agg(F.min(digest).alias("_lo"), F.max(digest).alias("_hi"))
+    if per.filter(F.col(id_col).isNotNull() & (F.col("_lo") != F.col("_hi"))).isEmpty():
+        gone = near_components(docs, id_col, text_col, percent).filter("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+        return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    name = F.concat(F.col(id_col).cast("string"), F.lit("\0"))
+    if isinstance(docs.schema[id_col].dataType, T.IntegralType):  # sorts as the number does
+        name = F.lpad(F.hex(F.col(id_col).cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    rows = docs.withColumn("_row", F.concat(name, digest))
+    gone = near_components(rows, "_row", text_col, percent).filter("not kept").select(F.col("doc_id").alias("_row")).distinct()
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)

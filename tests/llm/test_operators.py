@@ -79,6 +79,39 @@ def test_near_stage_bar(spark):
     assert (near_dedup.reach(85), near_dedup.reach(80)) == (20, 23)
 
 
+def _near_left(rows, percent):
+    """Of (id, text) rows, those that all-pairs comparison leaves: the least of each component."""
+    rows = sorted(set(rows), key=lambda r: (r[0], hashlib.md5(r[1].encode()).hexdigest()))
+    sets, root = [], list(range(len(rows)))
+    for _, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(LOWER))
+        sets.append({tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1))} if words else set())
+    for j in range(len(rows)):
+        for i in range(j):
+            if sets[i] and sets[j] and 100 * min(len(sets[i]), len(sets[j])) >= percent * max(len(sets[i]), len(sets[j])):
+                both = len(sets[i] & sets[j])
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both) and root[i] != root[j]:
+                    lo, hi = sorted((root[i], root[j]))
+                    root = [lo if x == hi else x for x in root]
+    return [r for k, r in enumerate(rows) if root[k] == k]
+
+
+@pytest.mark.parametrize("per_id", [1, 2])
+def test_near_against_all_pairs(spark, per_id):
+    """The small table, with ids as they are and with two texts under each id."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(F.expr(f"doc_id div {per_id} - 20").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = [tuple(r) for r in docs.collect()]
+    got = {tuple(r) for r in near_dedup.drop_near_copies(docs, percent=80).collect()}
+    assert len(got) < len(rows) and got == set(_near_left(rows, 80))
+
+
+def test_near_repeated_id(spark):
+    rows = [(1, PROSE), (2, NEAR), (2, LETTERS), (3, LETTERS + " end"), (4, "alone"), (4, "alone again")]
+    docs = spark.createDataFrame([*rows, (None, PROSE)], "doc_id long, text string")
+    got = {tuple(r) for r in near_dedup.drop_near_copies(docs).collect()}
+    assert got == {(1, PROSE), (2, LETTERS), *rows[4:], (None, PROSE)}
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 50), (7, 7)], "a long, b long")
     got = {r.node: r.comp for r in components(links).collect()}
