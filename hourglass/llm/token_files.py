@@ -113,7 +113,6 @@ def _tokenizer(path: str):
 
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = Tokenizer.from_file(path)
-        _TOKENIZERS[path].encode_special_tokens = True  # their strings in a text are text
     return _TOKENIZERS[path]
 
 

@@ -264,6 +264,22 @@ def test_simple8b():
     assert (token_files.unpack(token_files.pack(ids), len(ids)) == ids).all()
 
 
+def test_token_files_special(spark):
+    """Ids are those of the plain library call, also where a text holds a special token's string."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(token_files.default_tokenizer())
+    special = [t.content for t in library.get_added_tokens_decoder().values()]
+    texts = ["before", *(f"one{t}two {t}" for t in special), "after"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    start = 0
+    assert special
+    for r in sorted(token_files.tokenise_documents(docs).collect()):
+        ids = np.array([*library.encode(texts[r.doc_id], add_special_tokens=False).ids, token_files.END_ID], "<u4")
+        assert tuple(r) == (r.doc_id, start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
 @pytest.mark.parametrize("fn", [exact_groups, assess, near_components, mix_sources, encode_documents, scan_secrets, score_documents, token_files.tokenise_documents])
 def test_empty(docs, fn):
     assert fn(docs.filter(F.lit(False))).count() == 0
