@@ -58,7 +58,8 @@ STAGES = [
     ("encoding", encoding),
 ]
 
-#: SQL cannot express near-duplicate components and encoding; the stages are tested by brute force.
+#: SQL cannot express near-duplicate components and encoding.  Near dedup is tested against all pairs on the
+#: small table, rules, exact dedup and mixing by the twins of 6, 3 and 10, encoding by its round trip only.
 ORACLE_SQL: str | None = None
 
 
