@@ -19,6 +19,9 @@ from hourglass.operators.spine import fill_series_gaps
 TRIP_YEAR, TRIP_MONTH = 2024, 1
 LAGS = [1, 7, 14, 28]
 HORIZON = 7
+#: Lags of the hourly series (an hour, a day, a week) and bootstrap draws per hour.
+HOURLY_LAGS = [1, 24, 168]
+HOURLY_DRAWS = 100
 FOLD_EVERY = "3mo"
 TEST_FROM = "2000-01-01"
 

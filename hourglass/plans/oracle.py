@@ -85,6 +85,16 @@ otrips AS (
     FROM orders
 )"""
 
+# Orders as raw trips of monthly files; the location is the customer's nation.
+ORDERS_MONTHLY = """
+otrips AS (
+    SELECT o_orderdate AS pickup_datetime,
+           CAST(trunc(o_totalprice) AS INTEGER) AS passenger_count,
+           c_nationkey AS pickup_location_id,
+           CAST(date_trunc('month', o_orderdate) AS DATE) AS file_month
+    FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+)"""
+
 # Complete daily series: orders per (priority, day) on the global day grid.
 DAILY = """
 ocounts AS (
@@ -132,7 +142,7 @@ SELECT ts AS pickup_datetime, CAST(trunc(value) AS INTEGER) AS passenger_count,
 FROM events
 """)
 
-sql("validity_report", with_(ORDERS_TAGGED) + """
+VALIDITY = """
 SELECT file_month,
        count(pickup_datetime) AS total_records,
        count(pickup_datetime) FILTER (WHERE pickup_datetime >= file_month AND pickup_datetime < file_month + INTERVAL 1 MONTH) AS records_in_range,
@@ -141,7 +151,9 @@ SELECT file_month,
              / nullif(count(pickup_datetime), 0), 6) AS pct_in_range,
        count(*) FILTER (WHERE pickup_datetime >= file_month AND pickup_datetime < file_month + INTERVAL 1 MONTH AND pickup_location_id IS NULL) AS null_locations
 FROM otrips GROUP BY file_month
-""")
+"""
+sql("validity_report", with_(ORDERS_TAGGED) + VALIDITY)
+sql("load_report", with_(ORDERS_MONTHLY) + VALIDITY)
 
 sql("filter_in_month", with_(ORDERS_TAGGED) + """
 SELECT pickup_datetime, passenger_count, pickup_location_id, file_month
@@ -157,7 +169,7 @@ FROM trips WHERE pickup_location_id IS NOT NULL GROUP BY ALL
 
 sql("hourly_demand", with_(HOURLY_DEMAND) + " SELECT * FROM hourly")
 
-sql("hourly_demand_multi_month", with_(ORDERS_TAGGED) + """,
+sql("hourly_demand_multi_month", with_(ORDERS_MONTHLY) + """,
 f AS (
     SELECT * FROM otrips
     WHERE pickup_datetime >= file_month AND pickup_datetime < file_month + INTERVAL 1 MONTH
@@ -188,7 +200,7 @@ from hourglass.functions.draws import (  # noqa: E402
     sql_draw_index,
     sql_text_key,
 )
-from hourglass.plans.inputs import HORIZON, LAGS  # noqa: E402
+from hourglass.plans.inputs import HORIZON, HOURLY_DRAWS, HOURLY_LAGS, LAGS  # noqa: E402
 
 L = max(LAGS)
 
@@ -231,15 +243,15 @@ def mean_expr(cols: list[str]) -> str:
     return f"(({total}) / CAST(nullif({cnt}, 0) AS DOUBLE))"
 
 
-def mean_lag_predict_cte(src: str, name: str, lags=LAGS) -> str:
+def mean_lag_predict_cte(src: str, name: str, lags=LAGS, unit: str = "DAY") -> str:
     """``{name}``: (unique_id, ds, y, y_hat) -- history plus one future row per
-    series, rows after min(ds) + max_lag days (strict)."""
+    series, rows after min(ds) + max_lag steps of ``unit`` (strict)."""
     cols = [f"y__{i}__lag" for i in lags]
     return f"""
 {name}_last AS (SELECT unique_id, max(ds) AS last FROM {src} GROUP BY unique_id),
 {name}_ext AS (
     SELECT unique_id, ds, y FROM {src}
-    UNION ALL SELECT unique_id, last + INTERVAL 1 DAY, CAST(NULL AS BIGINT) FROM {name}_last
+    UNION ALL SELECT unique_id, last + INTERVAL 1 {unit}, CAST(NULL AS BIGINT) FROM {name}_last
 ),
 {name}_lags AS (
     SELECT unique_id, ds, y, {lag_list('y', lags)}, min(ds) OVER (PARTITION BY unique_id) AS first
@@ -247,7 +259,7 @@ def mean_lag_predict_cte(src: str, name: str, lags=LAGS) -> str:
 ),
 {name} AS (
     SELECT unique_id, ds, y, {mean_expr(cols)} AS y_hat
-    FROM {name}_lags WHERE ds > first + INTERVAL {max(lags)} DAY
+    FROM {name}_lags WHERE ds > first + INTERVAL {max(lags)} {unit}
 )"""
 
 
@@ -334,11 +346,12 @@ mf AS (
     FROM mf_rec WHERE k >= 1
 )"""
 
-RESIDUALS = mean_lag_predict_cte("daily", "mlp") + """,
+RESIDUAL_POOL = """,
 res AS (SELECT unique_id, ds, y - y_hat AS residual FROM mlp WHERE y IS NOT NULL),
 pool AS (SELECT row_number() OVER (ORDER BY unique_id, ds) - 1 AS idx, residual FROM res),
 pooln AS (SELECT count(*) AS n FROM res),
 insample AS (SELECT unique_id, ds, y, y_hat AS y_pred FROM mlp WHERE y IS NOT NULL)"""
+RESIDUALS = mean_lag_predict_cte("daily", "mlp") + RESIDUAL_POOL
 
 
 def r6(expr: str) -> str:
@@ -551,31 +564,51 @@ SELECT unique_id, ds, CAST(y AS DOUBLE) AS y, round(y_hat, 6) AS y_hat FROM p WH
 
 # ------------------------------------------------------------- intervals
 
-_B, _SEED = 500, 25
+_SEED = 25
 _ROWKEY = sql_combine_keys(sql_text_key("i.unique_id"), "epoch_us(CAST(i.ds AS TIMESTAMP))")
-_LO, _HI = nearest_rank(_B, 0.025) + 1, nearest_rank(_B, 0.975) + 1
-INTERVALS = RESIDUALS + f""",
+
+
+def intervals_cte(draws: int) -> str:
+    """``iv``: the bounds of every in-sample row from ``draws`` draws."""
+    lo, hi = nearest_rank(draws, 0.025) + 1, nearest_rank(draws, 0.975) + 1
+    return f""",
 draws AS (
     SELECT i.unique_id, i.ds, i.y, i.y_pred, b,
            {sql_draw_index('k', 'b', '(SELECT n FROM pooln)', _SEED)} AS idx
-    FROM (SELECT i.*, {_ROWKEY} AS k FROM insample i) i, generate_series(0, {_B - 1}) t(b)
+    FROM (SELECT i.*, {_ROWKEY} AS k FROM insample i) i, generate_series(0, {draws - 1}) t(b)
 ),
 vals AS (
     SELECT d.unique_id, d.ds, d.y, d.y_pred, list_sort(list(d.y_pred + p.residual)) AS s
     FROM draws d JOIN pool p ON p.idx = d.idx GROUP BY d.unique_id, d.ds, d.y, d.y_pred
 ),
 iv AS (
-    SELECT unique_id, ds, y, y_pred, s[{_LO}] AS lower_bound, s[{_HI}] AS upper_bound,
-           s[{_HI}] - s[{_LO}] AS width
+    SELECT unique_id, ds, y, y_pred, s[{lo}] AS lower_bound, s[{hi}] AS upper_bound,
+           s[{hi}] - s[{lo}] AS width
     FROM vals
 )"""
 
+
+INTERVALS = RESIDUALS + intervals_cte(500)
+
 sql("bootstrap_interval", with_(DAILY, INTERVALS) + """
 SELECT unique_id, ds, y, round(y_pred, 6) AS y_pred, round(lower_bound, 6) AS lower_bound,
        round(upper_bound, 6) AS upper_bound, round(width, 6) AS width
 FROM iv
 """)
 
+HOURLY_SERIES = hourly_cte("hd") + """,
+hs AS (
+    SELECT CAST(pickup_location_id AS VARCHAR) AS unique_id, pickup_datetime_hour AS ds,
+           CAST(num_pickup AS BIGINT) AS y
+    FROM hd
+)"""
+sql("bootstrap_interval_hourly", with_(HOURLY_SERIES) + ","
+    + mean_lag_predict_cte("hs", "mlp", HOURLY_LAGS, "HOUR") + RESIDUAL_POOL + intervals_cte(HOURLY_DRAWS) + """
+SELECT unique_id, ds, y, round(y_pred, 6) AS y_pred, round(lower_bound, 6) AS lower_bound,
+       round(upper_bound, 6) AS upper_bound, round(width, 6) AS width
+FROM iv
+""")
+
 sql("interval_coverage", with_(DAILY, INTERVALS) + """
 SELECT y BETWEEN lower_bound AND upper_bound AS in_ci, count(y) AS n FROM iv GROUP BY 1
 """)
@@ -705,7 +738,6 @@ SELECT * FROM l WHERE y__1__lag IS NOT NULL AND y__24__lag IS NOT NULL AND y__16
 
 sql("table_fetch", ORACLE_SQL["fetch_range"])
 
-sql("load_report", ORACLE_SQL["validity_report"])
 sql("load_table", ORACLE_SQL["hourly_demand_multi_month"])
 
 sql("stream_then_close_month", ORACLE_SQL["hourly_demand"])

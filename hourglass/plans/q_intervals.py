@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hourglass.operators import intervals as IV
 from hourglass.operators import residuals as R
+from hourglass.operators.clean import transform_raw
 from hourglass.operators.forecast import LagModel, forecast_series, mean_lag_predict, mean_lag_residuals
 from hourglass.plans import inputs as I
 from hourglass.plans.catalog import query, rounded
@@ -36,6 +37,24 @@ def q_bootstrap_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_intervals(spark, sf_dir))
 
 
+def hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zero-filled hourly demand of every location, under series names."""
+    demand = transform_raw(I.raw_trips(spark, sf_dir), I.TRIP_YEAR, I.TRIP_MONTH)
+    return demand.select(
+        F.col("pickup_location_id").cast("string").alias("unique_id"),
+        F.col("pickup_datetime_hour").alias("ds"),
+        F.col("num_pickup").cast("bigint").alias("y"),
+    )
+
+
+@query("bootstrap_interval_hourly")
+def q_bootstrap_interval_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pred = mean_lag_predict(hourly_series(spark, sf_dir), I.HOURLY_LAGS, "1h", grid=True).where(F.col("y").isNotNull())
+    residuals = pred.select("unique_id", "ds", (F.col("y") - F.col("y_hat")).alias("residual"))
+    rows = pred.withColumnRenamed("y_hat", "y_pred")
+    return rounded(IV.bootstrap_interval(rows, residuals, B=I.HOURLY_DRAWS, seed=SEED))
+
+
 @query("interval_coverage")
 def q_interval_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IV.interval_coverage(_intervals(spark, sf_dir))

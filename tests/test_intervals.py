@@ -76,20 +76,26 @@ def test_bootstrap_hours_of_a_day_have_their_own_bounds(spark):
         assert got[ds].lower_bound == pytest.approx(vals[lo])
 
 
-def test_bootstrap_broadcast_and_shuffle_plans_agree(spark):
+@pytest.mark.parametrize("chunk", [1, 7, 4096])
+def test_gather_from_a_distributed_pool_equals_the_broadcast_one(spark, chunk):
     res, preds, _, _ = _frames(spark)
-    a = {(r.unique_id, r.ds): (r.lower_bound, r.upper_bound) for r in IV.bootstrap_interval(preds, res, B=40).collect()}
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        out = IV.bootstrap_interval(preds, res, B=40)
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        b = {(r.unique_id, r.ds): (r.lower_bound, r.upper_bound) for r in out.collect()}
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    # The draws meet the pool by a shuffle; the pool's numbering may broadcast its few offsets by _pid.
-    assert "BroadcastHashJoin [_idx" not in plan and "SortMergeJoin [_idx" in plan
-    assert a == b
+    keys = preds.select("unique_id", "ds").withColumn("_key", IV.row_key())
+    pool = IV.index_pool(res)
+    whole = IV.gather_draws(keys, pool, 40, 25)
+    parts = IV.gather_draws(keys, pool, 40, 25, chunk=chunk, block_keys=3, broadcast_pool=0)
+    a, b = ({(r.unique_id, r.ds): r._draws for r in x.collect()} for x in (whole, parts))
+    assert a == b and len(a) == 60 and all(len(d) == 40 for d in a.values())
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [_chunk" in plan and "BroadcastHashJoin [_chunk" not in plan
+    # No exchange carries a row per draw: the draws travel as arrays only.
+    assert not [x for x in plan.splitlines() if "Exchange" in x and "_idx" in x and "_b#" in x]
+
+
+def test_gather_with_an_empty_pool_and_no_keys(spark):
+    res, preds, _, _ = _frames(spark)
+    none = IV.bootstrap_interval(preds, res.where("residual is null"), B=5)
+    assert {r.lower_bound for r in none.collect()} == {None} and none.count() == 60
+    assert IV.bootstrap_interval(preds.limit(0), res, B=5).count() == 0
 
 
 def test_interval_coverage_adds_up(spark):
