@@ -64,3 +64,51 @@ WITH s AS (
 SELECT *, CAST(('0x' || substr(md5('17:order:' || doc_id || ':' || copy), 1, 13)) AS BIGINT) / CAST(4503599627370496 AS DOUBLE) AS shuffle_key
 FROM e
 """
+
+ORACLE_SQL["op13_merkle_proofs"] = r"""
+WITH RECURSIVE t AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda a, k: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END))) AS crc
+), d AS (
+  SELECT *, coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda a, c: xor(a >> 8, crc[CAST(xor(a, c) & 255 AS INTEGER) + 1])), 4294967295) % 5 = 0, false) AS marked
+  FROM documents, t
+), f AS (
+  SELECT doc_id, coalesce('s' || source, 'n') AS tree,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS body, marked FROM d
+), l AS (
+  SELECT doc_id, tree, sha256(head || body) AS leaf,
+    sha256(head || CASE WHEN marked THEN translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE body END) AS claimed FROM f
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM l
+), nodes AS (
+  SELECT tree, 0 AS level, pos, n, leaf AS hash FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(hash, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 16, n
+), subs AS (
+  SELECT tree, hash AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS trees FROM nodes WHERE n = 1
+), top AS (
+  SELECT 0 AS level, place AS pos, trees AS n, subroot AS hash FROM subs
+  UNION ALL
+  SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(hash, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, pos // 16, n
+), r AS (SELECT hash AS root FROM top WHERE n = 1
+), runs AS (
+  SELECT tree, level, pos // 16 AS run, list(hash ORDER BY pos) AS hs FROM nodes WHERE n > 1 GROUP BY ALL
+  UNION ALL SELECT 't', level, pos // 16, list(hash ORDER BY pos) FROM top WHERE n > 1 GROUP BY ALL
+), steps AS (
+  SELECT v.doc_id, v.tree, v.pos, v.leaf, 0 AS stage, runs.level, hs, (v.pos // CAST(16 ** runs.level AS BIGINT)) % 16 AS i
+  FROM leaves v JOIN runs ON runs.tree = v.tree AND runs.run = v.pos // CAST(16 ** (runs.level + 1) AS BIGINT)
+  UNION ALL
+  SELECT v.doc_id, v.tree, v.pos, v.leaf, 1, runs.level, hs, (s.place // CAST(16 ** runs.level AS BIGINT)) % 16
+  FROM leaves v JOIN subs s USING (tree) JOIN runs ON runs.tree = 't' AND runs.run = s.place // CAST(16 ** (runs.level + 1) AS BIGINT)
+), paths AS (
+  SELECT tree, pos, list({'pre': array_to_string(hs[:i], ''), 'post': array_to_string(hs[i + 2:], '')} ORDER BY stage, level) AS p FROM steps GROUP BY ALL
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(p, lambda x: x.pre || x.post), ''), '')) AS proof_sha256,
+  list_reduce(list_prepend(claimed, list_transform(coalesce(p, []), lambda x: x.pre || '|' || x.post)),
+    lambda a, x: sha256(split_part(x, '|', 1) || a || split_part(x, '|', 2))) AS folded_root,
+  folded_root = root AS verified
+FROM leaves JOIN subs USING (tree) CROSS JOIN r LEFT JOIN paths USING (tree, pos)
+"""

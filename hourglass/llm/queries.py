@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hourglass.llm.exact_dedup import exact_groups
 from hourglass.llm.html_text import extract_pages
 from hourglass.llm.lm import score_documents
+from hourglass.llm.merkle import audit_documents
 from hourglass.llm.mixing import mix_sources
 from hourglass.llm.pieces import encode_documents
 from hourglass.llm.quality import assess
@@ -84,3 +85,8 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenise_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_documents(table(spark, sf_dir, "documents"))
