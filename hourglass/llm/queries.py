@@ -22,6 +22,7 @@ from hourglass.llm.secrets import scan_secrets
 from hourglass.llm.support import table
 from hourglass.llm.token_files import tokenise_documents
 from hourglass.llm.warc import archive_pages
+from hourglass.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -90,3 +91,8 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
