@@ -19,6 +19,7 @@ from hourglass.llm.pieces import encode_documents
 from hourglass.llm.quality import assess
 from hourglass.llm.near_dedup import near_components
 from hourglass.llm.secrets import scan_secrets
+from hourglass.llm.suffix_index import remove_repeats
 from hourglass.llm.support import table
 from hourglass.llm.token_files import tokenise_documents
 from hourglass.llm.warc import archive_pages
@@ -96,3 +97,8 @@ def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
