@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourglass.llm.spans import SpanCache, gather, join_documents
+from hourglass.llm.spans import SpanCache, gather, join_documents, spans_between
 from hourglass.llm.support import binary_values, chunks
 
 MARKER = "▁"
@@ -126,7 +126,8 @@ def _char_bytes(lead: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes and decodes with one vocabulary; remembers distinct units."""
+    """Encodes and decodes with one vocabulary; remembers distinct units in a
+    cache of bounded size, which ``encode_documents`` empties after each task."""
 
     def __init__(self, v: Vocabulary) -> None:
         self.v = v
@@ -240,14 +241,9 @@ class Encoder:
         space = buf == 0x20
         cut = space.copy()
         cut[1:] &= ~space[:-1]
-        inside = np.ones(len(buf) + 1, bool)
-        inside[at[1:] - 1] = False  # the line feeds between texts
-        inside[-1] = False
-        cut[at[:-1]] = True
-        starts = np.flatnonzero(cut & inside[:-1])
+        starts, ends = spans_between(buf, at, cut)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-        ends = np.minimum(np.append(starts[1:], len(buf)), (at[1:] - 1)[np.searchsorted(at, starts, "right") - 1])
         ids, lengths = self.cache.values(buf, starts, ends, self._units)
         upto = np.concatenate(([0], np.cumsum(lengths)))
         return ids, upto[np.searchsorted(starts, at)]
@@ -299,7 +295,7 @@ def encode_documents(docs: DataFrame, model: str | None = None, id_col: str = "d
         raw[own.v.byte_ids[own.v.byte_ids >= 0]] = True
         for batch in batches:
             texts = binary_values(batch.column(1))
-            for lo, hi in chunks(texts, 4 << 20):
+            for lo, hi in chunks(texts):
                 ids, at = own.encode(texts[lo:hi])
                 ids = ids.astype("<i4")
                 bytes_upto = np.concatenate(([0], np.cumsum(raw[ids])))
@@ -313,5 +309,6 @@ def encode_documents(docs: DataFrame, model: str | None = None, id_col: str = "d
                     ],
                     schema.names,
                 )
+        own.cache.clear()  # the worker lives on, its memory is wanted by other stages
 
     return rows.mapInArrow(run, schema)

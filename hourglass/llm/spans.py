@@ -13,6 +13,8 @@ U64 = np.uint64
 _MULT = 0x9E3779B97F4A7C15
 _BASE = 0xD1342543DE82EF95
 _TABLES: dict[str, np.ndarray] = {}
+#: Longest power tables that a worker keeps (16 bytes a place).
+KEPT_PLACES = 3 << 20
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -24,14 +26,18 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, for n places."""
+    """Powers of the base and of its inverse modulo 2**64, for n places; kept
+    for the next buffer unless this one is unusually long."""
     have = _TABLES.get("pow")
-    if have is None or len(have) < n:
-        n = max(n, 1 << 16)
-        step, back = np.full(n, _BASE, U64), np.full(n, pow(_BASE, -1, 2**64), U64)
-        step[0] = back[0] = 1
-        _TABLES["pow"], _TABLES["back"] = np.cumprod(step), np.cumprod(back)
-    return _TABLES["pow"], _TABLES["back"]
+    if have is not None and len(have) >= n:
+        return have, _TABLES["back"]
+    n = max(n, 1 << 16)
+    step, back = np.full(n, _BASE, U64), np.full(n, pow(_BASE, -1, 2**64), U64)
+    step[0] = back[0] = 1
+    power, back = np.cumprod(step), np.cumprod(back)
+    if n <= KEPT_PLACES:
+        _TABLES["pow"], _TABLES["back"] = power, back
+    return power, back
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -87,49 +93,66 @@ def gather(flat: np.ndarray, offsets: np.ndarray, lengths: np.ndarray) -> np.nda
 
 
 class SpanCache:
-    """Values (runs of int32) of spans that were seen before in this process.
+    """Values (runs of int32) of the spans that were seen before.
 
-    Text repeats its words; a value is computed once per distinct span.  At
-    ``most`` spans the cache starts anew, so its memory is bounded.
+    Text repeats its words; a value is computed once per distinct span.  All is
+    held in arrays; before they would take more than ``limit`` bytes, the cache
+    starts anew.
     """
 
-    def __init__(self, most: int = 1_500_000) -> None:
-        self.most = most
-        self._clear()
+    #: Bytes of a span besides its values: hash, order, offset and length.
+    SPAN_BYTES = 28
 
-    def _clear(self) -> None:
-        self.index: dict[int, int] = {}
-        self.flat, self.used = np.empty(1 << 16, np.int32), 0
+    def __init__(self, limit: int = 48 << 20) -> None:
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.place = np.empty(0, U64), np.empty(0, np.int64)
+        self.flat, self.used, self.spans = np.empty(1 << 12, np.int32), 0, 0
         self.at, self.len = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int32)
 
     @staticmethod
     def _room(a: np.ndarray, n: int) -> np.ndarray:
-        return a if n <= len(a) else np.concatenate((a, np.empty(max(n - len(a), len(a)), a.dtype)))
+        return a if n <= len(a) else np.concatenate((a, np.empty(max(n - len(a), len(a) // 2), a.dtype)))
 
-    def _add(self, hashes: list[int], values: np.ndarray, lengths: np.ndarray) -> None:
-        n = len(self.index)
-        self.at, self.len = self._room(self.at, n + len(hashes)), self._room(self.len, n + len(hashes))
+    def _add(self, hashes: np.ndarray, before: np.ndarray, values: np.ndarray, lengths: np.ndarray) -> None:
+        n, k = self.spans, len(hashes)
+        self.at, self.len = self._room(self.at, n + k), self._room(self.len, n + k)
         self.flat = self._room(self.flat, self.used + len(values))
         self.flat[self.used : self.used + len(values)] = values
-        self.at[n : n + len(hashes)] = self.used + np.cumsum(lengths) - lengths
-        self.len[n : n + len(hashes)] = lengths
-        self.used += len(values)
-        self.index.update(zip(hashes, range(n, n + len(hashes)), strict=True))
+        self.at[n : n + k] = self.used + np.cumsum(lengths) - lengths
+        self.len[n : n + k] = lengths
+        self.used, self.spans = self.used + len(values), n + k
+        self.keys, self.place = np.insert(self.keys, before, hashes), np.insert(self.place, before, np.arange(n, n + k))
 
     def values(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, compute) -> tuple[np.ndarray, np.ndarray]:
         """The values of all spans in order, and how many each span has.
         ``compute(list of bytes) -> (values, lengths)`` gives those of new spans."""
-        hashes = span_hashes(buf, starts, ends)
-        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.index) + len(distinct) > self.most:
-            self._clear()
-        keys = distinct.tolist()
-        place = [self.index.get(h, -1) for h in keys]
-        new = [k for k, p in enumerate(place) if p < 0]
-        if new:
+        distinct, first, back = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+        if (self.spans + len(distinct)) * self.SPAN_BYTES + 4 * self.used > self.limit:
+            self.clear()
+        before = np.searchsorted(self.keys, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = before < len(self.keys)
+        new[inside] = self.keys[before[inside]] != distinct[inside]
+        if new.any():
             data = buf.tobytes()
-            self._add([keys[k] for k in new], *compute([data[starts[first[k]] : ends[first[k]]] for k in new]))
-            place = [self.index[h] for h in keys]
-        place = np.array(place, np.int64)[back]
+            own = first[new]
+            self._add(distinct[new], before[new], *compute([data[f:t] for f, t in zip(starts[own].tolist(), ends[own].tolist(), strict=True)]))
+        place = self.place[np.searchsorted(self.keys, distinct)][back]
         lengths = self.len[place].astype(np.int64)
         return gather(self.flat, self.at[place], lengths), lengths
+
+
+def spans_between(buf: np.ndarray, at: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the units of joined documents: each begins where
+    ``cut`` says so or where its document does."""
+    cut = cut.copy()
+    cut[at[:-1]] = True
+    cut[at[1:] - 1] = False  # the line feeds between documents; an empty one has no unit
+    starts = np.flatnonzero(cut)
+    if not len(starts):
+        return starts, starts
+    ends = np.minimum(np.append(starts[1:], len(buf)), (at[1:] - 1)[np.searchsorted(at, starts, "right") - 1])
+    return starts, ends

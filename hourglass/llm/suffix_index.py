@@ -266,7 +266,8 @@ class SuffixFamily:
 def _recurring(rows: DataFrame, column: str) -> DataFrame:
     """The values of a fingerprint column that more than one range has (0: none)."""
     counts = rows.where(F.col(column) != 0).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.where("n > 1").select(column)
+    # Stored, so that both sides of the join that follows are plain shuffles, which Spark can split at a hot value.
+    return materialize(counts.where("n > 1").select(column), f"recurring-{column}")
 
 
 def _judged(ranges: DataFrame) -> DataFrame:
@@ -296,7 +297,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, batches: int = BATCHES
     for k in range(batches):
         batch = suffixes.where(F.pmod(F.xxhash64("row"), F.lit(batches)) == k)
         met.append(family.add(batch.select("head", "core")))
-    cores = reduce(DataFrame.unionByName, met).distinct()
+    cores = materialize(reduce(DataFrame.unionByName, met).distinct(), "cores")
     found = materialize(_judged(suffixes.join(cores, SuffixFamily.KEYS, "left_semi").drop("head")), "anchors")
     family.remove()
     spans = []

@@ -6,14 +6,19 @@ its low 60 bits and the next word, of selector 0, which holds no id, the rest.
 Ids are packed in blocks of ``BLOCK_IDS``; the file's head has the first word
 of every block, so any block is decoded alone.
 
-File: magic, three int64 (documents, ids, words), then int64 document ids and
-id counts, int64 first words per block (plus the end), and the words.
+File: magic, four int64 (documents, ids, words, documents without an id, which
+come first), then int64 document ids and id counts, int64 first words per block
+(plus the end), and the words.  A task rolls to its next file at ``FILE_IDS``
+ids, so neither writing nor reading holds more than that and one document.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +27,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourglass.llm.files import commit_file
-from hourglass.llm.spans import U64
+from hourglass.llm.spans import U64, SpanCache, join_documents, spans_between
 from hourglass.llm.support import binary_values, chunks, shared_path
 
-MAGIC = b"S8BIDS01"
+MAGIC = b"S8BIDS02"
 BLOCK_IDS = 1 << 14
+FILE_IDS = 1 << 22
+HEAD = 8 + 4 * 8
 #: Ids per word and bits per id of selectors 1 to 15 (15: escape).
 COUNTS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1])
 WIDTHS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 60])
@@ -81,25 +88,25 @@ def unpack(words: np.ndarray, n: int) -> np.ndarray:
     return out[:n]
 
 
-def file_bytes(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
+def file_bytes(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, unnamed: int = 0) -> bytes:
     blocks = [pack(ids[k : k + BLOCK_IDS]) for k in range(0, len(ids), BLOCK_IDS)]
     first = np.concatenate(([0], np.cumsum([len(b) for b in blocks]))).astype("<i8")
-    head = np.array([len(doc_ids), len(ids), int(first[-1])], "<i8")
+    head = np.array([len(doc_ids), len(ids), int(first[-1]), unnamed], "<i8")
     parts = [MAGIC, head.tobytes(), doc_ids.astype("<i8").tobytes(), counts.astype("<i8").tobytes(), first.tobytes()]
     return b"".join([*parts, *[b.astype("<u8").tobytes() for b in blocks]])
 
 
-def read_bytes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document ids, id counts, all ids) of a file."""
+def read_bytes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(document ids, id counts, all ids, how many first documents have no id) of a file."""
     if data[:8] != MAGIC:
         raise ValueError("not a token file")
-    docs, n, _ = np.frombuffer(data, "<i8", 3, 8).tolist()
+    docs, n, _, unnamed = np.frombuffer(data, "<i8", 4, 8).tolist()
     blocks = -(-n // BLOCK_IDS)
-    names, counts = np.frombuffer(data, "<i8", docs, 32), np.frombuffer(data, "<i8", docs, 32 + 8 * docs)
-    first = np.frombuffer(data, "<i8", blocks + 1, 32 + 16 * docs)
-    words = np.frombuffer(data, "<u8", -1, 32 + 16 * docs + 8 * (blocks + 1)).astype(U64)
+    names, counts = np.frombuffer(data, "<i8", docs, HEAD), np.frombuffer(data, "<i8", docs, HEAD + 8 * docs)
+    first = np.frombuffer(data, "<i8", blocks + 1, HEAD + 16 * docs)
+    words = np.frombuffer(data, "<u8", -1, HEAD + 16 * docs + 8 * (blocks + 1)).astype(U64)
     parts = [unpack(words[first[k] : first[k + 1]], min(BLOCK_IDS, n - k * BLOCK_IDS)) for k in range(blocks)]
-    return names, counts, np.concatenate(parts) if parts else np.zeros(0, U64)
+    return names, counts, np.concatenate(parts) if parts else np.zeros(0, U64), unnamed
 
 
 _TOKENIZERS: dict[str, object] = {}
@@ -116,61 +123,117 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cuttable(path: str) -> bool:
+    """Whether the tokenizer treats the parts of a text before and after "a
+    space before a visible ASCII character" independently: no normalizer, the
+    byte-level pre-tokenizer (whose words take one space in front), and special
+    strings without white space."""
+    with open(path, encoding="utf-8") as f:
+        t = json.load(f)
+    pre, added = t.get("pre_tokenizer") or {}, t.get("added_tokens") or []
+    plain = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
+    own = all(not (a["lstrip"] or a["rstrip"] or a["single_word"]) and not re.search(r"\s", a["content"]) for a in added)
+    return bool(plain and own and not t.get("normalizer") and not t.get("truncation") and not t.get("padding"))
+
+
+class TextEncoder:
+    """Ids as the plain library call gives them; each distinct unit between
+    two cuts goes through the library once per cache filling."""
+
+    def __init__(self, path: str) -> None:
+        self.library, self.cut, self.cache = _tokenizer(path), cuttable(path), SpanCache()
+
+    def _units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.library.encode_batch([u.decode() for u in units], add_special_tokens=False)]
+        lengths = np.array([len(i) for i in ids], np.int64)
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in order, and how many each text has."""
+        if not self.cut:
+            return self._units(texts)
+        buf, at = join_documents(texts)
+        cut = np.zeros(len(buf), bool)
+        cut[:-1] = (buf[:-1] == 0x20) & (buf[1:] > 0x20) & (buf[1:] < 0x7F)
+        starts, ends = spans_between(buf, at, cut)
+        if not len(starts):
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        ids, lengths = self.cache.values(buf, starts, ends, self._units)
+        upto = np.concatenate(([0], np.cumsum(lengths)))
+        return ids, np.diff(upto[np.searchsorted(starts, at)])
+
+
+MANIFEST = "shard int, part int, file string, documents long, ids long"
+
+
+def write_tokens(
+    docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS
+) -> DataFrame:
     """Writes the ids of all documents in ascending id order, an end id after
-    each, one file per range of document ids; returns the manifest (shard,
-    file, first, documents, ids).
+    each; every range of document ids has a shard of one or more files.
+    Returns the manifest: (shard, part, file, documents, ids) per file.
 
-    Null texts count as empty (the end id alone).  Rows with a null id have no
-    place in the order and raise an error; rows that repeat an id follow each
-    other.  An empty table gives an empty manifest.
+    Null texts count as empty (the end id alone).  Rows with a null id come
+    first; rows that repeat an id follow each other.  An empty table gives an
+    empty manifest.
     """
-    rows = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.raise_error(F.lit("a document has no id")).cast("long")).alias("doc_id"), F.col(text_col).alias("text")
-    )
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, names, counts, ids = _tokenizer(tokenizer), [], [], []
+        encoder, shard, part = TextEncoder(tokenizer), TaskContext.get().partitionId(), 0
+        names, counts, ids, unnamed = [], [], [], 0
+
+        def roll() -> pa.RecordBatch:
+            nonlocal names, counts, ids, unnamed, part
+            n, flat = np.concatenate(counts), np.concatenate(ids)
+            name = commit_file(folder, f"ids-{shard:06d}-{part:06d}.s8b", file_bytes(np.concatenate(names), n, flat, unnamed))
+            row = [[shard], [part], [name], [len(n)], [len(flat)]]
+            names, counts, ids, unnamed, part = [], [], [], 0, part + 1
+            kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds, strict=True)], [f.split()[0] for f in MANIFEST.split(", ")])
+
         for batch in batches:
             texts = binary_values(batch.column(1))
-            names.append(batch.column(0).to_numpy())
             for lo, hi in chunks(texts):
-                for e in encode.encode_batch([t.decode() for t in texts[lo:hi]], add_special_tokens=False):
-                    ids.append(np.array([*e.ids, END_ID], np.uint32))
-                    counts.append(len(ids[-1]))
+                own, n = encoder.encode(texts[lo:hi])
+                ids.append(np.insert(own, np.cumsum(n), END_ID).astype(np.uint32))
+                counts.append(n + 1)
+                ident = batch.column(0).slice(lo, hi - lo)
+                unnamed += ident.null_count
+                names.append(ident.fill_null(0).to_numpy())
+                if sum(map(len, ids)) >= file_ids:
+                    yield roll()
         if counts:
-            shard = TaskContext.get().partitionId()
-            names, flat = np.concatenate(names), np.concatenate(ids)
-            name = commit_file(folder, f"ids-{shard:06d}.s8b", file_bytes(names, np.array(counts), flat))
-            yield pa.RecordBatch.from_pylist(
-                [{"shard": shard, "file": name, "first": int(names[0]), "documents": len(counts), "ids": len(flat)}],
-                schema=pa.schema([("shard", pa.int32()), ("file", pa.string()), ("first", pa.int64()), ("documents", pa.int64()), ("ids", pa.int64())]),
-            )
+            yield roll()
 
     manifest = f"{folder}-manifest"
-    rows.mapInArrow(run, "shard int, file string, first long, documents long, ids long").write.parquet(manifest)
+    rows.mapInArrow(run, MANIFEST).write.parquet(manifest)
     return docs.sparkSession.read.parquet(manifest)
 
 
 def read_tokens(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document in the files of
     the manifest; ``start`` counts the ids of all documents before it."""
-    # One row per file: a running sum over the manifest.
-    before = F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    listed = manifest.select("file", F.coalesce(before, F.lit(0)).cast("long").alias("base"))
+    # One row per shard in the outer sum, the files of a shard in the inner one.
+    outer = F.sum("all").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    shards = manifest.groupBy("shard").agg(F.sum("ids").alias("all")).select("shard", F.coalesce(outer, F.lit(0)).alias("before"))
+    inner = F.sum("ids").over(Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    listed = manifest.withColumn("inner", F.coalesce(inner, F.lit(0))).join(shards, "shard")
+    listed = listed.select("file", (F.col("before") + F.col("inner")).cast("long").alias("base"))
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.s8b").load(folder)
     files = files.withColumn("file", F.element_at(F.split("path", "/"), -1)).join(listed, "file").select("content", "base")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content, base in zip(batch.column(0), batch.column(1), strict=True):
-                names, counts, ids = read_bytes(content.as_py())
+                names, counts, ids, unnamed = read_bytes(content.as_py())
                 ids, upto = ids.astype("<u4"), np.cumsum(counts)
                 crc = [zlib.crc32(ids[t - n : t].tobytes()) for t, n in zip(upto.tolist(), counts.tolist(), strict=True)]
-                columns = [names, base.as_py() + upto - counts, counts, crc]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                doc_id = pa.array(names, pa.int64(), mask=np.arange(len(names)) < unnamed)
+                columns = [doc_id, *[pa.array(c, pa.int64()) for c in (base.as_py() + upto - counts, counts, crc)]]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
