@@ -6,9 +6,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourglass.functions.carry import asof_join, search_sorted
 from hourglass.functions.grid import step_index
 from hourglass.functions.time import Duration, add_duration, interval_expr, ntz_lit, parse_duration, to_datetime
 from hourglass.operators.forecast import (
@@ -30,9 +31,8 @@ def time_folds(df: DataFrame, test_from, every: str = "3mo", ds: str = "ds") ->
     ``max(ds)``; ``test_to`` is the next start, the last one is ``max(ds)``
     (so the newest timestamp is in no fold); ``train_from`` is ``min(ds)``.
     ``test_from >= max(ds)`` gives no fold.  The frame has one row per
-    ``every`` step inside the data's time span -- its size depends on the
-    span, not on the number of rows -- which is what makes broadcasting it
-    safe.
+    ``every`` step inside the data's time span: its size depends on the
+    span, not on the number of rows, so it can be held as one array.
     """
     t0 = ntz_lit(to_datetime(test_from))
     b = df.agg(F.min(ds).alias("lo"), F.max(ds).alias("hi"))
@@ -55,25 +55,29 @@ def assign_folds(df: DataFrame, folds: DataFrame, ds: str = "ds") -> DataFrame:
     """Every (row, fold) with ``train_from <= ds < test_to``, plus ``is_test``.
 
     This copies each row into every fold whose window holds it (the long
-    form of the original list of fold frames).  The fold frame is tiny and
-    broadcast.  Prefer :func:`assign_test_fold` + prefix sums for work that
+    form of the original list of fold frames), from one array of all folds and
+    without a join.  Prefer :func:`assign_test_fold` + prefix sums for work that
     can be cumulated over folds.
     """
-    f = F.broadcast(folds)
-    cond = (F.col(ds) >= F.col("train_from")) & (F.col(ds) < F.col("test_to"))
-    return df.join(f, cond, "inner").select(
-        *df.columns, "fold_id", (F.col(ds) >= F.col("test_from")).alias("is_test")
-    )
+    fold = F.struct("train_from", "test_from", "test_to", "fold_id")
+    every = folds.agg(F.sort_array(F.collect_list(fold)).alias("f")).scalar()
+    holds = lambda f: (F.col(ds) >= f["train_from"]) & (F.col(ds) < f["test_to"])
+    long = df.withColumn("_folds", every).select(*df.columns, F.explode(F.filter("_folds", holds)).alias("_f"))
+    return long.select(*df.columns, F.col("_f.fold_id").alias("fold_id"), (F.col(ds) >= F.col("_f.test_from")).alias("is_test"))
 
 
 def assign_test_fold(df: DataFrame, folds: DataFrame, ds: str = "ds") -> DataFrame:
     """Tag each row with the one fold whose *test* window holds it (null if none).
 
-    No row is copied: test windows do not overlap.
+    The fold starts are one sorted array, and each row finds its place in it by
+    a binary search: no join, and no row is copied, as test windows do not
+    overlap.
     """
-    f = F.broadcast(folds.select("fold_id", "test_from", "test_to"))
-    cond = (F.col(ds) >= F.col("test_from")) & (F.col(ds) < F.col("test_to"))
-    return df.join(f, cond, "left").select(*df.columns, "fold_id")
+    lists = folds.agg(F.sort_array(F.collect_list(F.struct("test_from", "test_to", "fold_id"))).alias("f"))
+    part = lambda name: lists.select(F.transform("f", lambda e: e[name])).scalar()
+    placed = df.withColumn("_starts", part("test_from")).withColumn("_at", search_sorted(F.col("_starts"), F.col(ds)) - 1)
+    inside = (F.col("_at") >= 0) & (F.col(ds) < F.get(part("test_to"), F.col("_at")))
+    return placed.select(*df.columns, F.when(inside, F.get(part("fold_id"), F.col("_at"))).alias("fold_id"))
 
 
 def segment_of(tagged: DataFrame, folds: DataFrame, ds: str = "ds") -> DataFrame:
@@ -97,22 +101,21 @@ def fold_sizes(df: DataFrame, folds: DataFrame, target: str = "y", ds: str = "ds
         .groupBy("_seg")
         .agg(F.count(F.lit(1)).alias("_n"), F.sum(target).cast("bigint").alias("_y"))
     )
-    ids = folds.select("fold_id")
+    # The segment frame has a row per fold; as one array it gives each fold its sums.
+    every = segs.agg(F.collect_list(F.struct("_seg", "_n", "_y")).alias("s")).scalar()
+    sized = folds.select("fold_id", every.alias("_segs"))
     zero = F.lit(0).cast("bigint")
-    train = (
-        ids.join(F.broadcast(segs), F.col("_seg") < F.col("fold_id"), "left")
-        .groupBy("fold_id")
-        .agg(F.coalesce(F.sum("_n"), zero).alias("train_rows"), F.coalesce(F.sum("_y"), zero).alias("train_y"))
-    )
-    test = ids.join(F.broadcast(segs), F.col("_seg") == F.col("fold_id"), "left").select(
-        "fold_id", F.coalesce("_n", zero).alias("test_rows"), F.coalesce("_y", zero).alias("test_y")
-    )
-    return train.join(test, "fold_id").select(
+
+    def total(field: str, which) -> Column:
+        return F.aggregate(F.filter("_segs", which), zero, lambda acc, e: acc + F.coalesce(e[field], zero))
+
+    before, own = (lambda e: e["_seg"] < F.col("fold_id")), (lambda e: e["_seg"] == F.col("fold_id"))
+    return sized.select(
         F.col("fold_id").cast("int").alias("fold_id"),
-        F.col("train_rows").cast("bigint").alias("train_rows"),
-        F.col("train_y").cast("bigint").alias("train_y"),
-        "test_rows",
-        "test_y",
+        total("_n", before).alias("train_rows"),
+        total("_y", before).alias("train_y"),
+        total("_n", own).alias("test_rows"),
+        total("_y", own).alias("test_y"),
     )
 
 
@@ -164,11 +167,11 @@ def rolling_origin_forecast(
     Output: (fold_id, unique_id, ds, cutoff, y, y_pred); horizons past the
     data fall out of the inner join with the actuals.
 
-    Plan: one window per (fold, series) gives each row its bounded history
-    array and the next row's ``ds``; each cutoff then matches exactly the one
-    row with ``ds <= cutoff < next ds`` (an as-of join by an equi-join on
-    fold plus a range condition against the small broadcast cutoff frame);
-    the recursion runs in ``F.aggregate``.  ``params`` (fold_id, intercept,
+    Plan: one window per (fold, series), bounded by the fold's length, gives
+    each row its history array.  The row that an origin starts from is the one
+    at the origin itself (``grid``: complete series, an equi-join), else it is
+    found by :func:`hourglass.functions.carry.asof_join`: a sorted union in
+    ranges, nothing broadcast.  The recursion runs in ``F.aggregate``.  ``params`` (fold_id, intercept,
     coef_lag_<l>...) gives a linear model per fold; without it the step is the
     mean of the lags.
     """
@@ -183,16 +186,12 @@ def rolling_origin_forecast(
         c = cutoffs.select("fold_id", F.col("cutoff").alias(ds), "cutoff")
         origin = hist.join(c, ["fold_id", ds], "inner").where(F.size("_hist") >= L)
     else:
-        w = Window.partitionBy(*part).orderBy(ds)
-        hist = history_arrays(rows, L, target, ds, part).withColumn("_next", F.lead(ds).over(w))
-        # The cutoff frame has one row per origin (bounded by the time span).
-        c = F.broadcast(cutoffs.withColumnRenamed("fold_id", "_cf"))
-        cond = (
-            (F.col("fold_id") == F.col("_cf"))
-            & (F.col("cutoff") >= F.col(ds))
-            & (F.col("_next").isNull() | (F.col("cutoff") < F.col("_next")))
-        )
-        origin = hist.join(c, cond, "inner").where(F.size("_hist") >= L)
+        # Each series meets each origin of its fold; the as-of join finds the row.
+        pairs = rows.select(*part).distinct().join(cutoffs, "fold_id")
+        last = asof_join(pairs, rows.withColumn("_last", F.col(ds)), part, "cutoff", ds, ["_last"])
+        last = last.where(F.col("_last").isNotNull()).withColumnRenamed("_last", ds)
+        hist = history_arrays(rows, L, target, ds, part)
+        origin = hist.join(last, [*part, ds], "inner").where(F.size("_hist") >= L)
     if params is None:
         step = mean_step(lags)
     else:

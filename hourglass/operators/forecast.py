@@ -12,13 +12,14 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourglass.functions.grid import HALO_COL, bucket_window, with_halo, with_row_halo
+from hourglass.functions.carry import last_of_series
+from hourglass.functions.grid import HALO_COL, bucket_window
 from hourglass.functions.time import add_duration
-from hourglass.operators.series import history_arrays, lag_name, row_mean
+from hourglass.operators.series import lag_name, row_mean, with_history
 from hourglass.operators.spine import extend_horizon
 
 Step = Callable[[Column], Column]
@@ -100,27 +101,16 @@ def mean_lag_predict(
     where ``ds > min(ds) + max(lags) * freq`` of their series (strict).
     Output: the input columns plus ``y_hat``.
 
-    ``grid=True`` declares complete series on the ``freq`` grid: lags then run
-    per (series, time bucket) with halo rows and the per-series first ``ds``
-    comes from a group-by, so no task holds a whole series.
+    ``grid=True`` declares complete series on the ``freq`` grid; see
+    ``series.with_history``: in no mode does a task hold a whole series.
     """
     cols = X.columns
     ext = extend_horizon(X, 1, freq, unique_id, ds, target)
-    if not grid and not by_position:
-        w = Window.partitionBy(unique_id).orderBy(ds)
-        lag_cols = [F.lag(target, i).over(w) for i in lags]
-        first = F.min(ds).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        out = ext.select(*cols, first.alias("_first"), row_mean(lag_cols).alias("y_hat"))
-    else:
-        firsts = X.groupBy(unique_id).agg(F.min(ds).alias("_first"))
-        h = with_halo(ext, ds, freq, max(lags)) if grid else with_row_halo(ext, unique_id, ds, max(lags))
-        w = bucket_window(unique_id, ds)
-        lag_cols = [F.lag(target, i).over(w) for i in lags]
-        out = (
-            h.select(*cols, HALO_COL, row_mean(lag_cols).alias("y_hat"))
-            .where(~F.col(HALO_COL))
-            .join(firsts, unique_id)
-        )
+    firsts = X.groupBy(unique_id).agg(F.min(ds).alias("_first"))
+    h = with_history(ext, unique_id, ds, max(lags), freq if grid else None, by_position)
+    w = bucket_window(unique_id, ds)
+    lag_cols = [F.lag(target, i).over(w) for i in lags]
+    out = h.select(*cols, HALO_COL, row_mean(lag_cols).alias("y_hat")).where(~F.col(HALO_COL)).join(firsts, unique_id)
     out = out.where(F.col(ds) > add_duration(F.col("_first"), freq, max(lags)))
     return out.select(*cols, "y_hat")
 
@@ -159,8 +149,8 @@ def series_tails(
     With ``freq`` (complete grid) the tail is cut by time before any
     grouping: a two-phase max/count per series, a filter
     ``ds > last - size * freq``, then a group of at most ``size`` rows per
-    series -- a hot series never reaches one task whole.  Without it, a
-    row-based window per series is used.
+    series.  Without it, the ranges of the sort order give their last rows
+    (``functions.carry``).  A hot series never reaches one task whole.
     """
     if freq is not None:
         last = X.groupBy(unique_id).agg(F.max(ds).alias("_last"), F.count(F.lit(1)).alias("_n"))
@@ -174,11 +164,7 @@ def series_tails(
                 F.sort_array(F.collect_list(F.struct(ds, F.col(target).cast("double").alias("v")))), lambda e: e["v"]
             ).alias("_hist"),
         )
-    hist = history_arrays(X.select(unique_id, ds, target), size, target, ds, [unique_id])
-    last = hist.groupBy(unique_id).agg(F.max_by(F.struct(ds, "_hist", "_pos"), ds).alias("_l"))
-    return last.select(
-        unique_id, F.col(f"_l.{ds}").alias("_last"), F.col("_l._pos").cast("long").alias("_n"), F.col("_l._hist").alias("_hist")
-    )
+    return last_of_series(X, unique_id, ds, size, F.col(target).cast("double"))
 
 
 def forecast_series(
@@ -255,25 +241,14 @@ def lag_features(
 ) -> DataFrame:
     """Rows with every lag present (nulls dropped), plus an intercept column.
 
-    ``grid_freq`` declares complete series: lags run per (series, bucket)
-    with halo rows instead of per whole series.
+    No task holds a whole series: see ``series.with_history``.
     """
     names = [lag_name(target, i) for i in lags]
     base = X.select(unique_id, ds, F.col(target).cast("double").alias(target), *keep)
-    if grid_freq is None and not by_position:
-        w = Window.partitionBy(unique_id).orderBy(ds)
-        out = base.select("*", *[F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)])
-    else:
-        if grid_freq is not None:
-            h = with_halo(base, ds, grid_freq, max(lags))
-        else:
-            h = with_row_halo(base, unique_id, ds, max(lags))
-        w = bucket_window(unique_id, ds)
-        out = (
-            h.select(*base.columns, HALO_COL, *[F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)])
-            .where(~F.col(HALO_COL))
-            .drop(HALO_COL)
-        )
+    h = with_history(base, unique_id, ds, max(lags), grid_freq, by_position)
+    w = bucket_window(unique_id, ds)
+    lagged = [F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)]
+    out = h.select(*base.columns, HALO_COL, *lagged).where(~F.col(HALO_COL)).drop(HALO_COL)
     return out.dropna(subset=names + [target]).withColumn("intercept", F.lit(1.0))
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.functions.grid import HALO_COL, bucket_window, with_halo, with_row_halo
+from hourglass.functions.grid import HALO_COL, bucket_window
 from hourglass.functions.ranks import POS, sorted_positions
+from hourglass.operators.series import with_history
 
 
 def mae(df: DataFrame, target: str = "y", pred: str = "y_hat", by: Sequence[str] = ("unique_id",)) -> DataFrame:
@@ -82,23 +83,15 @@ def residual_acf(
 
     ``acf_k = sum(c_t * c_{t-k}) / sum(c_t^2)`` with ``c`` the residual
     minus its series mean.  The mean is a per-series group-by joined back;
-    the lags run per series, or -- with ``grid_freq`` (complete grid) -- per
-    (series, time bucket) with halo rows; the sums are two-phase aggregates.
+    the lags run per part of a series (``series.with_history``); the sums are
+    two-phase aggregates.
     """
     base = df.where(F.col(col).isNotNull()).select(unique_id, ds, col)
     means = base.groupBy(unique_id).agg(F.avg(col).alias("_mean"))
     centred = base.join(means, unique_id).select(unique_id, ds, (F.col(col) - F.col("_mean")).alias("_c"))
     lag_exprs = lambda w: [F.lag("_c", k).over(w).alias(f"_l{k}") for k in range(1, max_lag + 1)]
-    if grid_freq is None and not by_position:
-        w = Window.partitionBy(unique_id).orderBy(ds)
-        lagged = centred.select(unique_id, "_c", *lag_exprs(w))
-    else:
-        if grid_freq is not None:
-            h = with_halo(centred, ds, grid_freq, max_lag)
-        else:
-            h = with_row_halo(centred, unique_id, ds, max_lag)
-        w = bucket_window(unique_id, ds)
-        lagged = h.select(unique_id, "_c", HALO_COL, *lag_exprs(w)).where(~F.col(HALO_COL))
+    h = with_history(centred, unique_id, ds, max_lag, grid_freq, by_position)
+    lagged = h.select(unique_id, "_c", HALO_COL, *lag_exprs(bucket_window(unique_id, ds))).where(~F.col(HALO_COL))
     sums = lagged.groupBy(unique_id).agg(
         F.sum(F.col("_c") * F.col("_c")).alias("_den"),
         *[F.sum(F.col("_c") * F.col(f"_l{k}")).alias(f"_n{k}") for k in range(1, max_lag + 1)],

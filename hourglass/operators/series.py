@@ -1,5 +1,5 @@
-"""Long-series operators: daily sum (A4), lags (W1), bounds (A5-A7),
-bounded per-series history (W5)."""
+"""Long-series operators: daily sum (A4), lags (W1), bounded per-series
+history (W5)."""
 
 from __future__ import annotations
 
@@ -8,8 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourglass.functions.carry import with_carry
 from hourglass.functions.grid import HALO_COL, bucket_window, with_halo, with_row_halo
-from hourglass.functions.time import add_duration, parse_duration, trunc_day, trunc_hour
+from hourglass.functions.time import parse_duration, trunc_day, trunc_hour
 
 
 def lag_name(target: str, lag: int) -> str:
@@ -37,6 +38,23 @@ def daily_sum(
     )
 
 
+def with_history(
+    df: DataFrame, unique_id: str, ds: str, size: int, grid_freq: str | None = None, by_position: bool = False
+) -> DataFrame:
+    """``df`` in parts (``_bucket``) that each also hold, as ``_halo`` rows, the
+    ``size`` rows before their own rows of a series.  Windows per (series,
+    part) then equal windows per series.
+
+    By default the parts are ranges of the sort order, which hand their last
+    rows on (any series, gaps allowed).  ``grid_freq`` (e.g. ``'1d'``) declares
+    complete series on that grid: the parts are then time buckets, without a
+    sample.  ``by_position=True`` cuts them by exact row position.
+    """
+    if grid_freq is not None:
+        return with_halo(df, ds, grid_freq, size)
+    return with_row_halo(df, unique_id, ds, size) if by_position else with_carry(df, unique_id, ds, size)
+
+
 def time_lags(
     df: DataFrame,
     lags: Sequence[int],
@@ -52,28 +70,13 @@ def time_lags(
     Output: ``ds, unique_id, target`` and one ``{target}__{lag}__lag`` column
     per lag (other columns are not kept).  All lags share one window.
 
-    ``grid_freq`` (e.g. ``'1d'``) declares the series complete on that grid;
-    the window then runs per (series, time bucket) with halo rows, so a long
-    or hot series is spread over many tasks (same result).
-    ``by_position=True`` does the same for any series (gaps allowed): the
-    buckets are cut by row position from a distributed sort.
+    No task holds a whole series: see :func:`with_history`.
     """
     names = [lag_name(target, i) for i in lags]
-    if grid_freq is None and not by_position:
-        w = Window.partitionBy(unique_id).orderBy(ts_column)
-        out = df.select(ts_column, unique_id, target, *[F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)])
-    else:
-        base = df.select(ts_column, unique_id, target)
-        if grid_freq is not None:
-            h = with_halo(base, ts_column, grid_freq, max(lags))
-        else:
-            h = with_row_halo(base, unique_id, ts_column, max(lags))
-        w = bucket_window(unique_id, ts_column)
-        out = (
-            h.select(ts_column, unique_id, target, HALO_COL, *[F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)])
-            .where(~F.col(HALO_COL))
-            .drop(HALO_COL)
-        )
+    h = with_history(df.select(ts_column, unique_id, target), unique_id, ts_column, max(lags), grid_freq, by_position)
+    w = bucket_window(unique_id, ts_column)
+    lagged = [F.lag(target, i).over(w).alias(n) for i, n in zip(lags, names)]
+    out = h.select(ts_column, unique_id, target, HALO_COL, *lagged).where(~F.col(HALO_COL)).drop(HALO_COL)
     return out.dropna(how="any") if drop_nulls else out
 
 
@@ -89,17 +92,6 @@ def row_mean(cols: Sequence[Column]) -> Column:
     return F.try_divide(total, F.nullif(count, F.lit(0)).cast("double"))
 
 
-def global_bounds(df: DataFrame, ds: str = "ds") -> tuple[Column, Column]:
-    """Global min / max of ``ds`` as scalar subqueries."""
-    return df.select(F.min(ds)).scalar(), df.select(F.max(ds)).scalar()
-
-
-def warmup_cutoff(ds: str, lags: Sequence[int], freq: str, unique_id: str = "unique_id") -> Column:
-    """``min(ds) + max_lag * freq`` per series (A6), as a window expression."""
-    first = F.min(ds).over(Window.partitionBy(unique_id))
-    return add_duration(first, freq, max(lags))
-
-
 def history_arrays(
     df: DataFrame,
     size: int,

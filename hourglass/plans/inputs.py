@@ -58,6 +58,15 @@ def order_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("y"))
 
 
+def nation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per (nation of the customer, day), without gap fill."""
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    named = o.join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    return named.groupBy(
+        F.col("c_nationkey").cast("string").alias("unique_id"), trunc_day("o_orderdate").alias("ds")
+    ).agg(F.count(F.lit(1)).alias("y"))
+
+
 def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete daily series (unique_id string, ds timestamp_ntz, y bigint)."""
     return fill_series_gaps(order_counts(spark, sf_dir), freq="1d", span="global")

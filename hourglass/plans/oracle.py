@@ -537,6 +537,28 @@ sql("rolling_origin_forecast", "WITH RECURSIVE " + DAILY.strip() + "," + ROLLING
 SELECT fold_id, unique_id, ds, cutoff, y, round(y_pred, 6) AS y_pred FROM rof
 """)
 
+# Orders per (nation of the customer, day): series with gaps.
+NATION_COUNTS = """
+ncounts AS (
+    SELECT CAST(c_nationkey AS VARCHAR) AS unique_id, CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS ds, count(*) AS y
+    FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL
+)"""
+sql("rolling_origin_asof", "WITH RECURSIVE " + NATION_COUNTS.strip() + "," + folds_cte("ncounts") + rolling_ctes(mean_step_sql("h")) + """
+SELECT fold_id, unique_id, ds, cutoff, y, round(y_pred, 6) AS y_pred FROM rof
+""")
+sql("lag_normal_equations_gappy", with_(NATION_COUNTS) + f""",
+f AS (
+    SELECT *, 1.0 AS intercept FROM (
+        SELECT unique_id, ds, y, {lag_list()} FROM ncounts WINDOW w AS (PARTITION BY unique_id ORDER BY ds)
+    ) WHERE y IS NOT NULL AND {_LAGCOLS}
+)
+SELECT {_NE_SUMS} FROM f
+""")
+sql("time_lags_gappy", with_(NATION_COUNTS) + f""",
+l AS (SELECT ds, unique_id, y, {lag_list()} FROM ncounts WINDOW w AS (PARTITION BY unique_id ORDER BY ds))
+SELECT * FROM l WHERE {_LAGCOLS}
+""")
+
 sql("evaluate_forecast", "WITH RECURSIVE " + DAILY.strip() + "," + ROLLING + """
 SELECT fold_id, horizon, round(bias, 6) AS bias, round(mae, 6) AS mae, round(score, 6) AS score FROM ev
 """)

@@ -90,6 +90,22 @@ def q_rolling_origin_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_rolling(spark, sf_dir))
 
 
+@query("rolling_origin_asof")
+def q_rolling_origin_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rolling origins on the sparse daily order counts of every customer nation:
+    series have gaps, so most origins lie between two rows (J7)."""
+    sparse = I.nation_counts(spark, sf_dir)
+    tagged = BT.assign_test_fold(sparse, BT.time_folds(sparse, I.TEST_FROM, I.FOLD_EVERY))
+    cutoffs = BT.rolling_cutoffs(tagged, max(I.LAGS), I.HORIZON)
+    return rounded(BT.rolling_origin_forecast(tagged, cutoffs, I.HORIZON, I.LAGS))
+
+
+@query("lag_normal_equations_gappy")
+def q_lag_normal_equations_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T9 over row lags of the sparse daily counts of every customer nation."""
+    return rounded(normal_equation_sums(lag_features(I.nation_counts(spark, sf_dir), I.LAGS), I.LAGS))
+
+
 @query("evaluate_forecast")
 def q_evaluate_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(BT.evaluate_forecast(_rolling(spark, sf_dir)))

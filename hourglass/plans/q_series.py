@@ -37,6 +37,12 @@ def q_time_lags_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(out, [c for c in out.columns if c.endswith("__lag")])
 
 
+@query("time_lags_gappy")
+def q_time_lags_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 by rows on series with gaps: daily order counts of every customer nation."""
+    return time_lags(I.nation_counts(spark, sf_dir), I.LAGS)
+
+
 @query("extend_horizon")
 def q_extend_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(extend_horizon(I.daily_series(spark, sf_dir), I.HORIZON, "1d"), ["y"])
