@@ -15,7 +15,6 @@ ids, so neither writing nor reading holds more than that and one document.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -124,27 +123,55 @@ def _tokenizer(path: str):
 
 
 def cuttable(path: str) -> bool:
-    """Whether the tokenizer treats the parts of a text before and after "a
-    space before a visible ASCII character" independently: no normalizer, the
-    byte-level pre-tokenizer (whose words take one space in front), and special
-    strings without white space."""
+    """Whether the tokenizer is the plain byte-level one, whose words (a run of
+    letters, of digits or of other marks, each with one space in front, or white
+    space) are told apart by the neighbouring characters alone."""
     with open(path, encoding="utf-8") as f:
         t = json.load(f)
-    pre, added = t.get("pre_tokenizer") or {}, t.get("added_tokens") or []
+    pre = t.get("pre_tokenizer") or {}
     plain = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
-    own = all(not (a["lstrip"] or a["rstrip"] or a["single_word"]) and not re.search(r"\s", a["content"]) for a in added)
-    return bool(plain and own and not t.get("normalizer") and not t.get("truncation") and not t.get("padding"))
+    return bool(plain and not t.get("normalizer") and not t.get("truncation") and not t.get("padding"))
+
+
+def _kinds() -> np.ndarray:
+    """1 letter, 2 digit, 3 other mark, 4 white space; 0 for bytes
+    next to which no text is cut: apostrophes (they start contractions),
+    control characters, and all that is not ASCII."""
+    kind = np.zeros(256, np.uint8)
+    kind[0x21:0x7F] = 3
+    kind[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+    kind[0x30:0x3A] = 2
+    kind[[0x20, *range(0x09, 0x0E)]] = 4
+    kind[0x27] = 0
+    return kind
+
+
+KINDS = _kinds()
+
+
+def cuts(buf: np.ndarray) -> np.ndarray:
+    """Places before which a text can be cut without changing its ids: where a
+    run of letters, digits or marks ends (white space stays with what follows
+    it), and before a space that a visible character follows."""
+    kind, out = KINDS[buf], np.zeros(len(buf), bool)
+    seen = (kind > 0) & (kind < 4)
+    out[1:] = seen[:-1] & (kind[1:] > 0) & (kind[1:] != kind[:-1])
+    out[:-1] |= (buf[:-1] == 0x20) & (buf[1:] > 0x20) & (buf[1:] < 0x7F)
+    return out
 
 
 class TextEncoder:
     """Ids as the plain library call gives them; each distinct unit between
-    two cuts goes through the library once per cache filling."""
+    two cuts goes through the library once per cache filling.  Texts with the
+    string of a special token go through it whole."""
 
     def __init__(self, path: str) -> None:
         self.library, self.cut, self.cache = _tokenizer(path), cuttable(path), SpanCache()
+        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        self.batch = getattr(self.library, "encode_batch_fast", self.library.encode_batch)  # without offsets
 
     def _units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.library.encode_batch([u.decode() for u in units], add_special_tokens=False)]
+        ids = [e.ids for e in self.batch([u.decode() for u in units], add_special_tokens=False)]
         lengths = np.array([len(i) for i in ids], np.int64)
         return np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths
 
@@ -153,8 +180,11 @@ class TextEncoder:
         if not self.cut:
             return self._units(texts)
         buf, at = join_documents(texts)
-        cut = np.zeros(len(buf), bool)
-        cut[:-1] = (buf[:-1] == 0x20) & (buf[1:] > 0x20) & (buf[1:] < 0x7F)
+        cut = cuts(buf)
+        if any(s in buf.tobytes() for s in self.special):
+            for k, t in enumerate(texts):
+                if any(s in t for s in self.special):
+                    cut[at[k] : at[k + 1]] = False
         starts, ends = spans_between(buf, at, cut)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
@@ -163,6 +193,16 @@ class TextEncoder:
         return ids, np.diff(upto[np.searchsorted(starts, at)])
 
 
+_ENCODERS: dict[str, TextEncoder] = {}
+
+
+def _encoder(path: str) -> TextEncoder:
+    """Kept by the worker for its next tasks; its cache has a size limit."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = TextEncoder(path)
+    return _ENCODERS[path]
+
+
 MANIFEST = "shard int, part int, file string, documents long, ids long"
 
 
@@ -182,7 +222,7 @@ def write_tokens(
     rows = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, part = TextEncoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, shard, part = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         names, counts, ids, unnamed = [], [], [], 0
 
         def roll() -> pa.RecordBatch:
