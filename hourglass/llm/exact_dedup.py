@@ -80,10 +80,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Rows that repeat an id and its text stay once (any of them).  The rows are
     found by (id, digest), both of which the result of ``exact_groups`` has.
     """
-    stay = exact_groups(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("_stay_id"), F.col("text_sha256").alias("_stay_sha")
-    )
-    rows = docs.withColumn("_own_sha", F.sha2(normalised(text_col), 256))
-    same = F.col(id_col).eqNullSafe(F.col("_stay_id")) & (F.col("_own_sha") == F.col("_stay_sha"))
-    out = rows.join(stay, same, "left_semi").dropDuplicates([id_col, "_own_sha"])
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # One key for the join and for the repeated rows, so that the texts are shuffled once for both.
+    key = lambda ident, sha: F.concat_ws(":", sha, ident.cast("string"))
+    stay = exact_groups(docs, id_col, text_col).filter("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias("_stay"))
+    mine = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)])
+    rows = docs.select(key(F.col(f"`{id_col}`"), F.sha2(normalised(text_col), 256)).alias("_stay"), mine.alias("_row"))
+    out = rows.join(stay, "_stay", "left_semi").dropDuplicates(["_stay"])
+    return out.select(*[F.col(f"_row.c{k}").alias(c) for k, c in enumerate(docs.columns)])
