@@ -71,7 +71,10 @@ def upsert_by_key(
     new_one = dedupe_by_key(_guard_keys(new.select(cols), key, null_keys), key, order_cols)
     current = current.select(cols)
     if not update_cols:
-        keys = new_one.select(F.col(key).alias("_key"))
+        # The keys alone decide which current rows stay; null keys raise in one place, the batch itself.
+        keys = new.select(F.col(key).alias("_key")).distinct()
+        if null_keys != "keep_one":
+            keys = keys.where(F.col("_key").isNotNull())
         return current.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(new_one)
 
     # Partial update: the update columns come from the new row where there is
