@@ -34,6 +34,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Removes tables made by :func:`materialize` that nothing reads any more."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_of(text: "str | Column" = "text") -> Column:
     """The text, null counting as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

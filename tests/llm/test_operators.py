@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hourglass.llm import lm, near_dedup, token_files
-from hourglass.llm.components import components
+from hourglass.llm.components import components, components_and_steps
 from hourglass.llm.exact_dedup import drop_copies, exact_groups
 from hourglass.llm.grammar import learn
 from hourglass.llm.html_text import extract_pages, main_text
@@ -118,6 +118,42 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 50, 50: 50}
 
 
+def _union_find(links):
+    up = {}
+
+    def root(x):
+        up.setdefault(x, x)
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for a, b in links:
+        one, two = sorted((root(a), root(b)))
+        up[two] = one
+    return {x: root(x) for x in up}
+
+
+def _links(shape):
+    rng = np.random.default_rng(7)
+    if shape == "rising path":
+        return [(i, i + 1) for i in range(1000)]
+    if shape == "shuffled path":
+        name = rng.permutation(1000).tolist()
+        return list(zip(name[1:], name[:-1], strict=True))
+    if shape == "star of the largest":
+        return [(500, i) for i in range(500)]
+    return [tuple(p) for p in rng.integers(0, 600, (500, 2)).tolist()]
+
+
+@pytest.mark.parametrize("shape", ["rising path", "shuffled path", "star of the largest", "random"])
+def test_components_in_logarithmic_steps(spark, shape):
+    pairs = [p for p in _links(shape) if p[0] != p[1]]
+    found, steps = components_and_steps(spark.createDataFrame([*pairs, *pairs[:5], (3, 3), (None, 4)], "a long, b long"))
+    assert {r.node: r.comp for r in found.collect()} == _union_find(pairs)
+    assert steps <= 2 * math.log2(1001), steps
+
+
 def test_mixing(docs):
     got = mix_sources(docs, {"src0": 5.0}, passes=3.0)
     assert got.count() > 0 and set(docs.columns) - {"copy"} <= set(got.columns)
