@@ -7,8 +7,8 @@ two steps before it); the smaller of such a pair becomes a root.  Pointers then
 jump until all stand on roots, and the links are rewritten to roots; links
 inside a root vanish.  Every root has taken in at least one other label, so a
 round at least halves the labels that have links, whatever the shape of the
-graph; a chain of n labels needs at most log3(n) jumps in a round and one that
-moves nothing, as each jump goes three times as far as the one before it.  Nothing is collected: all tables live in the shared
+graph; a chain of n labels needs at most log3(n) + 1 jumps in a round, as each
+jump goes three times as far as the one before it.  Nothing is collected: all tables live in the shared
 folder, and a table is removed once the next one stands in its place.
 """
 
@@ -23,13 +23,16 @@ from hourglass.llm.support import discard, materialize
 
 
 def _to_roots(hook: DataFrame) -> tuple[DataFrame, int]:
-    """``node, to`` with every ``to`` a root (one that points to itself), and the jumps made."""
+    """``node, to`` with every ``to`` a root (one that points to itself), and the jumps made.
+
+    A jump goes three pointers on; where the last of them stays, a root is reached.
+    """
     jumps = 0
     while True:
         first = hook.select(F.col("node").alias("to"), F.col("to").alias("_first"))
         second = hook.select(F.col("node").alias("_first"), F.col("to").alias("_second"))
         ahead = hook.select("node", "to").join(first, "to").join(second, "_first")
-        stepped = materialize(ahead.select("node", F.col("_second").alias("to"), (F.col("_second") != F.col("to")).alias("moved")), "jump")
+        stepped = materialize(ahead.select("node", F.col("_second").alias("to"), (F.col("_second") != F.col("_first")).alias("moved")), "jump")
         discard(hook)
         hook, jumps = stepped, jumps + 1
         if hook.filter("moved").isEmpty():
@@ -42,29 +45,26 @@ def components_and_steps(links: DataFrame) -> tuple[DataFrame, int]:
     label, steps = None, 0
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
-        least = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to")), "hook")
+        least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to"))
         # A pair that hook to each other: the smaller one is the root.
         back = least.select(F.col("node").alias("to"), F.col("to").alias("_back"))
         paired = (F.col("_back") == F.col("node")) & (F.col("node") < F.col("to"))
         hook = materialize(least.join(back, "to").select("node", F.when(paired, F.col("node")).otherwise(F.col("to")).alias("to")), "hook")
-        discard(least)
         hook, jumps = _to_roots(hook)
         steps += 1 + jumps
-        if label is None:
-            moved_label = materialize(hook.select("node", F.col("to").alias("comp")), "label")
-        else:
+        before, label = label, hook.select("node", F.col("to").alias("comp"))
+        if before is not None:
             step = hook.select(F.col("node").alias("comp"), "to")
-            moved_label = materialize(
-                label.join(step, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "label"
+            label = materialize(
+                before.join(step, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "label"
             )
-            discard(label)
-        label = moved_label
+            discard(before)
         ends = [hook.select(F.col("node").alias(c), F.col("to").alias(f"_{c}")) for c in ("a", "b")]
         moved = reduce(lambda e, end: e.join(end, end.columns[0]), ends, edges)
         left = materialize(
             moved.filter("_a <> _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "links"
         )
-        discard(edges, hook)
+        discard(edges, *([] if before is None else [hook]))
         edges = left
     if label is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")), steps
