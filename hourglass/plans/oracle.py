@@ -762,6 +762,34 @@ sql("table_fetch", ORACLE_SQL["fetch_range"])
 
 sql("load_table", ORACLE_SQL["hourly_demand_multi_month"])
 
+sql("scan_monthly", with_(ORDERS_MONTHLY) + """
+SELECT pickup_datetime, passenger_count, CAST(pickup_location_id AS INTEGER) AS pickup_location_id, file_month FROM otrips
+""")
+
+sql("snapshot_fetch", ORACLE_SQL["fetch_range"])
+
+# Days of whole months from the first order's to the last order's, for every nation with orders.
+sql("backtest_from_table", "WITH RECURSIVE " + ORDERS_MONTHLY.strip() + """,
+ncounts AS (
+    SELECT pickup_location_id AS unique_id, CAST(date_trunc('day', pickup_datetime) AS TIMESTAMP) AS ds, count(*) AS y
+    FROM otrips WHERE pickup_location_id IS NOT NULL GROUP BY ALL
+),
+nbounds AS (
+    SELECT CAST(date_trunc('month', min(ds)) AS TIMESTAMP) AS lo,
+           CAST(date_trunc('month', max(ds)) + INTERVAL 1 MONTH - INTERVAL 1 DAY AS TIMESTAMP) AS hi
+    FROM ncounts
+),
+ngrid AS (
+    SELECT s.unique_id, unnest(generate_series(b.lo, b.hi, INTERVAL 1 DAY)) AS ds
+    FROM (SELECT DISTINCT unique_id FROM ncounts) s CROSS JOIN nbounds b
+),
+daily AS (
+    SELECT g.unique_id, g.ds, CAST(coalesce(c.y, 0) AS BIGINT) AS y
+    FROM ngrid g LEFT JOIN ncounts c ON c.unique_id = g.unique_id AND c.ds = g.ds
+),""" + ROLLING.lstrip().removeprefix(",") + """
+SELECT fold_id, horizon, round(bias, 6) AS bias, round(mae, 6) AS mae, round(score, 6) AS score FROM ev
+""")
+
 sql("stream_then_close_month", ORACLE_SQL["hourly_demand"])
 
 sql("latest_rows", with_(hourly_cte("hd")) + """

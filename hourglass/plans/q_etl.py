@@ -188,6 +188,52 @@ def q_load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def _fresh(spark: SparkSession, name: str) -> str:
+    """A new folder for a table of a query, below ``spark.checkpoint.dir``."""
+    import uuid
+
+    from hourglass.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/hourglass-tables/{name}-{uuid.uuid4().hex}"
+
+
+@query("scan_monthly")
+def q_scan_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders are written as one raw file folder per month, then scanned
+    back month by month with a fixed schema and standardized."""
+    from pyspark.sql import types as T
+
+    from hourglass.sources.raw import scan_months
+
+    root = _fresh(spark, "raw")
+    name = F.concat(F.lit("yellow_tripdata_"), F.date_format("file_month", "yyyy-MM"), F.lit(".parquet"))
+    orders = orders_by_month(spark, sf_dir)
+    orders.select(*[c for c in orders.columns if c != "file_month"], name.alias("file")).repartition("file").write.partitionBy(
+        "file"
+    ).parquet(root)
+    wanted = T.StructType(
+        [
+            T.StructField("tpep_pickup_datetime", T.TimestampNTZType()),
+            T.StructField("passenger_count", T.DoubleType()),
+            T.StructField("PULocationID", T.LongType()),
+        ]
+    )
+    return standardize_raw_schema(scan_months(spark, root, wanted))
+
+
+@query("snapshot_fetch")
+def q_snapshot_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2-S4 + U2 on the snapshot table: the hourly demand of the events in two
+    commits that touch the same month, then a range read of the last snapshot."""
+    from hourglass.sources.snapshots import SnapshotTable
+
+    table = SnapshotTable(spark, _fresh(spark, "snapshots")).ensure()
+    batch = hourly_demand_df(spark, sf_dir)
+    table.upsert(batch)
+    table.upsert(batch)
+    return table.fetch("2024-01-10", "2024-01-20")
+
+
 @query("latest_rows")
 def q_latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O3: the ten newest rows of the hourly demand table (top-k report)."""

@@ -131,6 +131,24 @@ def q_backtest_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("backtest_from_table")
+def q_backtest_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From raw files to metrics: the monthly load of all orders into a snapshot
+    table, a fetch by time range and the list of all nations, daily sums per
+    nation, expanding folds, rolling origins, and the metrics per fold and horizon."""
+    from hourglass.operators.clean import load_monthly
+    from hourglass.operators.series import daily_sum
+    from hourglass.operators.spine import fill_series_gaps
+    from hourglass.plans.q_etl import _fresh, orders_by_month
+    from hourglass.sources.snapshots import SnapshotTable
+
+    table = SnapshotTable(spark, _fresh(spark, "backtest")).ensure()
+    load_monthly(orders_by_month(spark, sf_dir), table)
+    nations = [r[0] for r in I.table(spark, sf_dir, "nation").select("n_nationkey").collect()]
+    daily = fill_series_gaps(daily_sum(table.fetch("1990-01-01", "2010-01-01", nations)), freq="1d", span="global")
+    return rounded(BT.backtest(daily, I.TEST_FROM, I.FOLD_EVERY, I.HORIZON, I.LAGS, model="mean", grid=True))
+
+
 @query("predict_for_date")
 def q_predict_for_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read [ref - max_lag days, ref + 1 day) of the hourly table, sum to

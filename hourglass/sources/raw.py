@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourglass.functions.time import date_lit, month_start
+from hourglass.schema import enforce_schema
 
 # Monthly raw file name and the pattern that reads its month.
 RAW_FILE_PATTERN = "yellow_tripdata_{year}-{month:02d}.parquet"
@@ -84,6 +88,52 @@ def scan_monthly_files(
     return df.withColumn("file_month", file_month)
 
 
+class MissingColumns(ValueError):
+    """Monthly files lack columns that the scan needs."""
+
+
+def scan_months(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    glob: str = "*.parquet",
+    month_regex: str = RAW_FILE_MONTH_REGEX,
+) -> DataFrame:
+    """The monthly raw files under ``root`` with the columns of ``schema`` and ``file_month``.
+
+    There is one scan per month and layout, whatever the number of files, each
+    with its month as a literal, so that a filter on the month or on the time
+    reaches its scan.  Columns are cast to ``schema`` (types drift between
+    months); other columns of the files are not read.  Every file is checked
+    before anything is read: if columns are missing, :class:`MissingColumns`
+    names all files and columns at once instead of giving nulls.  Only footers
+    are read for that, several at a time.
+    """
+    files = list_monthly_files(spark, root, glob, month_regex)
+    if not files:
+        raise FileNotFoundError(f"no monthly files under {root!r} matching {glob!r}")
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        layouts = list(pool.map(lambda f: spark.read.parquet(f[0]).schema, files))
+    groups: dict[tuple[date, str], list[str]] = {}
+    found, lacking = {}, []
+    for (path, month), layout in zip(files, layouts, strict=True):
+        missing = [f.name for f in schema.fields if f.name not in layout.names]
+        if missing:
+            lacking.append(f"{path.rsplit('/', 1)[-1]}: {', '.join(missing)}")
+            continue
+        used = T.StructType([layout[f.name] for f in schema.fields])
+        key = (month, used.json())
+        found[key] = used
+        groups.setdefault(key, []).append(path)
+    if lacking:
+        raise MissingColumns("missing columns; " + "; ".join(lacking))
+    parts = [
+        enforce_schema(spark.read.schema(found[key]).parquet(*paths), schema).withColumn("file_month", date_lit(key[0]))
+        for key, paths in groups.items()
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def with_file_month(df: DataFrame, year: int, month: int) -> DataFrame:
     """Tag a frame read from one file with the month that file claims."""
     return df.withColumn("file_month", date_lit(date(year, month, 1)))
