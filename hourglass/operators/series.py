@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.carry import with_carry
-from hourglass.functions.grid import HALO_COL, bucket_window, with_halo, with_row_halo
+from hourglass.functions.grid import HALO_COL, bucket_window, step_index, with_halo, with_row_halo
 from hourglass.functions.time import parse_duration, trunc_day, trunc_hour
 
 
@@ -48,13 +48,25 @@ def with_history(
     By default the parts are ranges of the sort order, which hand their last
     rows on (any series, gaps allowed).  ``grid_freq`` (e.g. ``'1d'``) declares
     complete series on that grid: the parts are then time buckets, without a
-    sample.  ``by_position=True`` cuts them by exact row position.
+    sample.  A missing or repeated step in a part is an error: a lag would reach
+    the wrong row.  (A gap that covers a whole halo leaves lags null, as at the
+    start of a series.)  The check runs in the sort that the caller's windows
+    need anyway.  ``by_position=True`` cuts the parts by exact row position.
     """
     if grid_freq is not None:
-        return with_halo(df, ds, grid_freq, size)
+        return _complete(with_halo(df, ds, grid_freq, size), unique_id, ds, grid_freq)
     return with_row_halo(df, unique_id, ds, size) if by_position else with_carry(df, unique_id, ds, size)
 
 
+def _complete(h: DataFrame, unique_id: str, ds: str, freq: str) -> DataFrame:
+    """``h``, raising where two neighbouring rows of a part are not one step apart."""
+    step = step_index(ds, freq)
+    apart = (step - F.lag(step, 1).over(bucket_window(unique_id, ds))).alias("_apart")
+    where = F.concat_ws(" ", F.lit(f"series not complete on the {freq} grid before"), F.col(unique_id), F.col(ds))
+    checked = F.when(F.col("_apart") != 1, F.raise_error(where).cast("boolean")).otherwise(F.lit(True))
+    return h.select("*", apart).where(checked).drop("_apart")
+
+
 def time_lags(
     df: DataFrame,
     lags: Sequence[int],

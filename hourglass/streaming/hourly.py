@@ -26,9 +26,12 @@ from hourglass.session import ensure_checkpoint_dir
 from hourglass.sources.table import HourlyTable
 
 TS = "pickup_datetime"
+#: Files of a month can come in any order, so counts stay open for the longest
+#: month; the state is one row per hour and location of that time.
+WATERMARK = "31 days"
 
 
-def hourly_count_stream(clean: DataFrame, watermark: str = "1 hour") -> DataFrame:
+def hourly_count_stream(clean: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """Streaming (hour, location) counts of standardized trips.
 
     ``clean`` has ``pickup_datetime`` (``timestamp_ntz``) and
@@ -71,10 +74,11 @@ def start_hourly_stream(
     source: DataFrame,
     table: HourlyTable,
     checkpoint: str | None = None,
-    watermark: str = "1 hour",
+    watermark: str = WATERMARK,
 ) -> StreamingQuery:
     """Run the count stream into the table; ``availableNow`` processes what is
-    there and stops (a scheduled run), the checkpoint makes re-runs resume."""
+    there and stops (a scheduled run), the checkpoint makes re-runs resume.
+    What came later than the watermark is counted by :func:`late_groups`."""
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/hourglass-stream/{uuid.uuid4().hex}"
     counts = hourly_count_stream(source, watermark)
     return (
@@ -86,6 +90,13 @@ def start_hourly_stream(
     )
 
 
+def late_groups(query: StreamingQuery) -> int:
+    """(hour, location) groups of micro-batches that came behind the watermark
+    and are missing from the table, over the progress that the query keeps.
+    Above 0, the months concerned should be loaded again from their files."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
+
+
 def events_trip_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
     """The driver's ``events`` table read as a file stream, as clean trips."""
     schema = T.StructType(

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 
 from hourglass.functions import grid as G
 from hourglass.operators.forecast import LagModel, fit_lag_regression, forecast_series, lag_features, mean_lag_predict
@@ -136,3 +137,12 @@ def test_position_buckets_predict_features_acf(spark, small_buckets, monkeypatch
     assert pa_.keys() == wa.keys()
     for k in pa_:
         assert pa_[k] == pytest.approx(wa[k])
+
+
+@pytest.mark.parametrize("days", [[0, 1, 3, 4], [0, 1, 1, 2], [0, 1, 2, 5, 6]])
+def test_gaps_and_repeats_are_errors_on_a_grid(spark, days):
+    rows = [("a", datetime(2023, 1, 1) + timedelta(days=d), d) for d in days]
+    df = spark.createDataFrame(rows, "unique_id string, ds timestamp_ntz, y long")
+    with pytest.raises(PySparkException, match="not complete on the 1d grid before a 2023-01"):
+        time_lags(df, [1], drop_nulls=False, grid_freq="1d").collect()
+    assert time_lags(df, [1], drop_nulls=False).count() == len(days)  # the default takes any series

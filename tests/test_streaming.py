@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourglass.sources.table import HourlyTable
-from hourglass.streaming.hourly import start_hourly_stream
+from hourglass.streaming.hourly import late_groups, start_hourly_stream
 
 SCHEMA = T.StructType(
     [T.StructField("pickup_datetime", T.TimestampNTZType()), T.StructField("pickup_location_id", T.IntegerType())]
@@ -47,3 +47,22 @@ def test_stream_counts_with_late_data(spark, tmp_dir):
     keys = table.read().select("key").collect()
     assert len(keys) == len(set(keys))
     assert table.read().where(F.col("key") == "2024-01-01 10:00:00.000000-1").count() == 1
+
+
+def test_files_of_a_month_in_any_order(spark, tmp_dir):
+    """By default a file that starts a month earlier still counts; what is later still is reported."""
+    import os
+
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    days = [datetime(2024, 1, 31, 10), datetime(2024, 1, 2, 10), datetime(2024, 1, 15, 10), datetime(2023, 11, 1, 10)]
+    for k, day in enumerate(days):
+        _write(f"{src}/{k}.parquet", [(day, 1), (day, 1)])
+        os.utime(f"{src}/{k}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    table = HourlyTable(spark, f"{tmp_dir}/table")
+    q = start_hourly_stream(spark, stream, table, checkpoint=f"{tmp_dir}/ckpt")
+    q.awaitTermination()
+    got = {r.pickup_datetime_hour: r.num_pickup for r in table.read().collect()}
+    assert got == {d: 2 for d in days[:3]}
+    assert late_groups(q) == 1
