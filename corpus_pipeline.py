@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from hourglass.llm.exact_dedup import drop_copies
-from hourglass.llm.mixing import mix_sources
-from hourglass.llm.quality import assess
+from hourglass.llm.mixing import repeat_documents
+from hourglass.llm.quality import drop_rejected
 from hourglass.llm.queries import MIX_WEIGHTS
 from hourglass.llm.support import materialize, table
 
@@ -22,7 +22,7 @@ NEAR_PERCENT = 80
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base and the cascade."""
-    return assess(docs).filter("kept").select(*docs.columns)
+    return drop_rejected(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the target weights of their sources, shuffled."""
-    return mix_sources(docs, MIX_WEIGHTS).select(*docs.columns)
+    return repeat_documents(docs, MIX_WEIGHTS)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

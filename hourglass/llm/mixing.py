@@ -15,6 +15,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourglass.llm.support import own_names, work_names
+
 #: The most distinct sources whose rates are sent to every task; beyond it
 #: the rates meet the documents in a join spread by salts.
 BROADCAST_SOURCES = 10_000
@@ -79,24 +81,14 @@ def rates(
     return per.select("_source", F.coalesce(F.lit(float(passes)) * share, F.lit(0.0)).alias("rate"))
 
 
-def mix_sources(
-    docs: DataFrame,
-    weights: Mapping[str, float] | None = None,
-    passes: float = 1.0,
-    seed: int = 17,
-    id_col: str = "doc_id",
-    source_col: str = "source",
-) -> DataFrame:
-    """Every document repeated by its Poisson count, in a global shuffled order.
+#: Columns that :func:`mix_sources` adds.
+ADDED = ("copy", "rate", "shuffle_key")
 
-    Adds ``copy`` (1 .. count), ``rate`` and ``shuffle_key``, a uniform number
-    hashed from (seed, id, copy); partition i of n holds the keys from i/n to
-    (i + 1)/n, sorted, so one exchange shuffles globally without sampling.  A document may get no copy: that is the distribution.  Rows
-    that repeat an id get the same count each; null ids share one number.
-    Clashing columns of ``docs`` named ``copy``, ``rate`` or ``shuffle_key``
-    are replaced.  An empty table gives no rows.
-    """
-    docs = docs.drop("copy", "rate", "shuffle_key")
+
+def _mixed(
+    docs: DataFrame, weights: Mapping[str, float] | None, passes: float, seed: int, id_col: str, source_col: str
+) -> DataFrame:
+    """``docs``, whose names clash with none here, repeated and shuffled, plus the columns of ``ADDED``."""
     per = rates(docs, weights, passes, source_col)
     name = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
     rows = docs.withColumn("_source", name)
@@ -114,3 +106,39 @@ def mix_sources(
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     place = F.floor(F.col("shuffle_key") * F.lit(parts)).cast("int")
     return rows.repartitionById(parts, place).sortWithinPartitions("shuffle_key", id_col, "copy")
+
+
+def mix_sources(
+    docs: DataFrame,
+    weights: Mapping[str, float] | None = None,
+    passes: float = 1.0,
+    seed: int = 17,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+) -> DataFrame:
+    """Every document repeated by its Poisson count, in a global shuffled order.
+
+    Adds ``copy`` (1 .. count), ``rate`` and ``shuffle_key``, a uniform number
+    hashed from (seed, id, copy); partition i of n holds the keys from i/n to
+    (i + 1)/n, sorted, so one exchange shuffles globally without sampling.  A document may get no copy: that is the distribution.  Rows
+    that repeat an id get the same count each; null ids share one number.
+    Clashing columns of ``docs`` named ``copy``, ``rate`` or ``shuffle_key``
+    are replaced.  An empty table gives no rows.
+    """
+    work, names = work_names(docs)
+    mixed = _mixed(work, weights, passes, seed, names[id_col], names[source_col])
+    return mixed.select(*own_names(names, ADDED), *ADDED)
+
+
+def repeat_documents(
+    docs: DataFrame,
+    weights: Mapping[str, float] | None = None,
+    passes: float = 1.0,
+    seed: int = 17,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+) -> DataFrame:
+    """The same rows in the same order as :func:`mix_sources`, with the columns of
+    ``docs`` alone, unchanged (also one called ``copy`` or ``rate``)."""
+    work, names = work_names(docs)
+    return _mixed(work, weights, passes, seed, names[id_col], names[source_col]).select(*own_names(names))

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from hourglass.llm.components import components
 from hourglass.llm.spans import U64, mix, words_of
-from hourglass.llm.support import binary_values, chunks, materialize
+from hourglass.llm.support import binary_values, chunks, materialize, own_names, work_names
 
 SHINGLE = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -389,15 +389,16 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Where an id repeats with different texts, each of them is a document of its
     own: rows are told apart by id and text.  Rows with a null id are kept.
+    Other columns pass through, whatever their names.
     """
-    digest = F.md5(F.coalesce(F.col(text_col), F.lit("")))
-    per = docs.groupBy(id_col).agg(F.min(digest).alias("_lo"), F.max(digest).alias("_hi"))
-    if per.filter(F.col(id_col).isNotNull() & (F.col("_lo") != F.col("_hi"))).isEmpty():
-        gone = near_components(docs, id_col, text_col, percent).filter("not kept").select(F.col("doc_id").alias(id_col)).distinct()
-        return docs.join(gone, id_col, "left_anti").select(*docs.columns)
-    name = F.concat(F.col(id_col).cast("string"), F.lit("\0"))
-    if isinstance(docs.schema[id_col].dataType, T.IntegralType):  # sorts as the number does
-        name = F.lpad(F.hex(F.col(id_col).cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
-    rows = docs.withColumn("_row", F.concat(name, digest))
-    gone = near_components(rows, "_row", text_col, percent).filter("not kept").select(F.col("doc_id").alias("_row")).distinct()
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    work, names = work_names(docs)
+    ident, text = names[id_col], names[text_col]
+    digest = F.md5(F.coalesce(F.col(text), F.lit("")))
+    per = work.groupBy(ident).agg(F.min(digest).alias("_lo"), F.max(digest).alias("_hi"))
+    if not per.filter(F.col(ident).isNotNull() & (F.col("_lo") != F.col("_hi"))).isEmpty():
+        name = F.concat(F.col(ident).cast("string"), F.lit("\0"))
+        if isinstance(work.schema[ident].dataType, T.IntegralType):  # sorts as the number does
+            name = F.lpad(F.hex(F.col(ident).cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+        work, ident = work.withColumn("_row", F.concat(name, digest)), "_row"
+    gone = near_components(work, ident, text, percent).filter("not kept").select(F.col("doc_id").alias(ident)).distinct()
+    return work.join(gone, ident, "left_anti").select(*own_names(names))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.support import materialize, text_of
+from hourglass.llm.support import materialize, own_names, text_of, work_names
 
 #: Documents (about) on which rules are timed; only the order depends on it.
 SAMPLE_DOCS = 1000
@@ -127,6 +127,18 @@ def plan_cascade(
     return sorted(found, key=lambda x: (-x[2] / x[1], x[1], x[0].name))
 
 
+#: Columns that :func:`assess` adds.
+VERDICT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rejected_by", "kept")
+
+
+def _assessed(work: DataFrame, rules: Sequence[Rule], id_col: str, text_col: str) -> DataFrame:
+    """``work``, whose names clash with none here, plus the columns of ``VERDICT``."""
+    ordered = [r for r, _, _ in plan_cascade(work, rules, id_col, text_col)]
+    df = with_counts(work, text_col).withColumn("base_failed", base_failed())
+    df = df.withColumn("rejected_by", F.when(~F.col("base_failed"), cascade(ordered)))
+    return df.withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())
+
+
 def assess(
     docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -135,9 +147,17 @@ def assess(
 
     A null or empty text has no words, fails the base and is not kept.  Every
     row is assessed on its own: repeated rows, null ids and other columns pass
-    through; an empty table gives no rows.
+    through, whatever their names; those called like a column of the verdict
+    are replaced by it.  An empty table gives no rows.
     """
-    ordered = [r for r, _, _ in plan_cascade(docs, rules, id_col, text_col)]
-    df = with_counts(docs, text_col).withColumn("base_failed", base_failed())
-    df = df.withColumn("rejected_by", F.when(~F.col("base_failed"), cascade(ordered)))
-    return df.withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull()).drop("_text", "_words", "_lines")
+    work, names = work_names(docs)
+    return _assessed(work, rules, names[id_col], names[text_col]).select(*own_names(names, VERDICT), *VERDICT)
+
+
+def drop_rejected(
+    docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their own columns unchanged
+    (also one called ``kept`` or ``n_words``)."""
+    work, names = work_names(docs)
+    return _assessed(work, rules, names[id_col], names[text_col]).filter("kept").select(*own_names(names))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +43,19 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def work_names(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns called ``in0, in1, ...`` by position, and the new
+    name of each: no column of a caller, whatever its name, meets a work column."""
+    names = [f"in{k}" for k in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names, strict=True))
+
+
+def own_names(names: dict[str, str], without: Iterable[str] = ()) -> list[Column]:
+    """The caller's columns under their own names, but for those named in ``without`` (in any case)."""
+    left_out = {c.lower() for c in without}
+    return [F.col(new).alias(old) for old, new in names.items() if old.lower() not in left_out]
+
+
 def text_of(text: "str | Column" = "text") -> Column:
     """The text, null counting as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

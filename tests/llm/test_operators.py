@@ -324,3 +324,29 @@ def test_empty(docs, fn):
 def test_pipeline(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert got.count() > 0 and got.filter("not round_trip").count() == 0
+
+
+CLASHING = (
+    "kept", "n_words", "copy", "rate", "shuffle_key", "_text", "_words", "_source", "_row", "_count", "_lo", "in0",
+    "a.b", "rep", "comp", "Kept_", "text_sha256",
+)
+
+
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES[:4]], ids=lambda s: s.__name__)
+def test_stage_keeps_clashing_columns(spark, stage):
+    """Columns called like work columns leave every stage with their own values, beside the documents' own."""
+    texts = [LETTERS, LETTERS.replace("woaa", "other"), LETTERS + " more", None, "", "short"]
+    rows = [(i, t, None, None, 1, *[f"{c} {i}" for c in CLASHING]) for i, t in enumerate(texts)]
+    extra = ", ".join(f"`{c}` string" for c in CLASHING)
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {extra}")
+    got = stage(spark, docs, SF)
+    assert got.columns == docs.columns and [f.dataType for f in got.schema] == [f.dataType for f in docs.schema]
+    found = [tuple(r) for r in got.collect()]
+    assert found and set(found) <= set(rows)
+    assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_verdict_replaces_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, LETTERS, "mine", 7, "dot")], "doc_id long, text string, Kept string, n_words int, `a.b` string")
+    row = assess(docs).collect()
+    assert [(r.kept, r.n_words, r["a.b"]) for r in row] == [(True, 100, "dot")]
