@@ -21,6 +21,7 @@ from hourglass.llm.mixing import mix_sources, poisson_count
 from hourglass.llm.near_dedup import near_components
 from hourglass.llm.pieces import double_array, encode_documents, load_vocabulary, default_model
 from hourglass.llm.quality import assess
+from hourglass.llm.queries import op8_secret_scan
 from hourglass.llm.secrets import scan_secrets
 from hourglass.llm.warc import archive_pages
 
@@ -222,6 +223,51 @@ def test_secrets(docs, spark):
     assert a.accepts(hashlib.sha1(b"new").hexdigest()) and not a.accepts("hello/world.example")
 
 
+def test_format_keeps_prefix_and_length():
+    """A value of the right alphabet but of another length, or without the prefix, is rejected."""
+    rng = np.random.default_rng(5)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    key = lambda n: "".join(rng.choice(list(upper), n))
+    keys = learn(["AKIA" + key(16) for _ in range(400)])
+    assert sum(keys.accepts("AKIA" + key(16)) for _ in range(50)) >= 45
+    assert not any(keys.accepts(v) for _ in range(50) for v in (key(20), "AKIA" + key(12), "AKIA" + key(24), key(4) + "AKIA" + key(12)))
+    digests = learn([hashlib.sha1(b"%d" % i).hexdigest() for i in range(400)])
+    assert not any(digests.accepts(hashlib.sha1(b"x%d" % i).hexdigest()[:n]) for i in range(20) for n in (24, 32, 39))
+
+
+def test_secrets_of_learned_format(spark):
+    """Values of a labelled format are found without their label, at the end of a sentence or
+    behind ``=`` too; ordinary words, paths and numbers are not."""
+    rng = np.random.default_rng(6)
+    key = lambda: "".join(rng.choice(list("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz0123456789"), 18))
+    rows = [(i, f"{PROSE if i % 2 else LETTERS} token = {key()} and more") for i in range(200)]
+    plain = "the documentation of /usr/share/information-2024/readme.html says 1234567 international organisations considered it."
+    hidden = [key() for _ in range(20)]
+    rows += [(1000 + i, f"look: {v}. Then KEY={v} and {plain}") for i, v in enumerate(hidden)] + [(2000, plain), (2001, None), (2002, "")]
+    got = {r.doc_id: r for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {1000 + i: f"format:6:24,format:{6 + 18 + 11}:{6 + 18 + 11 + 18}" for i in range(20)}
+    assert sum(got[i].spans == s for i, s in want.items()) >= 18, {got[i].spans for i in want}
+    assert all(got[i].spans == "" for i in (2000, 2001, 2002)) and all("format" not in got[i].spans for i in range(200))
+    assert all(len(r.scores) == (r.spans.count(",") + 1 if r.spans else 0) for r in got.values())
+
+
+def test_secrets_against_plain_python(spark):
+    """Base columns of the registered query over the whole small table, and no ordinary text marked."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    assign = re.compile("(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
+    got = {r.doc_id: r for r in op8_secret_scan(spark, SF).collect()}
+    for d in docs.collect():
+        text = d.text or ""
+        found = [(m.start(), 0, f"assign:{m.start()}:{m.end()}") for m in assign.finditer(text) if len(m[2]) >= 6]
+        found += [(m.start(), 1, f"access:{m.start()}:{m.end()}") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        found += [(m.start(), 2, f"hex:{m.start()}:{m.end()}") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        r = got[d.doc_id]
+        counts = [sum(x[1] == k for x in found) for k in range(3)]
+        assert [r.n_assign, r.n_access, r.n_hex] == counts
+        assert r.base_sha256 == hashlib.sha256(",".join(x[2] for x in sorted(found)).encode()).hexdigest()
+    assert len(got) == docs.count()
+
+
 def test_lm(docs):
     rows = score_documents(docs).collect()
     assert len(rows) == 12 and all(r.score <= 0 and r.n_tokens >= 1 for r in rows)
