@@ -14,12 +14,14 @@ from hourglass.functions.grid import step_index
 from hourglass.functions.time import Duration, add_duration, interval_expr, ntz_lit, parse_duration, to_datetime
 from hourglass.operators.forecast import (
     LagModel,
+    direct_forecast,
+    forecasts,
     lag_features,
     linear_step,
-    mean_step,
     normal_equation_sums,
     recursive_forecast,
     solve_normal_equations,
+    weight_rows,
 )
 from hourglass.operators.series import history_arrays
 
@@ -159,6 +161,7 @@ def rolling_origin_forecast(
     ds: str = "ds",
     target: str = "y",
     grid: bool = False,
+    strategy: str = "recursive",
 ) -> DataFrame:
     """h-step forecasts from every origin of every fold, joined to actuals.
 
@@ -173,7 +176,8 @@ def rolling_origin_forecast(
     found by :func:`hourglass.functions.carry.asof_join`: a sorted union in
     ranges, nothing broadcast.  The recursion runs in ``F.aggregate``.  ``params`` (fold_id, intercept,
     coef_lag_<l>...) gives a linear model per fold; without it the step is the
-    mean of the lags.
+    mean of the lags.  ``strategy='direct'``: each forecast is one dot product
+    over the history, equal to the recursion (``forecast.direct_weights``).
     """
     L = max(lags)
     part = ["fold_id", unique_id]
@@ -193,15 +197,20 @@ def rolling_origin_forecast(
         hist = history_arrays(rows, L, target, ds, part)
         origin = hist.join(last, [*part, ds], "inner").where(F.size("_hist") >= L)
     if params is None:
-        step = mean_step(lags)
+        steps = forecasts(F.col("_hist"), LagModel(tuple(lags), freq), h, strategy)
+    elif strategy == "direct":
+        origin = origin.join(F.broadcast(weight_rows(params, lags, h)), "fold_id", "inner")
+        steps = direct_forecast(F.col("_hist"), F.col("_weights"), L)
     else:
         origin = origin.join(F.broadcast(params), "fold_id", "inner")
-        step = linear_step(lags, F.col("intercept"), [F.col(f"coef_lag_{lag}") for lag in lags])
+        steps = recursive_forecast(
+            F.col("_hist"), h, linear_step(lags, F.col("intercept"), [F.col(f"coef_lag_{lag}") for lag in lags])
+        )
     fc = origin.select(
         *part,
         "cutoff",
         F.col(ds).alias("_last"),
-        F.posexplode(recursive_forecast(F.col("_hist"), h, step)).alias("_k", "y_pred"),
+        F.posexplode(steps).alias("_k", "y_pred"),
     ).select(*part, "cutoff", add_duration(F.col("_last"), freq, F.col("_k") + 1).alias(ds), "y_pred")
     return fc.join(rows, [*part, ds], "inner").select(
         "fold_id", unique_id, ds, "cutoff", target, "y_pred"
@@ -311,6 +320,7 @@ def backtest(
     ds: str = "ds",
     target: str = "y",
     grid: bool = False,
+    strategy: str = "recursive",
 ) -> DataFrame:
     """The whole backtest (T13): folds -> per-fold model -> rolling-origin
     forecasts on each fold's test part -> metrics per (fold, horizon).
@@ -326,7 +336,7 @@ def backtest(
         params = fit_per_fold(series, folds, lags, unique_id, ds, target, grid_freq=freq if grid else None)
     elif model != "mean":
         raise ValueError("model must be 'mean' or 'linear'")
-    fc = rolling_origin_forecast(tagged, cutoffs, h, lags, params, freq, unique_id, ds, target, grid=grid)
+    fc = rolling_origin_forecast(tagged, cutoffs, h, lags, params, freq, unique_id, ds, target, grid=grid, strategy=strategy)
     return evaluate_forecast(fc, unique_id, ds, target, freq=freq)
 
 

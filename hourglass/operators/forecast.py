@@ -60,6 +60,65 @@ def recursive_forecast(hist: Column, h: int, step: Step) -> Column:
     return F.slice(full, -h, h)
 
 
+def direct_weights(lags: Sequence[int], h: int, intercept: float, coefs: Sequence[float]) -> list[list[float]]:
+    """Per horizon, the weights on the last ``max(lags)`` values (oldest first) and a constant.
+
+    With the state (last values, 1), one step of the recursion is a product with
+    the companion matrix; the forecast of step k is the newest entry of its k-th
+    power, so it is one dot product over the history.
+    """
+    L = max(lags)
+    companion = np.zeros((L + 1, L + 1))
+    companion[np.arange(L - 1), np.arange(1, L)] = 1.0
+    for lag, c in zip(lags, coefs, strict=True):
+        companion[L - 1, L - lag] += c
+    companion[L - 1, L] = intercept
+    companion[L, L] = 1.0
+    row = np.eye(L + 1)[L - 1]
+    out = []
+    for _ in range(h):
+        row = row @ companion
+        out.append(row.tolist())
+    return out
+
+
+def direct_forecast(hist: Column, weights: Column, size: int) -> Column:
+    """Array of forecasts, one per row of ``weights`` (see :func:`direct_weights`),
+    from the last ``size`` values of ``hist``.
+
+    A missing value with a weight makes a forecast null; without one it does not count.
+    """
+    last = F.concat(F.slice(hist.cast(T.ArrayType(T.DoubleType())), -size, size), F.array(F.lit(1.0)))
+    terms = lambda w: F.zip_with(last, w, lambda x, c: F.when(c == 0, F.lit(0.0)).otherwise(x * c))
+    return F.transform(weights, lambda w: F.aggregate(terms(w), F.lit(0.0), lambda a, x: a + x))
+
+
+def weight_rows(params: DataFrame, lags: Sequence[int], h: int) -> DataFrame:
+    """(fold_id, ``_weights``) of per-fold parameters: one small row per fold."""
+    rows = [
+        (r["fold_id"], direct_weights(lags, h, r["intercept"], [r[f"coef_lag_{lag}"] for lag in lags])) for r in params.collect()
+    ]
+    return params.sparkSession.createDataFrame(rows, "fold_id int, _weights array<array<double>>")
+
+
+def forecasts(hist: Column, model: "LagModel", h: int, strategy: str) -> Column:
+    """Array of ``h`` forecasts by ``strategy``: ``recursive`` or ``direct``, which are equal.
+
+    The mean of lags skips missing values, so it is linear in complete histories
+    alone: others go through the recursion in either strategy.
+    """
+    recursive = recursive_forecast(hist, h, model.step())
+    if strategy == "recursive":
+        return recursive
+    if strategy != "direct":
+        raise ValueError("strategy must be 'recursive' or 'direct'")
+    coefs = model.coefs or [1.0 / len(model.lags)] * len(model.lags)
+    direct = direct_forecast(hist, F.lit(direct_weights(model.lags, h, model.intercept, coefs)), model.max_lag)
+    if model.coefs is not None:
+        return direct
+    return F.when(F.exists(F.slice(hist, -model.max_lag, model.max_lag), F.isnull), recursive).otherwise(direct)
+
+
 # ------------------------------------------------------------------ model rows
 
 
@@ -176,8 +235,9 @@ def forecast_series(
     target: str = "y",
     min_history: int | None = None,
     grid: bool = False,
+    strategy: str = "recursive",
 ) -> DataFrame:
-    """``h`` recursive forecasts after each series' last row (T6 / T8 core).
+    """``h`` forecasts after each series' last row (T6 / T8 core); see :func:`forecasts` for ``strategy``.
 
     Output (unique_id, ds, y_pred, step).  Series with fewer than
     ``min_history`` rows (default ``max_lag + 1``: the first row with every
@@ -190,7 +250,7 @@ def forecast_series(
     fc = tails.select(
         unique_id,
         "_last",
-        F.posexplode(recursive_forecast(F.col("_hist"), h, model.step())).alias("_k", "y_pred"),
+        F.posexplode(forecasts(F.col("_hist"), model, h, strategy)).alias("_k", "y_pred"),
     )
     return fc.select(
         unique_id,

@@ -516,6 +516,10 @@ sums AS (SELECT folds.fold_id, {_RAW_SUMS} FROM folds JOIN feats ON feats.ds < f
 SELECT fold_id, horizon, round(bias, 6) AS bias, round(mae, 6) AS mae, round(score, 6) AS score FROM ev
 """)
 
+# The direct strategy gives the forecasts of the recursion.
+ORACLE_SQL["lag_regression_direct"] = ORACLE_SQL["lag_regression_forecast"]
+ORACLE_SQL["backtest_direct"] = ORACLE_SQL["backtest_linear"]
+
 sql("time_folds", with_(DAILY, folds_cte()) +" SELECT fold_id, train_from, test_from, test_to FROM folds")
 
 sql("fold_sizes", with_(DAILY, folds_cte()) + """,

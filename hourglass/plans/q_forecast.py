@@ -58,6 +58,14 @@ def q_lag_regression_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(forecast_series(daily, model, I.HORIZON, grid=True))
 
 
+@query("lag_regression_direct")
+def q_lag_regression_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forecasts of ``lag_regression_forecast`` as dot products over the history."""
+    daily = _daily(spark, sf_dir)
+    model = fit_lag_regression(daily, I.LAGS, grid=True)
+    return rounded(forecast_series(daily, model, I.HORIZON, grid=True, strategy="direct"))
+
+
 def _folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return BT.time_folds(_daily(spark, sf_dir), I.TEST_FROM, I.FOLD_EVERY)
 
@@ -131,6 +139,16 @@ def q_backtest_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("backtest_direct")
+def q_backtest_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``backtest_linear`` with direct weights per fold and horizon."""
+    daily = _daily(spark, sf_dir)
+    metrics = BT.backtest(
+        daily, I.TEST_FROM, I.FOLD_EVERY, I.HORIZON, I.LAGS, model="linear", grid=True, strategy="direct"
+    )
+    return rounded(metrics)
+
+
 @query("backtest_from_table")
 def q_backtest_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From raw files to metrics: the monthly load of all orders into a snapshot

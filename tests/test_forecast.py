@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hourglass.operators import backtest as BT
 from hourglass.operators.forecast import (
     LagModel,
+    direct_weights,
     fit_lag_regression,
     forecast_series,
     lag_features,
@@ -242,3 +243,47 @@ def test_hourly_backtest_horizons_in_steps(spark):
         rows = m.collect()
         assert {r.horizon for r in rows} == set(range(1, 25))
         assert {r.fold_id for r in rows} == {0, 1, 2}
+
+
+def test_direct_weights_against_recursion():
+    """Every horizon's dot product equals the recursion, also where a lag repeats."""
+    rng = np.random.default_rng(3)
+    for lags in ([1], [3], [1, 2], [1, 7, 14, 28], [2, 2, 5]):
+        coefs, intercept, hist = rng.normal(size=len(lags)) / len(lags), rng.normal(), rng.normal(size=max(lags)).tolist()
+        want = _recursive_python(hist, 12, lambda a: intercept + sum(c * a[-lag] for lag, c in zip(lags, coefs)))
+        got = [float(np.dot(w, [*hist, 1.0])) for w in direct_weights(lags, 12, intercept, coefs)]
+        assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("coefs", [None, (0.5, 0.25, -0.125)])
+def test_direct_forecast_equals_recursive(spark, coefs):
+    """Per series, with gaps and missing values: equal numbers and equal nulls."""
+    df, _ = _series(spark, 45, ids=("A", "B", "C"))
+    holes = F.when((F.col("unique_id") == "B") & (F.dayofmonth("ds") % 9 == 4), F.lit(None)).otherwise(F.col("y"))
+    df = df.withColumn("y", holes)
+    model = LagModel((1, 3, 7), intercept=2.0 if coefs else 0.0, coefs=coefs)
+    for grid in (False, True):
+        rows = [
+            {(r.unique_id, r.ds): r.y_pred for r in forecast_series(df, model, 10, grid=grid, strategy=s).collect()}
+            for s in ("recursive", "direct")
+        ]
+        assert rows[0].keys() == rows[1].keys() and len(rows[0]) == 30
+        assert all(rows[1][k] is None if v is None else rows[1][k] == pytest.approx(v) for k, v in rows[0].items())
+    with pytest.raises(ValueError):
+        forecast_series(df, model, 3, strategy="other")
+
+
+def test_direct_rolling_origins_equal_recursion(spark):
+    df, _ = _series(spark, 150, ids=("A", "B"))
+    folds = BT.time_folds(df, "2023-03-01", "1mo")
+    tagged = BT.assign_test_fold(df, folds)
+    cutoffs = BT.rolling_cutoffs(tagged, 7, 3)
+    for params in (None, BT.fit_per_fold(df, folds, [1, 7])):
+        for grid in (False, True):
+            rows = [
+                {(r.fold_id, r.unique_id, r.cutoff, r.ds): r.y_pred for r in
+                 BT.rolling_origin_forecast(tagged, cutoffs, 3, [1, 7], params, grid=grid, strategy=s).collect()}
+                for s in ("recursive", "direct")
+            ]
+            assert rows[0] and rows[0].keys() == rows[1].keys()
+            assert all(rows[1][k] == pytest.approx(v) for k, v in rows[0].items())
