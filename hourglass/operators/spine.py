@@ -88,11 +88,10 @@ def surrogate_key(hour: "str | Column" = HOUR, loc: "str | Column" = LOC) -> Col
     # Built from the wall-clock fields of the timestamp_ntz value, so the text
     # never passes through a zoned timestamp (no session time-zone effect).
     # ``cast(ntz as string)`` is zone-free; its first 19 characters are
-    # 'YYYY-MM-DD HH:MM:SS', the fraction is added as exactly six digits.
-    micros = (F.extract(F.lit("SECOND"), h) * F.lit(1_000_000)).cast("long") % F.lit(1_000_000)
-    text = F.concat(
-        F.substring(h.cast("string"), 1, 19), F.lit("."), F.lpad(micros.cast("string"), 6, "0")
-    )
+    # 'YYYY-MM-DD HH:MM:SS', a fraction follows a point, without trailing zeros.
+    text = h.cast("string")
+    fraction = F.rpad(F.split_part(text, F.lit("."), F.lit(2)), 6, "0")
+    text = F.concat(F.substring(text, 1, 19), F.lit("."), fraction)
     return F.concat(text, F.lit("-"), lc.cast("string"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANK = "_rank"
+RANK, NEW, HAS_NEW = "_rank", "_new", "_has_new"
 
 
 def _guard_keys(df: DataFrame, key: str, null_keys: str) -> DataFrame:
@@ -51,6 +51,7 @@ def upsert_by_key(
     order_cols: Sequence[str] | None = None,
     update_cols: Sequence[str] | None = None,
     null_keys: str = "error",
+    by_range: bool = False,
 ) -> DataFrame:
     """Merge ``new`` into ``current`` by ``key``.
 
@@ -64,29 +65,33 @@ def upsert_by_key(
       or ``'keep_one'``.
 
     The keys of ``current`` are unique (it is a table kept by this merge).
-    The batch is reduced to one row per key; the current rows without a new
-    one (an anti join by key) and the batch make the result.
+    Both inputs go through one shuffle and one sort, the new rows of a key
+    before its current one, and each input is evaluated once.  Rows are dealt
+    and sorted by a hash of the key first: keys of one month share a long
+    prefix, which makes them slow to compare.  With ``by_range`` they are dealt
+    into sorted ranges of keys instead (for a writer that wants keys clustered;
+    the inputs are then read a second time for the sample of keys).
     """
     cols = current.columns
-    new_one = dedupe_by_key(_guard_keys(new.select(cols), key, null_keys), key, order_cols)
-    current = current.select(cols)
+    fresh = _guard_keys(new.select(cols), key, null_keys).withColumn(NEW, F.lit(True))
+    both = current.select(cols).withColumn(NEW, F.lit(False)).unionByName(fresh)
+    if by_range:
+        both = both.repartitionByRange(key)
+    groups = [key] if by_range else [F.xxhash64(key), key]
+    w = Window.partitionBy(*groups).orderBy(F.col(NEW).desc(), *_order(cols, order_cols, key))
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chosen = F.col(NEW) & (F.row_number().over(w) == 1)
+    replaced = F.first(NEW).over(so_far)
     if not update_cols:
-        # The keys alone decide which current rows stay; null keys raise in one place, the batch itself.
-        keys = new.select(F.col(key).alias("_key")).distinct()
-        if null_keys != "keep_one":
-            keys = keys.where(F.col("_key").isNotNull())
-        return current.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(new_one)
-
-    # Partial update: the update columns come from the new row where there is
-    # one, the others from the current row.
-    old = current.withColumn("_old", F.lit(True))
-    fresh = new_one.select(*[F.col(c).alias(f"_new_{c}") for c in cols], F.lit(True).alias("_new"))
-    both = old.join(fresh, F.col(key).eqNullSafe(F.col(f"_new_{key}")), "full")
-
-    def pick(c: str) -> Column:
-        new_col = F.col(f"_new_{c}")
-        if c in update_cols:
-            return F.when(F.col("_new"), new_col).otherwise(F.col(c)).alias(c)
-        return F.when(F.col("_old"), F.col(c)).otherwise(new_col).alias(c)
-
-    return both.select([pick(c) for c in cols])
+        ranked = both.select("*", chosen.alias(RANK), replaced.alias(HAS_NEW))
+        return ranked.where(F.col(RANK) | ~F.col(HAS_NEW)).select(cols)
+
+    # Partial update: a current row takes the update columns of its key's new
+    # row; a new row is inserted only where there is no current one.
+    alone = F.last(NEW).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    values = [
+        F.when(replaced, F.first(c).over(so_far)).otherwise(F.col(c)).alias(c) if c in update_cols else F.col(c)
+        for c in cols
+    ]
+    ranked = both.select(*values, NEW, (chosen & alone).alias(RANK))
+    return ranked.where(F.col(RANK) | ~F.col(NEW)).select(cols)

@@ -55,6 +55,34 @@ def test_duplicate_keys_in_batch_are_deterministic(spark):
     assert a == b
 
 
+def test_repeated_current_keys_and_nulls_stay_unless_replaced(spark):
+    old = [("A", H, 1, 1), ("A", H, 2, 1), ("B", H, 3, 2), ("B", H, 4, 2), (None, H, 5, 3), (None, H, 6, 3)]
+    new = [("B", H, 9, 2), ("B", H, 8, 2), ("C", H, 7, 4)]
+    for by_range in (False, True):
+        out = upsert_by_key(frame(spark, old), frame(spark, new), by_range=by_range)
+        assert sorted(r.num_pickup for r in out.collect()) == [1, 2, 5, 6, 7, 8]
+        out = upsert_by_key(frame(spark, old), frame(spark, new), update_cols=["num_pickup"], by_range=by_range)
+        assert sorted(r.num_pickup for r in out.collect()) == [1, 2, 5, 6, 7, 8, 8]
+        none = upsert_by_key(frame(spark, old), frame(spark, [(None, H, 9, 9)]), null_keys="keep_one", by_range=by_range)
+        assert sorted(r.num_pickup for r in none.collect()) == [1, 2, 3, 4, 9]
+
+
+@pytest.mark.parametrize("update_cols", [None, ["num_pickup"]])
+def test_merge_takes_one_shuffle_and_no_join(spark, update_cols):
+    out = upsert_by_key(frame(spark, CURRENT), frame(spark, NEW), update_cols=update_cols)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_table_and_snapshots_merge_in_one_shuffle(spark, tmp_dir):
+    """The range shuffle of the layout is the shuffle of the merge: the written
+    keys are sorted ranges, and no other exchange is in the merged plan."""
+    out = upsert_by_key(frame(spark, CURRENT), frame(spark, NEW), by_range=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    assert as_dict(out) == EXPECTED
+
+
 def test_null_key_rejected(spark):
     new = [(None, H, 1, 1)]
     with pytest.raises(PySparkException):
