@@ -125,7 +125,9 @@ class HourlyTable:
         The batch is first written to a staging folder under the session's
         ``spark.checkpoint.dir`` (shared storage: survives executor loss and
         cuts the lineage), then merged with the current rows of the touched
-        months and written back with dynamic partition overwrite.
+        months and written back with dynamic partition overwrite.  With keys
+        that fix the month the merge deals rows into sorted ranges of keys, so
+        one shuffle and one sort serve the merge and the layout of the files.
         """
         self.ensure()
         batch = enforce_schema(new, self.schema).withColumn(MONTH_PARTITION, month_start(HOUR))
@@ -140,7 +142,8 @@ class HourlyTable:
                 return
             current = current.where(F.col(MONTH_PARTITION).isin(touched))
         merged = upsert_by_key(
-            current, staged, key=key, order_cols=order_cols, update_cols=update_cols, null_keys=null_keys
+            current, staged, key=key, order_cols=order_cols, update_cols=update_cols, null_keys=null_keys,
+            by_range=key_fixes_month,
         )
         prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         merged_stage = None
@@ -151,6 +154,7 @@ class HourlyTable:
                 # replaced at job commit, so a failed or retried job leaves the
                 # table as it was.
                 self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+                # The merge leaves them in ranges of keys already.
                 out = merged
             else:
                 # Keys may move between months, so every month is rewritten and
@@ -158,14 +162,9 @@ class HourlyTable:
                 # cannot read its own target, so the merge is staged first.
                 merged_stage = f"{stage}-merged"
                 merged.write.mode("overwrite").partitionBy(MONTH_PARTITION).parquet(merged_stage)
-                out = self.spark.read.schema(self.disk_schema).parquet(merged_stage)
+                out = self.spark.read.schema(self.disk_schema).parquet(merged_stage).repartitionByRange(MONTH_PARTITION, key)
                 self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
-            (
-                out.repartitionByRange(MONTH_PARTITION, key)
-                .write.mode("overwrite")
-                .partitionBy(MONTH_PARTITION)
-                .parquet(self.path)
-            )
+            out.write.mode("overwrite").partitionBy(MONTH_PARTITION).parquet(self.path)
         finally:
             self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
         _fs_delete(self.spark, stage)
