@@ -127,13 +127,14 @@ class SnapshotTable(HourlyTable):
         return self.spark.read.schema(disk).option("basePath", f"{self.path}/data").parquet(*folders).drop(BATCH)
 
     # ---------------------------------------------------------------- S4
-    def _write_batch(self, rows: DataFrame, key: str) -> tuple[str, list[str]]:
+    def _write_batch(self, rows: DataFrame, key: str, clustered: bool = False) -> tuple[str, list[str]]:
         """Rows (with their month) in a new batch folder, clustered by month and
-        key and sorted by key inside a file; its id and the months it holds."""
+        key (``clustered``: they lie in ranges of keys already) and sorted by key
+        inside a file; its id and the months it holds."""
         batch = uuid.uuid4().hex
         folder = f"{self.path}/data/{BATCH}={batch}"
         (
-            rows.repartitionByRange(MONTH_PARTITION, key)
+            (rows if clustered else rows.repartitionByRange(MONTH_PARTITION, key))
             .sortWithinPartitions(MONTH_PARTITION, key)
             .write.partitionBy(MONTH_PARTITION)
             .parquet(folder)
@@ -175,9 +176,10 @@ class SnapshotTable(HourlyTable):
                 return
             read = {m: b for m, b in months.items() if m in touched or not key_fixes_month}
             merged = upsert_by_key(
-                self._scan_of(read), staged, key=key, order_cols=order_cols, update_cols=update_cols, null_keys=null_keys
+                self._scan_of(read), staged, key=key, order_cols=order_cols, update_cols=update_cols, null_keys=null_keys,
+                by_range=key_fixes_month,
             )
-            batch, written = self._write_batch(merged, key)
+            batch, written = self._write_batch(merged, key, clustered=key_fixes_month)
         finally:
             _fs_delete(self.spark, stage)
         kept = {m: b for m, b in months.items() if m not in read}
