@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hourglass.functions.draws import combine_keys, draw_index, nearest_rank, text_key
 from hourglass.functions.ranks import POS, sorted_positions
+from hourglass.operators.extremes import draw_bounds
 
 # Interval ends of the original analysis.
 LOWER_Q = 0.025
@@ -137,22 +138,19 @@ def bootstrap_interval(
     (all series): draw b of a row takes pool position
     ``draw_index(row_key, b, n, seed)``.
 
-    Plan: the draws of the distinct (series, timestamp) keys are gathered in
-    arrays (:func:`gather_draws`), each key's array is sorted and gives its two
-    bounds, and only these are joined back by the true key.  The prediction is
-    the same for all draws of a row, so the quantiles of the residuals plus the
-    prediction are the quantiles of the sums.
+    Plan: the draws of a row depend on its key alone, and only two of them, by
+    rank, are needed; :func:`hourglass.operators.extremes.draw_bounds` finds these
+    without moving a value per draw, and keeps the rows packed meanwhile (no join
+    by key).  The prediction is the same for all draws of a row, so the quantiles
+    of the residuals plus the prediction are the quantiles of the sums.
 
     Rows that repeat a key share its draws; rows with a null key, and all rows
     if the pool is empty, get null bounds.
     """
     key = [unique_id, ds]
     lo_i, hi_i = nearest_rank(B, lower_q), nearest_rank(B, upper_q)
-    keys = preds.select(*key).dropna().dropDuplicates(key).withColumn("_key", row_key(unique_id, ds))
-    drawn = gather_draws(keys, index_pool(residuals, unique_id, ds), B, seed).select(*key, F.sort_array("_draws").alias("_d"))
-    at = lambda i: F.try_element_at("_d", F.lit(i + 1))
-    bounds = drawn.select(*key, at(lo_i).alias("_lo"), at(hi_i).alias("_hi"))
-    out = preds.join(bounds, key, "left")
+    row = F.when(F.col(unique_id).isNotNull() & F.col(ds).isNotNull(), row_key(unique_id, ds))
+    out = draw_bounds(preds.withColumn("_key", row), "_key", residuals, key, B, seed, lo_i, hi_i)
     lower, upper = F.col(pred_col) + F.col("_lo"), F.col(pred_col) + F.col("_hi")
     return out.select(
         *preds.columns, lower.alias("lower_bound"), upper.alias("upper_bound"), (upper - lower).alias("width")

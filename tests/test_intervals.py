@@ -98,6 +98,44 @@ def test_gather_with_an_empty_pool_and_no_keys(spark):
     assert IV.bootstrap_interval(preds.limit(0), res, B=5).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["few values", "all distinct", "mostly zero"])
+def test_bounds_from_codes_equal_brute_force(spark, monkeypatch, kind):
+    """Pieces, slices and blocks of a few rows; pools with more values than there are edges."""
+    from hourglass.operators import extremes as X
+
+    for name, size in (("PIECE", 37), ("EDGES", 9), ("SLICE", 90), ("BLOCK", 20), ("STEP", 7)):
+        monkeypatch.setattr(X, name, size)
+    rng = np.random.default_rng(8)
+    values = {
+        "few values": rng.integers(-3, 4, 400) / 3,
+        "all distinct": rng.normal(size=400),
+        "mostly zero": np.where(rng.random(400) < 0.8, 0.0, rng.normal(size=400)),
+    }[kind].tolist()
+    t0 = datetime(2023, 1, 1)
+    res_rows = [("A" if i < 150 else "B", t0 + timedelta(hours=i), v) for i, v in enumerate(values)]
+    res_rows[7] = (*res_rows[7][:2], float("nan"))
+    rows = [("C", t0 + timedelta(hours=i), 10.0 * i) for i in range(60)] + [("C", t0, 3.0), (None, t0, 1.0)]
+    res = spark.createDataFrame(res_rows, "unique_id string, ds timestamp_ntz, residual double").repartition(3)
+    preds = spark.createDataFrame(rows, "unique_id string, ds timestamp_ntz, y_pred double")
+    B = 40
+    got = IV.bootstrap_interval(preds, res, B=B).collect()
+    assert len(got) == len(rows)
+    pool, lo, hi = [r for *_, r in sorted(res_rows, key=lambda r: r[:2])], nearest_rank(B, 0.025), nearest_rank(B, 0.975)
+    for r in got:
+        if r.unique_id is None:
+            assert r.lower_bound is None and r.upper_bound is None
+            continue
+        key = py_row_key(r.unique_id, r.ds)
+        drawn = np.sort([pool[py_draw(key, b, len(pool), 25)] for b in range(B)])
+        np.testing.assert_allclose([r.lower_bound, r.upper_bound], [r.y_pred + drawn[lo], r.y_pred + drawn[hi]])
+
+
+def test_bounds_move_no_array_of_draws(spark):
+    res, preds, _, _ = _frames(spark)
+    plan = IV.bootstrap_interval(preds, res, B=40)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "_draws" not in plan and "_want" not in plan
+
+
 def test_interval_coverage_adds_up(spark):
     res, preds, _, _ = _frames(spark)
     iv = IV.bootstrap_interval(preds, res, B=40)
