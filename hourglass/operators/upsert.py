@@ -52,6 +52,7 @@ def upsert_by_key(
     update_cols: Sequence[str] | None = None,
     null_keys: str = "error",
     by_range: bool = False,
+    in_order: bool = False,
 ) -> DataFrame:
     """Merge ``new`` into ``current`` by ``key``.
 
@@ -69,15 +70,16 @@ def upsert_by_key(
     before its current one, and each input is evaluated once.  Rows are dealt
     and sorted by a hash of the key first: keys of one month share a long
     prefix, which makes them slow to compare.  With ``by_range`` they are dealt
-    into sorted ranges of keys instead (for a writer that wants keys clustered;
-    the inputs are then read a second time for the sample of keys).
+    into ranges of keys instead (for a writer that wants keys clustered; the
+    inputs are then read a second time for the sample of keys), and with
+    ``in_order`` they are sorted by the key itself (for one that sorts by it).
     """
     cols = current.columns
     fresh = _guard_keys(new.select(cols), key, null_keys).withColumn(NEW, F.lit(True))
     both = current.select(cols).withColumn(NEW, F.lit(False)).unionByName(fresh)
     if by_range:
         both = both.repartitionByRange(key)
-    groups = [key] if by_range else [F.xxhash64(key), key]
+    groups = [key] if in_order else [F.xxhash64(key), key]
     w = Window.partitionBy(*groups).orderBy(F.col(NEW).desc(), *_order(cols, order_cols, key))
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     chosen = F.col(NEW) & (F.row_number().over(w) == 1)

@@ -177,7 +177,7 @@ class SnapshotTable(HourlyTable):
             read = {m: b for m, b in months.items() if m in touched or not key_fixes_month}
             merged = upsert_by_key(
                 self._scan_of(read), staged, key=key, order_cols=order_cols, update_cols=update_cols, null_keys=null_keys,
-                by_range=key_fixes_month,
+                by_range=key_fixes_month, in_order=key_fixes_month,
             )
             batch, written = self._write_batch(merged, key, clustered=key_fixes_month)
         finally:

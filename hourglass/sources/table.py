@@ -126,8 +126,8 @@ class HourlyTable:
         ``spark.checkpoint.dir`` (shared storage: survives executor loss and
         cuts the lineage), then merged with the current rows of the touched
         months and written back with dynamic partition overwrite.  With keys
-        that fix the month the merge deals rows into sorted ranges of keys, so
-        one shuffle and one sort serve the merge and the layout of the files.
+        that fix the month the merge deals rows into ranges of keys, so one
+        shuffle and one sort serve the merge and the layout of the files.
         """
         self.ensure()
         batch = enforce_schema(new, self.schema).withColumn(MONTH_PARTITION, month_start(HOUR))

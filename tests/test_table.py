@@ -75,12 +75,13 @@ def test_merge_takes_one_shuffle_and_no_join(spark, update_cols):
 
 
 def test_table_and_snapshots_merge_in_one_shuffle(spark, tmp_dir):
-    """The range shuffle of the layout is the shuffle of the merge: the written
-    keys are sorted ranges, and no other exchange is in the merged plan."""
-    out = upsert_by_key(frame(spark, CURRENT), frame(spark, NEW), by_range=True)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
-    assert as_dict(out) == EXPECTED
+    """The range shuffle of the layout is the shuffle of the merge: no other
+    exchange is in the merged plan."""
+    for in_order in (False, True):
+        out = upsert_by_key(frame(spark, CURRENT), frame(spark, NEW), by_range=True, in_order=in_order)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+        assert as_dict(out) == EXPECTED
 
 
 def test_null_key_rejected(spark):
